@@ -1 +1,310 @@
-"""Queries."""
+"""Encoders, models and evaluation."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from panelweave.catalog.registry import Tables, day, query, rounded
+from panelweave.catalog.series import STOCK_DAYS, supplier_days
+from panelweave.ml import evaluate as ev
+from panelweave.ml import model as ml
+from panelweave.operators.splits import holdout_newest, purge_gap
+from panelweave.operators.timeline import Axis
+from panelweave.operators.windows import forward_returns, pct_change, sma_trend
+
+# --- encoders -----------------------------------------------------------------------
+
+
+@query(
+    "label_encode",
+    "SELECT p_partkey, p_type, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INT) AS p_type_id FROM part",
+)
+def label_encode(t: Tables) -> DataFrame:
+    encoder = ml.label_encoder(["p_type"])
+    fitted = encoder.fit(t.part)
+    return fitted.transform(t.part).select("p_partkey", "p_type", F.col("p_type_id").cast("int").alias("p_type_id"))
+
+
+@query(
+    "one_hot",
+    """
+    WITH k AS (SELECT DISTINCT p_type FROM part), n AS (SELECT p_type, row_number() OVER (ORDER BY p_type) - 1 AS rank FROM k),
+    c AS (SELECT count(*) AS total FROM k)
+    SELECT p_partkey, total - 1 - rank AS slot, rank > 0 AS has_indicator FROM part JOIN n USING (p_type), c
+    """,
+)
+def one_hot(t: Tables) -> DataFrame:
+    fitted = Pipeline(stages=ml.one_hot_encoder(["p_type"])).fit(t.part)
+    hot = vector_to_array("p_type_hot")
+    position = F.array_position(hot, F.lit(1.0))
+    slot = F.when(position == 0, F.size(hot)).otherwise(position - 1)
+    return fitted.transform(t.part).select(
+        "p_partkey", slot.cast("bigint").alias("slot"), (position > 0).alias("has_indicator")
+    )
+
+
+@query(
+    "standardize",
+    """
+    WITH f AS (SELECT avg(l_extendedprice) AS mp, stddev_pop(l_extendedprice) AS sp, avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq
+               FROM lineitem WHERE l_returnflag = 'A')
+    SELECT l_orderkey, l_linenumber, l_partkey, round((l_extendedprice - mp) / sp, 7) AS l_extendedprice, round((l_quantity - mq) / sq, 7) AS l_quantity
+    FROM lineitem, f
+    """,
+)
+def standardize(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
+    train = t.lineitem.filter(F.col("l_returnflag") == "A")
+    return rounded(ml.standardize(rows, train, ["l_extendedprice", "l_quantity"]), 7)
+
+
+# --- models -------------------------------------------------------------------------
+
+NUMBERS = ("change_1", "change_5", "p_sma5_position", "p_sma20_position", "volume")
+
+
+def training_panel(t: Tables) -> DataFrame:
+    """Price features per supplier and day, the sector, and two forward-return horizons."""
+    trend = sma_trend(supplier_days(t), STOCK_DAYS, "close", (5, 20), prefix="p")
+    moved = pct_change(trend, STOCK_DAYS, {"change_1": ("close", 1), "change_5": ("close", 5)})
+    returns = forward_returns(moved, STOCK_DAYS, {"ret_15": 11, "ret_30": 22})
+    sectors = t.supplier.select(F.col("s_suppkey").alias("stock"), F.concat(F.lit("N"), F.col("s_nationkey")).alias("sector"))
+    return returns.join(sectors, "stock").withColumns(
+        {
+            "label_15": (F.col("ret_15") >= 4.112).cast("int"),
+            "label_30": (F.col("ret_30") >= 6.18).cast("int"),
+        }
+    )
+
+
+def _split(panel: DataFrame, target: str, days: int) -> tuple[DataFrame, DataFrame]:
+    train, test = holdout_newest(panel, time="date", target=target, percent=5.0, tie=["stock"])
+    return purge_gap(train, time="date", days=days), test
+
+
+@query("gbt_classify")
+def gbt_classify(t: Tables) -> DataFrame:
+    """Two horizons, each trained on all but the newest 5 percent and scored on those."""
+    panel = training_panel(t).persist()
+    results = None
+    for horizon in (15, 30):
+        train, test = _split(panel, f"ret_{horizon}", horizon)
+        model = ml.fit(train, NUMBERS, ["sector"], f"label_{horizon}", "boosted", maxIter=5, maxDepth=4)
+        scored = ml.predict(model, test, ["stock", "date", F.col(f"label_{horizon}").alias("label")])
+        tagged = scored.withColumn("horizon", F.lit(horizon))
+        results = tagged if results is None else results.unionByName(tagged)
+    return results
+
+
+@query("gbt_regress")
+def gbt_regress(t: Tables) -> DataFrame:
+    train, test = _split(training_panel(t), "ret_30", 30)
+    model = ml.fit(train, NUMBERS, ["sector"], "ret_30", "regressor", maxIter=5, maxDepth=4)
+    scored = ml.predict(model, test, ["stock", "date", "ret_30"], classifier=False)
+    return scored.select("stock", "date", "ret_30", "pred")
+
+
+@query("linear_svc")
+def linear_svc(t: Tables) -> DataFrame:
+    train, test = _split(training_panel(t), "ret_30", 30)
+    weighted = ml.balanced_weights(train.filter(F.col("label_30").isNotNull()), "label_30")
+    model = ml.fit(weighted, NUMBERS, ["sector"], "label_30", "svc", maxIter=10, weightCol="weight")
+    return ml.predict(model, test, ["stock", "date", "label_30"])
+
+
+@query("grid_search")
+def grid_search(t: Tables) -> DataFrame:
+    train, _ = _split(training_panel(t), "ret_30", 30)
+    row = F.concat_ws(" ", "stock", "date")
+    _, scores = ml.grid_search(
+        train, NUMBERS, ["sector"], "ret_30", {"maxDepth": (2, 3), "maxIter": (2,)}, fold_id=row, folds=2
+    )
+    return scores
+
+
+@query("forward_cv")
+def forward_cv(t: Tables) -> DataFrame:
+    """Three folds of a tenth of the rows each, with a gap of about one horizon."""
+    panel = training_panel(t).filter(F.col("label_30").isNotNull())
+    size = panel.count() // 10
+    return ml.forward_cv(
+        panel, NUMBERS, ["sector"], "label_30", time="date", tie=["stock"], n_splits=3, test_size=size,
+        gap=size // 5, maxIter=3, maxDepth=3,
+    )
+
+
+@query("score_screen")
+def score_screen(t: Tables) -> DataFrame:
+    """Train once, then screen every supplier's newest day."""
+    panel = training_panel(t).persist()
+    model = ml.fit(panel, NUMBERS, ["sector"], "label_30", "boosted", maxIter=5, maxDepth=4)
+    newest = panel.groupBy("stock").agg(F.max("date").alias("date"))
+    return ml.screen(model, panel.join(newest, ["stock", "date"]), 30, ["stock", "date"])
+
+
+@query("feature_importance")
+def feature_importance(t: Tables) -> DataFrame:
+    panel = training_panel(t).persist()
+    models = {
+        h: ml.fit(panel, NUMBERS, ["sector"], f"label_{h}", "forest", numTrees=5, maxDepth=4) for h in (15, 30)
+    }
+    return ml.importance_by_horizon(models, t.spark)
+
+
+# --- evaluation ---------------------------------------------------------------------
+
+SCORED_SQL = """
+    s AS (SELECT o_orderkey AS row_id, o_custkey AS stock, CAST(o_orderdate AS DATE) AS date, o_orderstatus AS horizon, o_totalprice AS price,
+                 (o_totalprice - 240000) / 10000 AS actual_return, CASE WHEN o_totalprice >= 300000 THEN 1 ELSE 0 END AS label,
+                 ((o_orderkey * 7919 + CAST(floor(o_totalprice / 1000) AS BIGINT)) % 1000) / 1000.0 AS proba,
+                 CASE WHEN ((o_orderkey * 7919 + CAST(floor(o_totalprice / 1000) AS BIGINT)) % 1000) >= 500 THEN 1 ELSE 0 END AS pred FROM orders)
+"""
+
+
+def scored(t: Tables) -> DataFrame:
+    """Orders as scored rows: the score is a fixed function of key and price, with ties."""
+    points = (F.col("o_orderkey") * 7919 + F.floor(F.col("o_totalprice") / 1000)) % 1000
+    return t.orders.select(
+        F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("stock"), day("o_orderdate").alias("date"),
+        F.col("o_orderstatus").alias("horizon"), F.col("o_totalprice").alias("price"),
+        ((F.col("o_totalprice") - 240000) / 10000).alias("actual_return"),
+        (F.col("o_totalprice") >= 300000).cast("int").alias("label"),
+        (points / 1000.0).alias("proba"), (points >= 500).cast("int").alias("pred"),
+    )
+
+
+CONFUSION_SQL = """
+    m AS (SELECT horizon, count(*) FILTER (WHERE label = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE label = 0 AND pred = 1) AS fp,
+                 count(*) FILTER (WHERE label = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE label = 0 AND pred = 0) AS tn FROM s GROUP BY 1)
+"""
+
+
+@query("confusion_matrix", f"WITH {SCORED_SQL}, {CONFUSION_SQL} SELECT * FROM m")
+def confusion_matrix(t: Tables) -> DataFrame:
+    return ev.confusion_matrix(scored(t), by=["horizon"])
+
+
+@query(
+    "classification_metrics",
+    f"""
+    WITH {SCORED_SQL}, {CONFUSION_SQL}
+    SELECT horizon, round(tp / nullif(tp + fp, 0), 8) AS precision, round((tp + tn) / (tp + tn + fp + fn), 8) AS accuracy,
+           round(2 * tp / nullif(2 * tp + fp + fn, 0), 8) AS f1 FROM m
+    """,
+)
+def classification_metrics(t: Tables) -> DataFrame:
+    return rounded(ev.classification_metrics(scored(t), by=["horizon"]), 8)
+
+
+AUC_SQL = """
+    p AS (SELECT horizon, label, rank() OVER (PARTITION BY horizon ORDER BY proba) + (count(*) OVER (PARTITION BY horizon, proba) - 1) / 2.0 AS r FROM s),
+    auc AS (SELECT horizon, (sum(r) FILTER (WHERE label = 1) - (count(*) FILTER (WHERE label = 1)) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0)
+                   / ((count(*) FILTER (WHERE label = 1)) * (count(*) FILTER (WHERE label = 0))) AS auc FROM p GROUP BY 1)
+"""
+
+
+@query("roc_auc", f"WITH {SCORED_SQL}, {AUC_SQL} SELECT horizon, round(auc, 8) AS auc FROM auc")
+def roc_auc(t: Tables) -> DataFrame:
+    return rounded(ev.roc_auc(scored(t), by=["horizon"], probe=t.orders.withColumn("horizon", F.col("o_orderstatus"))), 8)
+
+
+@query(
+    "roc_curve",
+    f"""
+    WITH {SCORED_SQL}, t AS (SELECT proba, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n FROM s GROUP BY 1)
+    SELECT proba AS threshold, round(sum(n) OVER w / sum(n) OVER (), 8) AS fpr, round(sum(p) OVER w / sum(p) OVER (), 8) AS tpr
+    FROM t WINDOW w AS (ORDER BY proba DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    """,
+)
+def roc_curve(t: Tables) -> DataFrame:
+    curve = ev.roc_curve(scored(t), probe=t.orders)
+    return rounded(curve, 8, ("fpr", "tpr"))
+
+
+@query(
+    "mae_mse",
+    f"""
+    WITH {SCORED_SQL}
+    SELECT horizon, round(avg(abs(actual_return - 20 * proba)), 6) AS mae, round(avg(power(actual_return - 20 * proba, 2)), 6) AS mse FROM s GROUP BY 1
+    """,
+)
+def mae_mse(t: Tables) -> DataFrame:
+    rows = scored(t).withColumn("estimate", 20 * F.col("proba"))
+    return rounded(ev.regression_errors(rows, "actual_return", "estimate", ["horizon"]), 6)
+
+
+@query(
+    "direction_accuracy",
+    f"""
+    WITH {SCORED_SQL}, d AS (SELECT CASE WHEN actual_return * (proba - 0.5) > 0 THEN 1 ELSE 0 END AS correct FROM s)
+    SELECT correct, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS share_percent FROM d GROUP BY 1
+    """,
+)
+def direction_accuracy(t: Tables) -> DataFrame:
+    rows = scored(t).withColumn("estimate", F.col("proba") - 0.5)
+    return rounded(ev.direction_accuracy(rows, "actual_return", "estimate"), 6)
+
+
+@query(
+    "threshold_sweep",
+    f"""
+    WITH {SCORED_SQL}, c AS (SELECT CASE WHEN actual_return >= 0.1 THEN 1 ELSE 0 END AS gained, proba FROM s),
+    h AS (SELECT gained, t AS threshold, count(*) FILTER (WHERE proba >= t) AS n_selected
+          FROM c, (SELECT CAST(unnest([0.55, 0.60, 0.65, 0.70, 0.75, 0.80]) AS DOUBLE) AS t) GROUP BY 1, 2)
+    SELECT gained, threshold, n_selected, round(100.0 * n_selected / nullif(sum(n_selected) OVER (PARTITION BY threshold), 0), 6) AS share_percent FROM h
+    """,
+)
+def threshold_sweep(t: Tables) -> DataFrame:
+    rows = scored(t).withColumn("gained", (F.col("actual_return") >= 0.1).cast("int"))
+    return rounded(ev.threshold_sweep(rows, "gained"), 6, ("share_percent",))
+
+
+@query(
+    "precision_vs_zero",
+    f"""
+    WITH {SCORED_SQL}, c AS (SELECT CASE WHEN actual_return >= 0.1 THEN 1 ELSE 0 END AS gained, pred FROM s)
+    SELECT gained, CAST(sum(pred) AS BIGINT) AS n_predicted, round(100.0 * sum(pred) / sum(sum(pred)) OVER (), 6) AS share_percent FROM c GROUP BY 1
+    """,
+)
+def precision_vs_zero(t: Tables) -> DataFrame:
+    return rounded(ev.precision_vs_gain(scored(t), "actual_return"), 6)
+
+
+@query(
+    "realised_returns",
+    f"""
+    WITH {SCORED_SQL}
+    SELECT label || ' ' || pred AS outcome, round(avg(actual_return), 6) AS mean, round(median(actual_return), 6) AS median,
+           round(min(actual_return), 6) AS min, round(max(actual_return), 6) AS max FROM s GROUP BY 1
+    """,
+)
+def realised_returns(t: Tables) -> DataFrame:
+    return rounded(ev.realised_returns(scored(t), "label", "pred", "actual_return"), 6)
+
+
+@query(
+    "horizon_summary",
+    f"""
+    WITH {SCORED_SQL}, {CONFUSION_SQL}, {AUC_SQL}
+    SELECT horizon, round_even(100.0 * tp / nullif(tp + fp, 0), 2) AS precision_percent, round_even(100 * auc, 2) AS auc_percent FROM m JOIN auc USING (horizon)
+    """,
+)
+def horizon_summary(t: Tables) -> DataFrame:
+    return ev.horizon_summary(scored(t))
+
+
+@query(
+    "buy_signal_series",
+    f"""
+    WITH {SCORED_SQL}, b AS (SELECT DISTINCT stock FROM s WHERE proba >= 0.95)
+    SELECT row_id, stock, date, price, CASE WHEN proba >= 0.95 THEN 1 ELSE 0 END AS signal,
+           lead(price, 2) OVER (PARTITION BY stock ORDER BY date, row_id) AS price_ahead FROM s WHERE stock IN (SELECT stock FROM b)
+    """,
+)
+def buy_signal_series(t: Tables) -> DataFrame:
+    rows = scored(t).select("row_id", "stock", "date", "price", "proba")
+    axis = Axis.of("stock", ["date", "row_id"])
+    return ev.buy_signals(rows, axis, price="price", threshold=0.95, ahead=2).drop("proba")

@@ -36,6 +36,7 @@ def query(name: str, sql: str | None = None):
 
         run.__name__ = name
         run.__doc__ = build.__doc__
+        run.__module__ = build.__module__
         QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
