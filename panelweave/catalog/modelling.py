@@ -14,6 +14,7 @@ from panelweave.ml import model as ml
 from panelweave.operators.splits import holdout_newest, purge_gap
 from panelweave.operators.timeline import Axis
 from panelweave.operators.windows import forward_returns, pct_change, sma_trend
+from panelweave.session import pin
 
 # --- encoders -----------------------------------------------------------------------
 
@@ -72,23 +73,24 @@ def training_panel(t: Tables) -> DataFrame:
     moved = pct_change(trend, STOCK_DAYS, {"change_1": ("close", 1), "change_5": ("close", 5)})
     returns = forward_returns(moved, STOCK_DAYS, {"ret_15": 11, "ret_30": 22})
     sectors = t.supplier.select(F.col("s_suppkey").alias("stock"), F.concat(F.lit("N"), F.col("s_nationkey")).alias("sector"))
-    return returns.join(sectors, "stock").withColumns(
+    labelled = returns.join(sectors, "stock").withColumns(
         {
             "label_15": (F.col("ret_15") >= 4.112).cast("int"),
             "label_30": (F.col("ret_30") >= 6.18).cast("int"),
         }
     )
+    return pin(labelled)  # read by every stage of every fit
 
 
 def _split(panel: DataFrame, target: str, days: int) -> tuple[DataFrame, DataFrame]:
     train, test = holdout_newest(panel, time="date", target=target, percent=5.0, tie=["stock"])
-    return purge_gap(train, time="date", days=days), test
+    return pin(purge_gap(train, time="date", days=days)), test
 
 
 @query("gbt_classify")
 def gbt_classify(t: Tables) -> DataFrame:
     """Two horizons, each trained on all but the newest 5 percent and scored on those."""
-    panel = training_panel(t).persist()
+    panel = training_panel(t)
     results = None
     for horizon in (15, 30):
         train, test = _split(panel, f"ret_{horizon}", horizon)
@@ -139,7 +141,7 @@ def forward_cv(t: Tables) -> DataFrame:
 @query("score_screen")
 def score_screen(t: Tables) -> DataFrame:
     """Train once, then screen every supplier's newest day."""
-    panel = training_panel(t).persist()
+    panel = training_panel(t)
     model = ml.fit(panel, NUMBERS, ["sector"], "label_30", "boosted", maxIter=5, maxDepth=4)
     newest = panel.groupBy("stock").agg(F.max("date").alias("date"))
     return ml.screen(model, panel.join(newest, ["stock", "date"]), 30, ["stock", "date"])
@@ -147,7 +149,7 @@ def score_screen(t: Tables) -> DataFrame:
 
 @query("feature_importance")
 def feature_importance(t: Tables) -> DataFrame:
-    panel = training_panel(t).persist()
+    panel = training_panel(t)
     models = {
         h: ml.fit(panel, NUMBERS, ["sector"], f"label_{h}", "forest", numTrees=5, maxDepth=4) for h in (15, 30)
     }

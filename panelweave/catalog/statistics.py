@@ -125,7 +125,7 @@ def _describe_sql(columns) -> str:
 
 @query("describe_columns", f"WITH {GAPPY_SQL} {_describe_sql(LINE)}")
 def describe_columns(t: Tables) -> DataFrame:
-    return rounded(stats.describe(gappy_lines(t), LINE, probe=t.lineitem.select(F.lit(1).alias("column"))), 6)
+    return rounded(stats.describe(gappy_lines(t), LINE, base=t.lineitem), 6)
 
 
 # --- correlation --------------------------------------------------------------------
@@ -330,7 +330,7 @@ def purge_gap(t: Tables) -> DataFrame:
     WITH p AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, row_number() OVER (ORDER BY CAST(o_orderdate AS DATE), o_orderkey) - 1 AS position,
                       count(*) OVER () AS total FROM orders),
     f AS (SELECT *, total - (3 - fold) * 200 AS start FROM p, (SELECT CAST(unnest(range(3)) AS INT) AS fold))
-    SELECT o_orderkey, date, position, fold, CASE WHEN position >= start THEN 'test' ELSE 'train' END AS part
+    SELECT o_orderkey, date, fold, CASE WHEN position >= start THEN 'test' ELSE 'train' END AS part
     FROM f WHERE position < start - 75 OR (position >= start AND position < start + 200)
     """,
 )

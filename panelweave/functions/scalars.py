@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MISSING_WORDS = ("None", "NA", "NaN", "nan", "")
-
 ColumnLike = Column | str
 
 
@@ -22,8 +20,7 @@ def _c(value: ColumnLike) -> Column:
 
 def to_number(value: ColumnLike) -> Column:
     """Double, or null where the text is no finite number."""
-    number = F.trim(_c(value).cast("string")).try_cast("double")
-    return F.when(F.isnan(number) | (F.abs(number) == F.lit(float("inf"))), F.lit(None)).otherwise(number)
+    return blank_non_finite(F.trim(_c(value).cast("string")).try_cast("double"))
 
 
 def to_day(value: ColumnLike) -> Column:
@@ -77,13 +74,14 @@ def clip(value: ColumnLike, low: float, high: float) -> Column:
     return F.when(v.isNull(), v).otherwise(F.least(F.greatest(v, F.lit(low)), F.lit(high)))
 
 
+LARGEST = 1.7976931348623157e308  # fixed value: the largest finite double
+
+
 def blank_non_finite(value: ColumnLike, zero_is_missing: bool = False) -> Column:
-    """Null for NaN and infinities, on request also for zero."""
+    """Null for NaN and infinities, on request also for zero. NaN sorts above all numbers."""
     v = _c(value)
-    bad = F.isnan(v) | (F.abs(v) == F.lit(float("inf")))
-    if zero_is_missing:
-        bad = bad | (v == 0)
-    return F.when(~bad, v)
+    good = F.abs(v) <= LARGEST
+    return F.when(good & (v != 0) if zero_is_missing else good, v)
 
 
 def round_half_even(value: ColumnLike, digits: int) -> Column:

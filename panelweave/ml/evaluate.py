@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelweave.functions.scalars import outcome_tag
 from panelweave.operators.relational import members, share_of_total
 from panelweave.operators.stats import group_outcome_stats
-from panelweave.operators.timeline import Axis, rolling, running
+from panelweave.operators.timeline import Axis, accumulate, rolling
 
 SWEEP = (0.55, 0.60, 0.65, 0.70, 0.75, 0.80)  # fixed values: decision thresholds
 
@@ -46,10 +46,10 @@ def _by_score(df: DataFrame, label: str, score: str, by: Sequence[str], probe=No
         .groupBy(*by, score)
         .agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n"))
     )
-    keyed = grouped.withColumn("_all", F.lit(0))
+    axis = Axis.of([*by, "_all"], score)
     totals = {"cum_tp": ("sum", "_p"), "cum_fp": ("sum", "_n")}
-    source = (df if probe is None else probe).withColumn("_all", F.lit(0))
-    return running(keyed, Axis.of([*by, "_all"], score), totals, "backward", probe=source).drop("_all")
+    base = df if probe is None else probe
+    return accumulate(grouped.withColumn("_all", F.lit(0)), axis, totals, base, "backward").drop("_all")
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "proba", by: Sequence[str] = (), probe=None) -> DataFrame:
@@ -113,10 +113,10 @@ def precision_vs_gain(df: DataFrame, actual_return: str, pred: str = "pred", gai
     return share_of_total(classed, ["gained"], F.col(pred), "n_predicted")
 
 
-def realised_returns(df: DataFrame, label: str, pred: str, value: str, probe=None) -> DataFrame:
+def realised_returns(df: DataFrame, label: str, pred: str, value: str, base=None) -> DataFrame:
     """Return statistics by (true, predicted) outcome."""
     tagged = df.withColumn("outcome", outcome_tag(label, pred))
-    return group_outcome_stats(tagged, ["outcome"], value, probe=probe)
+    return group_outcome_stats(tagged, ["outcome"], value, base=base)
 
 
 def horizon_summary(df: DataFrame, label: str = "label", pred: str = "pred", score: str = "proba", horizon: str = "horizon") -> DataFrame:

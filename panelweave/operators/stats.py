@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.operators.timeline import Axis, running, spread_join
+from panelweave.operators.timeline import Axis, accumulate, spread_join
+from panelweave.session import pin
 
 
 def to_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -17,6 +18,22 @@ def to_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
     return df.select(*keep, F.inline(cells))
 
 
+def summarise(
+    df: DataFrame, columns: Sequence[str], measures: Mapping[str, Callable[[Column], Column]], by: Sequence[str] = ()
+) -> DataFrame:
+    """Aggregates of every column in one pass over the rows, one result row per column."""
+    wide = df.groupBy(*by).agg(
+        *[f(F.col(c).cast("double")).alias(f"{i}_{m}") for i, c in enumerate(columns) for m, f in measures.items()]
+    )
+    cells = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), *[F.col(f"{i}_{m}").alias(m) for m in measures])
+            for i, c in enumerate(columns)
+        ]
+    )
+    return wide.select(*by, F.inline(cells))
+
+
 def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Columns that have nulls, with how many; one pass for all columns."""
     columns = list(columns or df.columns)
@@ -70,11 +87,8 @@ def impute_group_mean(df: DataFrame, group: str, column: str) -> tuple[DataFrame
 
 # --- exact quantiles --------------------------------------------------------------
 
-
-def _ranked_values(long: DataFrame, by: Sequence[str], probe: DataFrame | None) -> DataFrame:
-    """Distinct values per group with their count and the count up to and including them."""
-    counts = long.filter(F.col("value").isNotNull()).groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
-    return running(counts, Axis.of(by, "value"), {"upto": ("sum", "n")}, probe=probe)
+SKETCH = 1000  # accuracy of the sketch that brackets a quantile: rank error rows / SKETCH
+ALL_VALUES_BELOW = 50 * SKETCH  # groups this small are bracketed by their minimum and maximum
 
 
 def exact_quantiles(
@@ -83,63 +97,119 @@ def exact_quantiles(
     quantiles: Mapping[str, float],
     by: Sequence[str] = (),
     *,
-    probe: DataFrame | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles per (by..., column).
 
-    Equal values are counted before any shuffle; the counts are accumulated in value
-    order by the engine's running sum, so neither a popular value nor a large group
-    ends up in one task, unlike with the built-in ``percentile``.
+    A mergeable sketch brackets each quantile between two values with well under one
+    percent of the rows between them. A second pass counts the rows below the bracket and
+    the distinct values inside it; the running sum over these few values finds the exact
+    ranks. So neither all values are sorted, nor does a popular value or a large group end
+    up in one task, unlike with the built-in ``percentile``. ``base`` may be a frame that
+    is cheaper to count and has at least as many rows as ``df``.
     """
-    group = [*by, "column"]
-    long = to_long(df, columns, by)
-    ranked = _ranked_values(long, group, long if probe is None else probe)
-    totals = ranked.groupBy(*group).agg(F.max("upto").alias("total"))
-    low_high = []
-    joined = ranked.join(totals, group)
-    below = F.col("upto") - F.col("n")
-    for name, q in quantiles.items():
-        target = F.lit(float(q)) * (F.col("total") - 1)
-        for side, position in (("lo", F.floor(target)), ("hi", F.ceil(target))):
-            inside = (below <= position) & (position < F.col("upto"))
-            low_high.append(F.max(F.when(inside, F.col("value"))).alias(f"_{name}_{side}"))
-        low_high.append(F.max(target - F.floor(target)).alias(f"_{name}_w"))
-    picked = joined.groupBy(*group).agg(*low_high)
-    return picked.select(
-        *group,
+    margin = 2.0 / SKETCH
+    names = list(quantiles)
+    probabilities = [p for q in quantiles.values() for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
+    typed = df.select(*by, *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)])
+    sketched = typed.groupBy(*by).agg(
         *[
-            (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_w")).alias(n)
-            for n in quantiles
-        ],
+            m
+            for i in range(len(columns))
+            for m in (
+                F.count(f"_c{i}").alias(f"_n{i}"), F.min(f"_c{i}").alias(f"_min{i}"), F.max(f"_c{i}").alias(f"_max{i}"),
+                F.percentile_approx(f"_c{i}", probabilities, SKETCH).alias(f"_s{i}"),
+            )
+        ]
+    )
+    few = lambda i: F.col(f"_n{i}") <= ALL_VALUES_BELOW
+    brackets = pin(
+        sketched.select(
+            *by,
+            *[F.col(f"_n{i}") for i in range(len(columns))],
+            *[
+                edge
+                for i in range(len(columns))
+                for j in range(len(names))
+                for edge in (
+                    F.when(few(i), F.col(f"_min{i}")).otherwise(F.get(f"_s{i}", 2 * j)).alias(f"_lo{i}_{j}"),
+                    F.when(few(i), F.col(f"_max{i}")).otherwise(F.get(f"_s{i}", 2 * j + 1)).alias(f"_hi{i}_{j}"),
+                )
+            ],
+        )
+    )
+    base = df if base is None else base
+    # without groups the brackets are exactly one row
+    tagged = spread_join(typed, brackets, by, "inner", probe=base) if by else typed.join(F.broadcast(brackets))
+
+    cells = [(i, j) for i in range(len(columns)) for j in range(len(names))]
+    name_of = lambda i, j: [F.lit(columns[i]).alias("column"), F.lit(names[j]).alias("_q")]
+    inside = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    F.col(f"_c{i}").between(F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}")),
+                    F.struct(*name_of(i, j), F.col(f"_c{i}").alias("value")),
+                )
+                for i, j in cells
+            ]
+        )
+    )
+    group = [*by, "column", "_q"]
+    counts = tagged.select(*by, F.inline(inside)).groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
+    ranked = accumulate(counts, Axis.of(group, "value"), {"upto": ("sum", "n")}, base)
+
+    below = tagged.groupBy(*by).agg(
+        *[F.count_if(F.col(f"_c{i}") < F.col(f"_lo{i}_{j}")).alias(f"_b{i}_{j}") for i, j in cells],
+        *[F.first(f"_n{i}").alias(f"_n{i}") for i in range(len(columns))],
+    )
+    offsets = below.select(
+        *by,
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        *name_of(i, j), F.col(f"_b{i}_{j}").alias("_below"),
+                        (F.lit(float(quantiles[names[j]])) * (F.col(f"_n{i}") - 1)).alias("_target"),
+                    )
+                    for i, j in cells
+                ]
+            )
+        ),
+    )
+    placed = ranked.join(offsets, group)
+    first, end = F.col("_below") + F.col("upto") - F.col("n"), F.col("_below") + F.col("upto")
+    at = lambda p: F.max(F.when((first <= p) & (p < end), F.col("value")))
+    low, high = at(F.floor("_target")), at(F.ceil("_target"))
+    found = placed.groupBy(*group).agg(
+        (low + (high - low) * F.max(F.col("_target") - F.floor("_target"))).alias("_value")
+    )
+    return found.groupBy(*by, "column").agg(
+        *[F.max(F.when(F.col("_q") == n, F.col("_value"))).alias(n) for n in names]
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), *, probe=None) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), *, base=None) -> DataFrame:
     """count, mean, std, min, quartiles and max per column."""
     group = [*by, "column"]
-    basic = to_long(df, columns, by).groupBy(*group).agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by, probe=probe)
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    basic = summarise(df, columns, measures, by)
+    quartiles = exact_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by, base=base)
     return basic.join(quartiles, group, "left").select(
         *group, "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
 
-def group_outcome_stats(df: DataFrame, by: Sequence[str], value: str, *, probe=None) -> DataFrame:
+def group_outcome_stats(df: DataFrame, by: Sequence[str], value: str, *, base=None) -> DataFrame:
     """Mean, median, min and max of a value per outcome."""
     basic = df.groupBy(*by).agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"))
-    medians = exact_quantiles(df, [value], {"median": 0.5}, by, probe=probe).drop("column")
+    medians = exact_quantiles(df, [value], {"median": 0.5}, by, base=base).drop("column")
     return basic.join(medians, list(by), "left").select(*by, "mean", "median", "min", "max")
 
 
-def box_stats(df: DataFrame, by: str, value: str, *, probe=None) -> DataFrame:
+def box_stats(df: DataFrame, by: str, value: str, *, base=None) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier counts per group."""
-    q = exact_quantiles(df, [value], {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by], probe=probe).drop("column")
+    q = exact_quantiles(df, [value], {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by], base=base).drop("column")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     fences = q.withColumns({"_lo": F.col("q1") - reach, "_hi": F.col("q3") + reach})
     # value counts keep the second pass small: one row per distinct value and group
@@ -195,10 +265,16 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return half.unionByName(turned).unionByName(half.limit(1).select(F.inline(diagonal)))
 
 
-def average_ranks(df: DataFrame, column: str, *, probe=None) -> DataFrame:
+def _ranked_values(long: DataFrame, by: Sequence[str], base: DataFrame) -> DataFrame:
+    """Distinct values per group with their count and the count up to and including them."""
+    counts = long.filter(F.col("value").isNotNull()).groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
+    return accumulate(counts, Axis.of(by, "value"), {"upto": ("sum", "n")}, base)
+
+
+def average_ranks(df: DataFrame, column: str, *, base=None) -> DataFrame:
     """(value, rank): ties share the mean of their positions."""
     long = df.select(F.lit(column).alias("column"), F.col(column).cast("double").alias("value"))
-    ranked = _ranked_values(long, ["column"], df.select(F.lit(column).alias("column")) if probe is None else probe)
+    ranked = _ranked_values(long, ["column"], df if base is None else base)
     return ranked.select(
         F.col("value").alias(column), (F.col("upto") - (F.col("n") - 1) / 2.0).alias(f"{column}_rank")
     )
@@ -207,10 +283,9 @@ def average_ranks(df: DataFrame, column: str, *, probe=None) -> DataFrame:
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation with average ranks, over rows complete in all columns."""
     complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    probe = complete.select(F.lit("x").alias("column"))
     ranked = complete
     for c in columns:
-        ranked = spread_join(ranked, average_ranks(complete, c, probe=probe), [c], "inner", probe=complete)
+        ranked = spread_join(ranked, average_ranks(complete, c), [c], "inner", probe=complete)
     return pearson(ranked.select(*[F.col(f"{c}_rank").alias(c) for c in columns]), columns)
 
 
@@ -218,13 +293,13 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def skewness_buckets(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Bias-corrected skewness and its class: left, none or right of +-1."""
-    n = F.count("value")
-    factor = F.try_divide(F.sqrt(n * (n - 1.0)), n - 2.0)
-    skew = F.when(n > 2, F.skewness("value") * factor)
+    """Bias-corrected skewness and its class: low, not or high skewed, at -1 and 1."""
+    moments = summarise(df, columns, {"n": F.count, "population": F.skewness})
+    n = F.col("n").cast("double")
+    skew = F.when(n > 2, F.col("population") * F.sqrt(n * (n - 1)) / (n - 2))
     s = F.col("skewness")
     name = F.when(s <= -1, "skewed_low").when(s >= 1, "skewed_high").when(s.isNotNull(), "not_skewed")
-    return to_long(df, columns).groupBy("column").agg(skew.alias("skewness")).withColumn("bucket", name)
+    return moments.select("column", skew.alias("skewness")).withColumn("bucket", name)
 
 
 def normality_jb(df: DataFrame, columns: Sequence[str], critical: float = 10.597) -> DataFrame:
@@ -232,12 +307,9 @@ def normality_jb(df: DataFrame, columns: Sequence[str], critical: float = 10.597
 
     The default critical value is the 0.995 quantile (alpha = 0.005).
     """
-    s, k, n = F.skewness("value"), F.kurtosis("value"), F.count("value")
-    jb = n / 6.0 * (s * s + k * k / 4.0)
-    return (
-        to_long(df, columns).groupBy("column").agg(n.alias("n"), jb.alias("jb"))
-        .withColumn("looks_normal", F.col("jb") < critical)
-    )
+    moments = summarise(df, columns, {"n": F.count, "_s": F.skewness, "_k": F.kurtosis})
+    jb = F.col("n") / 6.0 * (F.col("_s") ** 2 + F.col("_k") ** 2 / 4.0)
+    return moments.select("column", "n", jb.alias("jb")).withColumn("looks_normal", F.col("jb") < critical)
 
 
 def winsor_bounds(train: DataFrame, columns: Sequence[str], deviations: float = 3.0) -> DataFrame:
@@ -272,7 +344,7 @@ def winsorize(
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 100) -> DataFrame:
     """Equal-width counts between each column's minimum and maximum; empty bins are left out."""
     long = to_long(df, columns).filter(F.col("value").isNotNull())
-    ends = long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    ends = summarise(df, columns, {"lo": F.min, "hi": F.max})
     width = (F.col("hi") - F.col("lo")) / bins
     index = F.least(F.floor(F.try_divide(F.col("value") - F.col("lo"), width)), F.lit(bins - 1))
     # one row of ends per column name, a number fixed by the call

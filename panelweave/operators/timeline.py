@@ -18,7 +18,7 @@ No row is dropped, sampled or approximated on either route.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -279,6 +279,23 @@ def running(
     return result.unionByName(done.drop("_chunk", "_pos", *[f"_state_{o}" for o in named]))
 
 
+def accumulate(
+    grouped: DataFrame,
+    axis: Axis,
+    totals: Mapping[str, tuple[str, str | Column]],
+    base: DataFrame,
+    direction: str = "forward",
+) -> DataFrame:
+    """``running`` over an aggregated frame whose size is only known to be at most ``base``'s.
+
+    A small base settles it; otherwise the aggregate is checkpointed once, so that
+    measuring it and using it do not both compute it.
+    """
+    if base.count() <= group_row_limit(base.sparkSession):
+        return running(grouped, replace(axis, daily=True), totals, direction)
+    return running(pin(grouped), axis, totals, direction)
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     renamed = right.select(
         *[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in right.columns]
