@@ -35,6 +35,11 @@ PRICES_SQL = """
 
 
 def quarters(t: Tables) -> DataFrame:
+    """One row per supplier and quarter, the source of all statement-like tables."""
+    return t.once("landed_quarters", lambda: _quarters(t))
+
+
+def _quarters(t: Tables) -> DataFrame:
     start = F.date_trunc("quarter", F.col("l_shipdate").cast("timestamp")).cast("date")
     return t.lineitem.groupBy(
         F.col("l_suppkey").alias("stock"), F.date_sub(F.add_months(start, 3), 1).alias("date")
@@ -55,6 +60,11 @@ def text(value: Column) -> Column:
 
 
 def splits(t: Tables) -> DataFrame:
+    """Split texts, as landed."""
+    return t.once("landed_splits", lambda: _splits(t))
+
+
+def _splits(t: Tables) -> DataFrame:
     marked = t.lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.095))
     to = (100 + F.round(100 * F.col("l_discount"))).cast("int").cast("string")
     return marked.select(

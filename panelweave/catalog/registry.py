@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelweave.session import pin
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -26,6 +28,13 @@ class Tables:
         return frame
 
 
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table that several consumers share: computed and stored once."""
+        if name not in self.__dict__:
+            setattr(self, name, pin(build()))
+        return self.__dict__[name]
+
+
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[Tables], DataFrame]):
         if name in QUERIES:

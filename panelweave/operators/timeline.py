@@ -52,6 +52,20 @@ class Axis:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(*self.order)
 
+    def up_to_row(self, forward: bool) -> WindowSpec:
+        """All rows up to the current one, counted from the oldest or from the newest.
+
+        Looking ahead is written as looking back in descending order: Spark extends a
+        frame that grows at its end row by row, but recomputes one that shrinks at its
+        start, which would be quadratic in the length of the series.
+        """
+        return _up_to_row(self.keys, self.order, forward)
+
+
+def _up_to_row(keys: Sequence[str], order: Sequence[str], forward: bool) -> WindowSpec:
+    sort = [F.asc(c) if forward else F.desc(c) for c in order]
+    return Window.partitionBy(*keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
 
 def long_series_keys(df: DataFrame, keys: Sequence[str], probe: DataFrame | None = None) -> DataFrame | None:
     """Keys with more rows than one task may be handed, or None.
@@ -195,14 +209,10 @@ def fill(
     forward = direction == "forward"
 
     def filled(spec: WindowSpec) -> dict[str, Column]:
-        if forward:
-            frame = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            return {out: F.last(src, ignorenulls=True).over(frame) for src, out in targets.items()}
-        frame = spec.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        return {out: F.first(src, ignorenulls=True).over(frame) for src, out in targets.items()}
+        return {out: F.last(src, ignorenulls=True).over(spec) for src, out in targets.items()}
 
     short, long = split_long_series(df, axis, probe)
-    result = short.withColumns(filled(axis.window))
+    result = short.withColumns(filled(axis.up_to_row(forward)))
     if long is None:
         return result
 
@@ -213,14 +223,9 @@ def fill(
     ends = chunked.groupBy(*group).agg(
         *[edge(F.col(s), F.when(F.col(s).isNotNull(), F.col("_pos"))).alias(c) for s, c in carried.items()]
     )
-    along = Window.partitionBy(*axis.keys).orderBy("_chunk")
-    if forward:
-        along = along.rowsBetween(Window.unboundedPreceding, -1)
-        state = {c: F.last(c, ignorenulls=True).over(along) for c in carried.values()}
-    else:
-        along = along.rowsBetween(1, Window.unboundedFollowing)
-        state = {c: F.first(c, ignorenulls=True).over(along) for c in carried.values()}
-    inner = chunked.withColumns(filled(Window.partitionBy(*group).orderBy("_pos")))
+    earlier = _up_to_row(axis.keys, ["_chunk"], forward).rowsBetween(Window.unboundedPreceding, -1)
+    state = {c: F.last(c, ignorenulls=True).over(earlier) for c in carried.values()}
+    inner = chunked.withColumns(filled(_up_to_row(group, ["_pos"], forward)))
     joined = _join_null_safe(inner, ends.select(*group, *[v.alias(k) for k, v in state.items()]), group)
     done = joined.withColumns({out: F.coalesce(out, carried[src]) for src, out in targets.items()})
     return result.unionByName(done.drop("_chunk", "_pos", *carried.values()))
@@ -243,31 +248,22 @@ def running(
     named = {out: (kind, F.col(c) if isinstance(c, str) else c) for out, (kind, c) in totals.items()}
 
     def run(spec: WindowSpec) -> dict[str, Column]:
-        if forward:
-            frame = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        else:
-            frame = spec.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        return {out: how[kind](c).over(frame) for out, (kind, c) in named.items()}
+        return {out: how[kind](c).over(spec) for out, (kind, c) in named.items()}
 
     short, long = split_long_series(df, axis, probe)
-    result = short.withColumns(run(axis.window))
+    result = short.withColumns(run(axis.up_to_row(forward)))
     if long is None:
         return result
 
     chunked, _ = _chunked(long, axis, 0)
     group = [*axis.keys, "_chunk"]
     parts = chunked.groupBy(*group).agg(*[how[k](c).alias(f"_part_{o}") for o, (k, c) in named.items()])
-    along = Window.partitionBy(*axis.keys).orderBy("_chunk")
-    along = (
-        along.rowsBetween(Window.unboundedPreceding, -1)
-        if forward
-        else along.rowsBetween(1, Window.unboundedFollowing)
-    )
+    earlier = _up_to_row(axis.keys, ["_chunk"], forward).rowsBetween(Window.unboundedPreceding, -1)
     combine = {"sum": F.sum, "product": F.product, "count": F.sum}
     state = parts.select(
-        *group, *[combine[k](f"_part_{o}").over(along).alias(f"_state_{o}") for o, (k, _) in named.items()]
+        *group, *[combine[k](f"_part_{o}").over(earlier).alias(f"_state_{o}") for o, (k, _) in named.items()]
     )
-    inner = chunked.withColumns(run(Window.partitionBy(*group).orderBy("_pos")))
+    inner = chunked.withColumns(run(_up_to_row(group, ["_pos"], forward)))
     joined = _join_null_safe(inner, state, group)
 
     def merged(out: str, kind: str) -> Column:

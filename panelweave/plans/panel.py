@@ -12,6 +12,7 @@ from panelweave.operators.asof import Source, align
 from panelweave.operators.timeline import Axis, checked_broadcast, long_series_keys
 from panelweave.operators.windows import carry_last_change, every_nth_row, forward_returns, label_horizons, pct_change
 from panelweave.plans import features as ft
+from panelweave.session import pin
 
 # Statement columns the ratios use.
 BALANCE_COLUMNS = (
@@ -71,8 +72,9 @@ def build_panel(inputs: Inputs, *, as_of: Column, start: str = "2000-01-01", vix
     fits = long_series_keys(prices.select("stock"), ["stock"]) is None
     axis = Axis.of("stock", "date", daily=fits)
 
-    factors = ft.split_factors(inputs.splits)
-    reports = ft.eps_surprise(inputs.earn_history)
+    # both are a few rows per stock and are read several times below
+    factors = pin(ft.split_factors(inputs.splits))
+    reports = pin(ft.eps_surprise(inputs.earn_history))
     growth = ft.forecast_growth(inputs.earn_trend, inputs.earn_history, factors)
     statements = [
         ft.statement_source(inputs.cashflow, CASHFLOW_COLUMNS, "cashflow"),
