@@ -127,7 +127,7 @@ def first_not_null(columns: Sequence[ColumnLike]) -> Column:
 
 def flag(condition: Column, missing: int = 0) -> Column:
     """1 where the condition holds, 0 where not, ``missing`` where it is unknown."""
-    return F.coalesce(condition.cast("int"), F.lit(missing))
+    return F.when(condition, 1).when(condition.isNotNull(), 0).otherwise(missing)
 
 
 # --- frames ---------------------------------------------------------------------
