@@ -11,12 +11,12 @@ from panelweave.catalog.landed import (
 )
 from panelweave.catalog.registry import Tables, day, query, rounded
 from panelweave.catalog.series import priority_days
-from panelweave.operators.timeline import Axis
+from panelweave.operators.timeline import FITS, Axis
 from panelweave.operators.windows import densify, forward_returns, label_horizons
 from panelweave.plans import features as ft
 from panelweave.plans import panel as pn
 
-STOCK_DAYS = Axis.of("stock", "date", daily=True)
+STOCK_DAYS = Axis.of("stock", "date", size=FITS)
 AS_OF = "2001-06-30"
 
 
@@ -43,7 +43,7 @@ def split_factor(t: Tables) -> DataFrame:
     """,
 )
 def split_adjusted_prices(t: Tables) -> DataFrame:
-    return rounded(ft.split_adjusted_prices(landed.prices(t), ft.split_factors(landed.splits(t)), daily=True))
+    return rounded(ft.split_adjusted_prices(landed.prices(t), ft.split_factors(landed.splits(t)), size=FITS))
 
 
 @query(
@@ -158,7 +158,7 @@ def long_forecast_change(t: Tables) -> DataFrame:
     estimates = ft.long_forecast_events(landed.long_trend(t), factors, F.lit(AS_OF).cast("date"))
     real = ft.real_eps_events(landed.trend(t), landed.history(t), factors)
     days = landed.prices(t).select("stock", "date")
-    return rounded(ft.long_forecast_change(days, estimates, real, daily=True))
+    return rounded(ft.long_forecast_change(days, estimates, real, size=FITS))
 
 
 @query(
@@ -182,7 +182,7 @@ def statement_asof(t: Tables) -> DataFrame:
         ft.statement_source(filed, ["totalAssets"], "balance"),
     ]
     days = landed.prices(t).select("stock", "date")
-    known = ft.statement_asof(days, sources, "filing_date_cashflow", daily=True)
+    known = ft.statement_asof(days, sources, "filing_date_cashflow", size=FITS)
     return known.select("stock", "date", "totalAssets", "netIncome", "totalRevenue", "days_after_report")
 
 
@@ -254,7 +254,7 @@ def earnings_ratios(t: Tables) -> DataFrame:
     """,
 )
 def piotroski_score(t: Tables) -> DataFrame:
-    return ft.piotroski_score(_kpis(t), daily=True).select("stock", "date", "Piotroski_Score")
+    return ft.piotroski_score(_kpis(t), size=FITS).select("stock", "date", "Piotroski_Score")
 
 
 FILLED = ("DPR", "Acc_Rec_Pay_Ration", "DY")
@@ -385,7 +385,7 @@ def dividend_change(t: Tables) -> DataFrame:
     panel = landed.prices(t).select(
         "stock", "date", F.when(c("stock") % 7 == 0, 0.0).otherwise(c("volume").cast("double")).alias("divCash")
     )
-    done = ft.dividend_change(panel, ft.dividend_events(statements), daily=True)
+    done = ft.dividend_change(panel, ft.dividend_events(statements), size=FITS)
     return rounded(done.drop("divCash"), 6)
 
 

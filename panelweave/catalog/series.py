@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelweave.catalog.registry import Tables, day, query, rounded
 from panelweave.ml.model import attach_predictions
 from panelweave.operators import asof, relational as rel, windows as win
-from panelweave.operators.timeline import Axis, fill, full_mean, rolling, spread_join
+from panelweave.operators.timeline import FITS, Axis, fill, full_mean, rolling, spread_join
 
 CUSTOMER_DAYS_SQL = """
     d AS (SELECT o_custkey AS stock, CAST(o_orderdate AS DATE) AS date, min(o_totalprice) AS open,
@@ -22,8 +22,8 @@ PRIORITY_DAYS_SQL = """
     d AS (SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS value
           FROM orders GROUP BY 1, 2)
 """
-STOCK_DAYS = Axis.of("stock", "date", daily=True)
-SERIES_DAYS = Axis.of("series_id", "date", daily=True)
+STOCK_DAYS = Axis.of("stock", "date", size=FITS)
+SERIES_DAYS = Axis.of("series_id", "date", size=FITS)
 USER_EVENTS = Axis.of("user_id", ["ts", "event_id"])
 
 
@@ -336,7 +336,7 @@ def shift_lag_lead(t: Tables) -> DataFrame:
     """,
 )
 def value_days_ago(t: Tables) -> DataFrame:
-    common = {"keys": ["series_id"], "time": "date", "days": 365, "daily": True}
+    common = {"keys": ["series_id"], "time": "date", "days": 365, "size": FITS}
     exact = asof.value_days_ago(priority_days(t), columns={"value": "exact_365"}, **common)
     return asof.value_days_ago(exact, columns={"value": "known_365"}, mode="asof", **common)
 

@@ -41,7 +41,7 @@ def split_ratio(value: ColumnLike) -> Column:
 
 
 def normalise_symbol(value: ColumnLike) -> Column:
-    return F.regexp_replace(F.trim(_c(value)), r"\.", "-")
+    return F.regexp_replace(F.regexp_replace(_c(value), r"^\s+|\s+$", ""), r"\.", "-")
 
 
 def strip_day_suffix(value: ColumnLike) -> Column:

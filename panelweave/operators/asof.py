@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelweave.operators.timeline import Axis, fill, split_long_series
+from panelweave.operators.timeline import FITS, LONG, UNKNOWN, Axis, fill, split_long_series
 
 
 def asof_join(
@@ -29,7 +29,7 @@ def asof_join(
     whole_row: bool = False,
     keep_time: str | None = None,
     tie: Sequence[str] = (),
-    daily: bool = False,
+    size: str = UNKNOWN,
 ) -> DataFrame:
     """Left rows with the newest known (or next) values of ``columns`` from the right.
 
@@ -38,7 +38,8 @@ def asof_join(
     filled on its own, so a null in the newest row is taken from an older one;
     ``whole_row=True`` takes all columns from one and the same row. ``keep_time``
     names a column for the matched right time. ``tie`` orders right rows of equal
-    time. ``daily=True`` states that both sides have one row per key and day.
+    time. ``size`` says how long the
+    series of both sides together are, where that is known.
     """
     right_time = right_time or time
     backward = direction == "backward"
@@ -65,7 +66,7 @@ def asof_join(
     rows = left.withColumns({"_side": late if backward else early, "_is_left": F.lit(True)})
     both = rows.unionByName(events, allowMissingColumns=True)
 
-    axis = Axis.of(keys, [time, "_side", *ties.values()], daily=daily)
+    axis = Axis.of(keys, [time, "_side", *ties.values()], size=size)
     carried = ["_row"] if whole_row else [*source.values(), *(["_when"] if need_time else [])]
     narrow = rows.select(*key_cols).unionByName(events.select(*key_cols))
     filled = fill(both, axis, carried, "forward" if backward else "backward", probe=narrow)
@@ -108,7 +109,7 @@ def align(
     *,
     keys: Sequence[str],
     time: str,
-    daily: bool = False,
+    size: str = UNKNOWN,
     probe: DataFrame | None = None,
 ) -> DataFrame:
     """As-of join of any number of sources in one pass.
@@ -131,7 +132,7 @@ def align(
         narrow = narrow.unionByName(events.select(*keys))
         target = known if source.when == "known" else later
         target += [*source.columns, *([source.stamp] if source.stamp else [])]
-    axis = Axis.of(keys, [time, "_side"], daily=daily)
+    axis = Axis.of(keys, [time, "_side"], size=size)
     narrow = narrow if probe is None else probe
     if later:
         both = fill(both, axis, later, "backward", probe=narrow)
@@ -179,7 +180,7 @@ def value_days_ago(
     columns: Mapping[str, str],
     days: int,
     mode: str = "exact",
-    daily: bool = False,
+    size: str = UNKNOWN,
 ) -> DataFrame:
     """Value of each column ``days`` calendar days earlier.
 
@@ -191,16 +192,18 @@ def value_days_ago(
             *keys, F.date_add(time, days).alias(time), *[F.col(s).alias(o) for s, o in columns.items()]
         )
         return df.join(past, [*keys, time], "left")
-    axis = Axis.of(keys, time, daily=daily)
+    axis = Axis.of(keys, time, size=size)
     short, long = split_long_series(df, axis)
     span = Window.partitionBy(*keys).orderBy(F.unix_date(time)).rangeBetween(
         Window.unboundedPreceding, -days
     )
-    result = short.withColumns({o: F.last(s, ignorenulls=True).over(span) for s, o in columns.items()})
+    result = None
+    if short is not None:
+        result = short.withColumns({o: F.last(s, ignorenulls=True).over(span) for s, o in columns.items()})
     if long is None:
         return result
     past = long.select(*keys, F.date_add(time, days).alias("_past"), *[F.col(s).alias(o) for s, o in columns.items()])
     older = asof_join(
-        long, past, keys=keys, time=time, right_time="_past", columns=list(columns.values())
+        long, past, keys=keys, time=time, right_time="_past", columns=list(columns.values()), size=LONG
     )
-    return result.unionByName(older)
+    return older if result is None else result.unionByName(older)

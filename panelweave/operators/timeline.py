@@ -30,23 +30,27 @@ PARTITION_BITS = 33  # monotonically_increasing_id keeps the row number in the l
 Stage = Callable[[WindowSpec], Mapping[str, Column]]
 
 
+# How long the series of a frame are: to be found out, each fits one task, none does.
+UNKNOWN, FITS, LONG = "unknown", "fits", "long"
+
+
 @dataclass(frozen=True)
 class Axis:
     """What separates the series (``keys``) and what orders their rows (``order``).
 
-    ``daily=True`` states that (keys, order) is unique and the order column is a
-    calendar day, as after an aggregation to key and day. Such a series has at
-    most one row per calendar day, so it always fits one task and is never probed.
+    ``size=FITS`` skips the search for long series. It is right after an aggregation to
+    key and calendar day: such a series has at most one row per day of history. A plan of
+    several steps finds the long series once and passes ``FITS`` or ``LONG`` on.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    daily: bool = False
+    size: str = UNKNOWN
 
     @classmethod
-    def of(cls, keys: str | Sequence[str], order: str | Sequence[str], daily: bool = False) -> Axis:
+    def of(cls, keys: str | Sequence[str], order: str | Sequence[str], size: str = UNKNOWN) -> Axis:
         as_tuple = lambda v: (v,) if isinstance(v, str) else tuple(v)
-        return cls(as_tuple(keys), as_tuple(order), daily)
+        return cls(as_tuple(keys), as_tuple(order), size)
 
     @property
     def window(self) -> WindowSpec:
@@ -92,15 +96,22 @@ def checked_broadcast(side: DataFrame) -> DataFrame:
 
 def split_long_series(
     df: DataFrame, axis: Axis, probe: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame | None]:
-    """Split into (rows of series that fit one task, rows of longer series or None)."""
-    if axis.daily:
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Split into (rows of series that fit one task, rows of longer series); None for no such rows."""
+    if axis.size == FITS:
         return df, None
+    if axis.size == LONG:
+        return None, df
     found = long_series_keys(df, axis.keys, probe)
     if found is None:
         return df, None
-    side = checked_broadcast(found).select(*[F.col(k).alias(f"_long_{k}") for k in axis.keys])
-    match = [F.col(k).eqNullSafe(F.col(f"_long_{k}")) for k in axis.keys]
+    return split_by_keys(df, found, axis.keys)
+
+
+def split_by_keys(df: DataFrame, found: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is not in ``found``, rows whose key is)."""
+    side = checked_broadcast(found).select(*[F.col(k).alias(f"_long_{k}") for k in keys])
+    match = [F.col(k).eqNullSafe(F.col(f"_long_{k}")) for k in keys]
     return df.join(side, match, "left_anti"), df.join(side, match, "left_semi")
 
 
@@ -155,6 +166,10 @@ def _chunked(df: DataFrame, axis: Axis, reach: int) -> tuple[DataFrame, int]:
     return numbered.withColumn("_chunk", F.floor(F.col("_pos") / F.lit(size))), size
 
 
+def _both(short: DataFrame | None, long: DataFrame) -> DataFrame:
+    return long if short is None else short.unionByName(long)
+
+
 def _staged(df: DataFrame, stages: Sequence[Stage], spec: WindowSpec) -> DataFrame:
     for stage in stages:
         df = df.withColumns(dict(stage(spec)))
@@ -176,7 +191,7 @@ def rolling(
     how many rows the stages reach back and ahead, added up over all stages.
     """
     short, long = split_long_series(df, axis, probe)
-    result = _staged(short, stages, axis.window)
+    result = None if short is None else _staged(short, stages, axis.window)
     if long is None:
         return result
     chunked, size = _chunked(long, axis, max(before, after))
@@ -191,7 +206,7 @@ def rolling(
     spread = chunked.withColumn("_at", F.explode(places))
     spec = Window.partitionBy(*axis.keys, "_at").orderBy("_pos")
     pieces = _staged(spread, stages, spec).filter(F.col("_at") == F.col("_chunk"))
-    return result.unionByName(pieces.drop("_at", "_chunk", "_pos"))
+    return _both(result, pieces.drop("_at", "_chunk", "_pos"))
 
 
 def fill(
@@ -212,7 +227,7 @@ def fill(
         return {out: F.last(src, ignorenulls=True).over(spec) for src, out in targets.items()}
 
     short, long = split_long_series(df, axis, probe)
-    result = short.withColumns(filled(axis.up_to_row(forward)))
+    result = None if short is None else short.withColumns(filled(axis.up_to_row(forward)))
     if long is None:
         return result
 
@@ -228,7 +243,7 @@ def fill(
     inner = chunked.withColumns(filled(_up_to_row(group, ["_pos"], forward)))
     joined = _join_null_safe(inner, ends.select(*group, *[v.alias(k) for k, v in state.items()]), group)
     done = joined.withColumns({out: F.coalesce(out, carried[src]) for src, out in targets.items()})
-    return result.unionByName(done.drop("_chunk", "_pos", *carried.values()))
+    return _both(result, done.drop("_chunk", "_pos", *carried.values()))
 
 
 def running(
@@ -251,7 +266,7 @@ def running(
         return {out: how[kind](c).over(spec) for out, (kind, c) in named.items()}
 
     short, long = split_long_series(df, axis, probe)
-    result = short.withColumns(run(axis.up_to_row(forward)))
+    result = None if short is None else short.withColumns(run(axis.up_to_row(forward)))
     if long is None:
         return result
 
@@ -272,7 +287,7 @@ def running(
         return F.coalesce(both, own, earlier)
 
     done = joined.withColumns({out: merged(out, kind) for out, (kind, _) in named.items()})
-    return result.unionByName(done.drop("_chunk", "_pos", *[f"_state_{o}" for o in named]))
+    return _both(result, done.drop("_chunk", "_pos", *[f"_state_{o}" for o in named]))
 
 
 def accumulate(
@@ -288,7 +303,7 @@ def accumulate(
     measuring it and using it do not both compute it.
     """
     if base.count() <= group_row_limit(base.sparkSession):
-        return running(grouped, replace(axis, daily=True), totals, direction)
+        return running(grouped, replace(axis, size=FITS), totals, direction)
     return running(pin(grouped), axis, totals, direction)
 
 

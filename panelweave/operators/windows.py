@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.operators.asof import value_days_ago
-from panelweave.operators.timeline import Axis, fill, full_mean, relative_change, rolling, running
+from panelweave.operators.timeline import FITS, Axis, fill, full_mean, relative_change, rolling, running
 
 # Forward-return horizons in calendar days and the trading rows they span.
 HORIZON_ROWS = {15: 11, 30: 22, 60: 44, 90: 66, 120: 88, 150: 110}
@@ -36,7 +36,7 @@ def densify(
     """Events with one row per key and day, spread over all days and filled."""
     spine = calendar_spine(events, keys=keys, time=time)
     joined = spine.join(events.select(*keys, time, *columns), [*keys, time], "left")
-    return fill(joined, Axis.of(keys, time, daily=True), columns, direction)
+    return fill(joined, Axis.of(keys, time, size=FITS), columns, direction)
 
 
 def shift_rows(df: DataFrame, axis: Axis, columns: Mapping[str, tuple[str, int]], probe=None) -> DataFrame:
@@ -81,7 +81,7 @@ def pct_change(
         wanted = {out: s for out, (s, n) in columns.items() if n == k}
         old = {padded[s]: f"_old_{s}" for s in set(wanted.values())}
         df = value_days_ago(
-            df, keys=axis.keys, time=axis.order[0], columns=old, days=k, mode="asof", daily=axis.daily
+            df, keys=axis.keys, time=axis.order[0], columns=old, days=k, mode="asof", size=axis.size
         )
         df = df.withColumns(
             {out: relative_change(F.col(padded[s]), F.col(f"_old_{s}"), scale) for out, s in wanted.items()}

@@ -30,7 +30,7 @@ from panelweave.operators.relational import (
     override_for_keys,
     shift_repeated_dates,
 )
-from panelweave.operators.timeline import Axis, checked_broadcast, fill, rolling
+from panelweave.operators.timeline import FITS, UNKNOWN, Axis, checked_broadcast, fill, rolling
 from panelweave.operators.windows import change_points, cumulative_product, pct_change, sma_trend
 
 # Days before the report at which an estimate was taken, and its column.
@@ -61,7 +61,7 @@ YOY_NAMES = {
     "DY": "YoY_DY",
 }
 
-STOCK_DAYS = Axis.of("stock", "date", daily=True)
+STOCK_DAYS = Axis.of("stock", "date", size=FITS)
 
 
 # --- splits and prices --------------------------------------------------------------
@@ -79,17 +79,17 @@ def split_factors(splits: DataFrame) -> DataFrame:
 
 
 def split_factor_on(
-    rows: DataFrame, factors: DataFrame, time: str = "date", out: str = "factor", daily: bool = False
+    rows: DataFrame, factors: DataFrame, time: str = "date", out: str = "factor", size: str = UNKNOWN
 ) -> DataFrame:
     """Rows with the factor valid on their day: that of the next split, 1 after the last."""
     named = factors.select("stock", F.col("date").alias("_split_day"), F.col("factor").alias(out))
-    joined = align(rows, [Source(named, "_split_day", (out,), when="later")], keys=["stock"], time=time, daily=daily)
+    joined = align(rows, [Source(named, "_split_day", (out,), when="later")], keys=["stock"], time=time, size=size)
     return joined.fillna(1.0, subset=[out])
 
 
-def split_adjusted_prices(prices: DataFrame, factors: DataFrame, daily: bool = False) -> DataFrame:
+def split_adjusted_prices(prices: DataFrame, factors: DataFrame, size: str = UNKNOWN) -> DataFrame:
     """Open, high, low and close on today's share basis; volume as traded."""
-    priced = split_factor_on(prices, factors, daily=daily)
+    priced = split_factor_on(prices, factors, size=size)
     return adjust_ohlc(priced).drop("factor")
 
 
@@ -105,7 +105,7 @@ def price_trend(prices: DataFrame, axis: Axis = STOCK_DAYS) -> DataFrame:
 # --- earnings -----------------------------------------------------------------------
 
 
-def eps_surprise(history: DataFrame, daily: bool = False) -> DataFrame:
+def eps_surprise(history: DataFrame, size: str = UNKNOWN) -> DataFrame:
     """Reported quarters with actual and estimate filled from each other.
 
     A second quarter reported on the same day moves to the next day. Quarters with
@@ -205,7 +205,7 @@ def long_forecast_events(long_trend: DataFrame, factors: DataFrame, as_of: Colum
         )
     )
     events = dated_estimates(typed, ESTIMATE_AGES, "made", as_of, "_raw")
-    return split_factor_on(events, factors, daily=True).select(
+    return split_factor_on(events, factors, size=FITS).select(
         "stock", "date", (F.col("_raw") * F.col("factor")).alias("frcst_1y")
     )
 
@@ -227,12 +227,12 @@ def real_eps_events(trend: DataFrame, history: DataFrame, factors: DataFrame) ->
     )
 
 
-def long_forecast_change(days: DataFrame, estimates: DataFrame, real: DataFrame, daily: bool = False) -> DataFrame:
+def long_forecast_change(days: DataFrame, estimates: DataFrame, real: DataFrame, size: str = UNKNOWN) -> DataFrame:
     """Expected change in percent of the year-ahead earnings against those reached."""
     aligned = align(
         days,
         [Source(estimates, "date", ("frcst_1y",)), Source(real, "date", ("real_EPS",))],
-        keys=["stock"], time="date", daily=daily,
+        keys=["stock"], time="date", size=size,
     )
     return expected_change(aligned)
 
@@ -254,12 +254,12 @@ def statement_source(frame: DataFrame, columns: Sequence[str], name: str) -> Sou
     return Source(unique.drop("date"), "filing_date", tuple(columns), stamp=f"filing_date_{name}")
 
 
-def statement_asof(days: DataFrame, sources: Sequence[Source], clock: str, daily: bool = False) -> DataFrame:
+def statement_asof(days: DataFrame, sources: Sequence[Source], clock: str, size: str = UNKNOWN) -> DataFrame:
     """Panel days with the statements known on them; unknown amounts are 0.
 
     ``clock`` is the stamp column that ``days_after_report`` counts from.
     """
-    aligned = align(days, sources, keys=["stock"], time="date", daily=daily)
+    aligned = align(days, sources, keys=["stock"], time="date", size=size)
     return settle_statements(aligned, sources, clock)
 
 
@@ -309,14 +309,14 @@ def earnings_ratios() -> dict[str, Column]:
     }
 
 
-def piotroski_score(df: DataFrame, keys: Sequence[str] = ("stock",), time: str = "date", daily: bool = False) -> DataFrame:
+def piotroski_score(df: DataFrame, keys: Sequence[str] = ("stock",), time: str = "date", size: str = UNKNOWN) -> DataFrame:
     """Sum of nine 0/1 signals, four of them against the values known 365 days ago.
 
     An unknown comparison counts 0; unknown share issuance counts 1.
     """
     compared = ("longTermDebt", "CR", "GM", "asset_turnover")
     old = {c: f"_ago_{c}" for c in compared}
-    with_past = value_days_ago(df, keys=keys, time=time, columns=old, days=365, mode="asof", daily=daily)
+    with_past = value_days_ago(df, keys=keys, time=time, columns=old, days=365, mode="asof", size=size)
     c = F.col
     signals = [
         flag(c("netIncome") >= 0),
@@ -368,7 +368,7 @@ def macro_trend(
     ``series`` has one row per series and day (see ``windows.densify``). Averages look
     back only.
     """
-    axis = Axis.of("series_id", "date", daily=True)
+    axis = Axis.of("series_id", "date", size=FITS)
     changed = pct_change(series, axis, {o: (value, k) for o, k in (changes or {}).items()}) if changes else series
     return sma_trend(changed, axis, value, lengths, prefix="m", against=against, scale=scale)
 
@@ -425,14 +425,14 @@ def non_payers(df: DataFrame, amount: str) -> DataFrame:
     return df.groupBy("stock").agg(F.sum(amount).alias("_paid")).filter(F.coalesce("_paid", F.lit(0.0)) == 0).select("stock")
 
 
-def dividend_change(panel: DataFrame, events: DataFrame, daily: bool = False) -> DataFrame:
+def dividend_change(panel: DataFrame, events: DataFrame, size: str = UNKNOWN) -> DataFrame:
     """Panel with dividend change, the change before, and days since the announcement.
 
     Stocks that never paid get 0, and days since the first day of the panel.
     """
     aligned = asof_join(
         panel, events, keys=["stock"], time="date", columns=["dividends_change", "prev_div_change"],
-        whole_row=True, keep_time="_announced", daily=daily,
+        whole_row=True, keep_time="_announced", size=size,
     ).withColumn("days_after_divid_report", F.datediff("date", "_announced")).drop("_announced")
     start = panel.agg(F.min("date").alias("_start"))
     dated = aligned.join(F.broadcast(start))  # exactly one row

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.operators.asof import Source, align
-from panelweave.operators.timeline import Axis, checked_broadcast, long_series_keys
+from panelweave.operators.timeline import FITS, LONG, Axis, checked_broadcast, long_series_keys, split_by_keys
 from panelweave.operators.windows import carry_last_change, every_nth_row, forward_returns, label_horizons, pct_change
 from panelweave.plans import features as ft
 from panelweave.session import pin
@@ -66,13 +66,23 @@ def build_panel(inputs: Inputs, *, as_of: Column, start: str = "2000-01-01", vix
 
     Splits, earnings, forecasts and the three statements are aligned with the prices in
     one pass, so the panel is shuffled by stock once; all later windows reuse that
-    partitioning. Sector, macro series and event dates come in by broadcast.
+    partitioning. Sector, macro series and event dates come in by broadcast. Stocks whose
+    series are too long for one task are found once and built apart.
     """
     prices = inputs.prices
-    fits = long_series_keys(prices.select("stock"), ["stock"]) is None
-    axis = Axis.of("stock", "date", daily=fits)
+    found = long_series_keys(prices.select("stock"), ["stock"])
+    shared = _shared_tables(inputs, as_of)
+    if found is None:
+        return _panel_of(prices, inputs, shared, FITS, start, vix)
+    short, long = split_by_keys(prices, found, ["stock"])
+    return _panel_of(short, inputs, shared, FITS, start, vix).unionByName(
+        _panel_of(long, inputs, shared, LONG, start, vix)
+    )
+
 
-    # both are a few rows per stock and are read several times below
+def _shared_tables(inputs: Inputs, as_of: Column) -> list[Source]:
+    """Everything dated that the prices are aligned with. A few rows per stock each."""
+    # read several times below, so stored once
     factors = pin(ft.split_factors(inputs.splits))
     reports = pin(ft.eps_surprise(inputs.earn_history))
     growth = ft.forecast_growth(inputs.earn_trend, inputs.earn_history, factors)
@@ -81,18 +91,26 @@ def build_panel(inputs: Inputs, *, as_of: Column, start: str = "2000-01-01", vix
         ft.statement_source(inputs.income, INCOME_COLUMNS, "income"),
         ft.statement_source(inputs.balance, BALANCE_COLUMNS, "balance"),
     ]
-    known = align(
-        prices,
-        [
-            Source(factors, "date", ("factor",), when="later"),
-            Source(reports, "reportDate", ("surprisePercent", "epsActual"), stamp="_reported"),
-            Source(ft.forecast_timeline(reports, growth, as_of), "date", ("YoY_Proj_Growth", "forecasts_diff"), stamp="_forecast"),
-            Source(ft.long_forecast_events(inputs.long_trend, factors, as_of), "date", ("frcst_1y",)),
-            Source(ft.real_eps_events(inputs.earn_trend, inputs.earn_history, factors), "date", ("real_EPS",)),
-            *statements,
-        ],
-        keys=["stock"], time="date", daily=fits,
-    )
+    return [
+        Source(factors, "date", ("factor",), when="later"),
+        Source(reports, "reportDate", ("surprisePercent", "epsActual"), stamp="_reported"),
+        Source(
+            ft.forecast_timeline(reports, growth, as_of), "date", ("YoY_Proj_Growth", "forecasts_diff"), stamp="_forecast"
+        ),
+        Source(ft.long_forecast_events(inputs.long_trend, factors, as_of), "date", ("frcst_1y",)),
+        Source(ft.real_eps_events(inputs.earn_trend, inputs.earn_history, factors), "date", ("real_EPS",)),
+        *statements,
+    ]
+
+
+def _panel_of(
+    prices: DataFrame, inputs: Inputs, shared: list[Source], size: str, start: str, vix: str | None
+) -> DataFrame:
+    axis = Axis.of("stock", "date", size)
+    stocks = prices.select("stock").distinct()
+    mine = shared if size == FITS else [replace(s, frame=s.frame.join(stocks, "stock", "left_semi")) for s in shared]
+    statements = [s for s in mine if (s.stamp or "").startswith("filing_date_")]
+    known = align(prices, mine, keys=["stock"], time="date", size=size)
     adjusted = ft.adjust_ohlc(known.fillna(1.0, subset=["factor"])).drop("factor")
     settled = ft.settle_statements(adjusted, statements, "filing_date_cashflow").withColumns(
         {
@@ -101,7 +119,7 @@ def build_panel(inputs: Inputs, *, as_of: Column, start: str = "2000-01-01", vix
         }
     )
     ratios = ft.expected_change(settled).withColumns(ft.kpi_ratios()).withColumns(ft.earnings_ratios())
-    scored = ft.piotroski_score(ratios, daily=fits)
+    scored = ft.piotroski_score(ratios, size=size)
     filled = ft.kpi_gap_fill(scored, axis, GAP_FILLED)
     yearly = ft.yoy_kpis(filled, axis).withColumnsRenamed(PANEL_NAMES)
     recent = yearly.filter(F.col("date") > F.lit(start).cast("date"))
