@@ -457,3 +457,50 @@ def threshold_labels(t: Tables) -> DataFrame:
 def payer_flag(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.nullif("l_discount", F.lit(0.05)).alias("DY"))
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", pn.payer_flag().alias("pays_dividends"))
+
+
+@query(
+    "build_panel_core",
+    f"""
+    WITH {TIMELINE_SQL}, {PRICES_SQL}, {LONG_SQL}, {AMOUNTS_SQL},
+    filed AS (SELECT *, date + 30 + CAST(stock % 10 AS INT) + CASE WHEN ret % 4 = 0 THEN 91 ELSE 0 END AS filing_date FROM st),
+    u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stock, filing_date ORDER BY date) AS rn FROM filed) WHERE rn = 1),
+    f AS (SELECT p.stock, p.date, coalesce(product(s.coef), 1) AS factor FROM p
+          LEFT JOIN splits s ON s.stock = p.stock AND s.date > p.date GROUP BY 1, 2),
+    hr AS (SELECT stock, "reportDate" AS rd, coalesce(a, e) AS a, coalesce(e, a) AS e FROM h WHERE a IS NOT NULL OR e IS NOT NULL),
+    cd AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_totalprice >= 499000),
+    k AS (SELECT p.stock, p.date, p.open * f.factor AS open, p.close * f.factor AS close, CAST(p.date - hr.rd AS INT) AS days_report,
+                 100 * (hr.a - hr.e) / nullif(hr.e, 0) AS surprise, u."totalCurrentAssets" / nullif(u."totalCurrentLiabilities", 0) AS cr,
+                 (u."totalRevenue" - u."costOfRevenue") / nullif(u."totalRevenue", 0) AS gm, p.close * f.factor / nullif(4 * hr.a, 0) AS pe,
+                 t.growth, 100 * (lf.frcst - re.eps) / nullif(re.eps, 0) AS expected, CAST(p.date - cd.d AS INT) AS days_crisis
+          FROM p JOIN f ON f.stock = p.stock AND f.date = p.date
+          ASOF LEFT JOIN hr ON hr.stock = p.stock AND p.date >= hr.rd
+          ASOF LEFT JOIN u ON u.stock = p.stock AND p.date >= u.filing_date
+          ASOF LEFT JOIN (SELECT * FROM tl WHERE diff IS NOT NULL) t ON t.stock = p.stock AND p.date >= t.date
+          ASOF LEFT JOIN lf ON lf.stock = p.stock AND p.date >= lf.date
+          ASOF LEFT JOIN re ON re.stock = p.stock AND p.date >= re.date
+          ASOF LEFT JOIN cd ON p.date >= cd.d),
+    w AS (SELECT *, last_value(nullif(cr, 0) IGNORE NULLS) OVER b AS "CR", last_value(nullif(gm, 0) IGNORE NULLS) OVER b AS "GM",
+                 last_value(nullif(pe, 0) IGNORE NULLS) OVER b AS "PE"
+          FROM k WINDOW b AS (PARTITION BY stock ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    SELECT w.stock, w.date, round(close, 4) AS close, days_report AS days_after_earnings_report, round(surprise, 5) AS "EPS_surprise",
+           round("CR", 9) AS "CR", round("GM", 9) AS "GM", round("PE" / 73, 7) AS "PE_per_73", round(growth, 7) AS "EPS_YoY_Growth",
+           round(expected, 4) AS "EPS_1Y_exp_Change", days_crisis AS days_after_crisis,
+           round(100 * (lead(close, 22) OVER (PARTITION BY w.stock ORDER BY w.date) / nullif(open, 0) - 1), 4) AS future_30dprice_change,
+           'SECTOR_' || n_regionkey AS sector
+    FROM w JOIN supplier ON s_suppkey = w.stock JOIN nation ON s_nationkey = n_nationkey
+    WHERE w.date > DATE '1995-06-30' AND "PE" IS NOT NULL AND close <> 0
+    """,
+)
+def build_panel_core(t: Tables) -> DataFrame:
+    """Columns of the panel that one SQL text can follow from the raw lines to the label."""
+    panel = pn.build_panel(landed.inputs(t), as_of=F.lit(AS_OF).cast("date"), start="1995-06-30")
+    core = panel.select(
+        "stock", "date", "close", "days_after_earnings_report", "EPS_surprise", "CR", "GM", "PE", "EPS_YoY_Growth",
+        "EPS_1Y_exp_Change", "days_after_crisis", "future_30dprice_change", "sector",
+    )
+    # a prime divisor keeps the quotient off the ties on which engines round differently
+    digits = {"EPS_surprise": 5, "CR": 9, "GM": 9, "PE_per_73": 7, "EPS_YoY_Growth": 7}
+    plain = rounded(core, 4, ("close", "EPS_1Y_exp_Change", "future_30dprice_change"))
+    scaled = plain.withColumn("PE", F.col("PE") / 73).withColumnRenamed("PE", "PE_per_73")
+    return scaled.withColumns({c: F.round(c, d) for c, d in digits.items()})
