@@ -63,7 +63,7 @@ def split_adjusted_prices(t: Tables) -> DataFrame:
     """,
 )
 def price_trend(t: Tables) -> DataFrame:
-    trend = ft.price_trend(landed.prices(t))
+    trend = ft.price_trend(landed.prices(t), STOCK_DAYS)
     return rounded(trend.drop("open", "high", "low", "close", "volume", "price_sma50", "price_sma200"))
 
 
@@ -385,7 +385,7 @@ def dividend_change(t: Tables) -> DataFrame:
     panel = landed.prices(t).select(
         "stock", "date", F.when(c("stock") % 7 == 0, 0.0).otherwise(c("volume").cast("double")).alias("divCash")
     )
-    done = ft.dividend_change(panel, ft.dividend_events(statements), size=FITS)
+    done = ft.dividend_change(panel, ft.dividend_events(statements, STOCK_DAYS), size=FITS)
     return rounded(done.drop("divCash"), 6)
 
 

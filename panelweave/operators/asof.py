@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelweave.operators.timeline import FITS, LONG, UNKNOWN, Axis, fill, split_long_series
+from panelweave.operators.timeline import LONG, UNKNOWN, Axis, fill, split_long_series
 
 
 def asof_join(

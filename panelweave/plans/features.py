@@ -61,7 +61,8 @@ YOY_NAMES = {
     "DY": "YoY_DY",
 }
 
-STOCK_DAYS = Axis.of("stock", "date", size=FITS)
+STOCK_DAYS = Axis.of("stock", "date", size=FITS)  # only for frames aggregated to stock and day
+STOCK_ROWS = Axis.of("stock", "date")
 
 
 # --- splits and prices --------------------------------------------------------------
@@ -97,7 +98,7 @@ def adjust_ohlc(priced: DataFrame) -> DataFrame:
     return priced.withColumns({c: F.col(c) * F.col("factor") for c in ("open", "high", "low", "close")})
 
 
-def price_trend(prices: DataFrame, axis: Axis = STOCK_DAYS) -> DataFrame:
+def price_trend(prices: DataFrame, axis: Axis = STOCK_ROWS) -> DataFrame:
     """50 and 200 row price averages over trading rows: slope, distance, and their ratio."""
     return sma_trend(prices, axis, "close", (50, 200), prefix="price")
 
@@ -408,7 +409,7 @@ def current_ratio_backfill(df: DataFrame) -> DataFrame:
 
 
 def dividend_events(
-    statements: DataFrame, axis: Axis = STOCK_DAYS, announced_days: int = 60, probe: DataFrame | None = None
+    statements: DataFrame, axis: Axis = STOCK_ROWS, announced_days: int = 60, probe: DataFrame | None = None
 ) -> DataFrame:
     """Changes of the dividend per share, dated to their announcement, with the change before."""
     per_share = statements.withColumn("div_per_share", F.try_divide("payDiv", "sharesBasic")).filter(
