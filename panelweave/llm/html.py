@@ -1,0 +1,213 @@
+"""Main text of web pages by two-pass block rules.
+
+A page is cut into blocks at block-level tags. Blocks in menus, headers, footers, sidebars,
+forms, adverts, notices and comments (by tag, role, class or id) are left out. The first pass
+classifies the rest alone, by stop-word density, length and link density: good, near-good, bad
+or short. The second pass settles the ambiguous ones by the nearest decided neighbours: a short block needs good ones,
+a near-good block is refused between two bad ones. Inside an ``article`` or ``main`` element the
+markup has already said what the text is: there a block is not refused for few stop words, and a
+short one only if its decided neighbours are all bad.
+
+Character references are decoded, white space inside a block becomes one space. Null html is
+empty; pages without text have an empty one. Broken markup is read as browsers do in the main:
+unclosed paragraphs end where the next block begins, an unfinished tag at the end is dropped.
+Repeated rows are extracted each for itself, an empty table gives an empty result, extra columns
+are passed through (one named like the result gives way).
+"""
+
+from __future__ import annotations
+
+import html as entities
+import re
+from dataclasses import dataclass
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from panelweave.llm.registry import query, table, with_columns
+
+BLOCK_TAGS = frozenset(
+    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
+    "frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody "
+    "td tfoot th thead tr ul".split())
+VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+RAW_TAGS = frozenset("script style noscript template textarea title iframe svg math object canvas select xmp noembed noframes".split())
+LEFT_OUT_TAGS = frozenset("nav header footer aside form menu dialog button label figcaption head".split())
+LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
+LEFT_OUT_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar sidebars aside menu nav navbar navigation "
+    "breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices alert popup modal overlay comment comments "
+    "reply replies disqus discussion share sharing social related recommended newsletter subscribe subscription signup login search widget "
+    "pagination pager toolbar disclaimer copyright".split())
+MAIN_TAGS = frozenset(("article", "main"))
+
+#: Frequent function words of English, German, French and Spanish.
+STOP_WORDS = frozenset(
+    """a about after all also an and any are as at be been but by can could did do for from had has have he her his how i if in into is
+    it its more no not of on one only or other our out she so some than that the their them then there these they this to up was we
+    were what when which who will with would you your
+    aber als am an auch auf aus bei bin bis das dass dem den der des die doch ein eine einem einen einer er es für hat ich ihr im ist
+    ja kann man mit nach nicht noch nur oder sein sich sie sind so über um und uns vom von vor war was wenn wie wir wird zu zum zur
+    au aux avec ce ces cette dans de des du elle en est et être il ils je la le les leur lui mais ne nous on ou où par pas plus pour
+    que qui sa sans se ses son sont sur tout très un une vous
+    al como con de del desde el ella en entre era es esta este esto fue ha hasta la las lo los más me mi muy no nos o para pero por
+    porque que se ser si sin sobre son su sus también tan todo un una uno y ya""".split())
+
+SHORT, LONG = 40, 120  # characters
+DENSE, SPARSE, LINKED = 0.30, 0.15, 0.33  # stop-word densities of good and near-good text, link density of bad text
+
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*\Z""", re.S)
+_NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+@dataclass
+class Block:
+    text: str
+    linked: int  # characters inside links
+    main: int  # number of the enclosing article or main element, 0 if there is none
+    label: str = ""
+
+
+def _left_out(tag: str, attributes: str) -> bool:
+    if tag in LEFT_OUT_TAGS:
+        return True
+    if tag in ("html", "body", "article", "main"):
+        return False
+    for name, value in _NAMED.findall(attributes):
+        tokens = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value.strip("\"'")).lower())
+        if not (LEFT_OUT_ROLES if name.lower() == "role" else LEFT_OUT_NAMES).isdisjoint(tokens):
+            return True
+    return False
+
+
+def blocks(page: str) -> list[Block]:
+    """The blocks of a page that are not left out by tag, role, class or id."""
+    out: list[Block] = []
+    stack: list[tuple[str, bool, int]] = []  # open elements: tag, left out, number of main element
+    pieces: list[tuple[str, bool]] = []
+    mains = links = breaks = at = 0
+
+    def close() -> None:
+        text = " ".join("".join(t for t, _ in pieces).split())
+        if text:
+            out.append(Block(text, sum(len("".join(t.split())) for t, inside in pieces if inside), stack[-1][2] if stack else 0))
+        pieces.clear()
+
+    def pop_to(n: int) -> None:
+        nonlocal links
+        links -= sum(t == "a" for t, _, _ in stack[n:])
+        del stack[n:]
+
+    def add(raw: str) -> None:
+        if raw and not (stack and stack[-1][1]):
+            pieces.append((entities.unescape(raw), links > 0))
+
+    while (m := _TAG.search(page, at)) is not None:
+        add(page[at:m.start()])
+        if m.end() > m.start() and page[at:m.start()].strip():
+            breaks = 0
+        at, tag = m.end(), (m[2] or "").lower()
+        if not tag:
+            continue
+        if tag in RAW_TAGS:
+            if not m[1] and not m[3].endswith("/"):
+                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                at = end.end() if end else len(page)
+            continue
+        if tag == "br":
+            breaks += 1
+            close() if breaks > 1 else pieces.append((" ", False))
+            continue
+        if tag in BLOCK_TAGS:
+            close()
+            breaks = 0
+        if m[1]:
+            for n in range(len(stack) - 1, -1, -1):
+                if stack[n][0] == tag:
+                    pop_to(n)
+                    break
+                if tag not in BLOCK_TAGS and stack[n][0] in BLOCK_TAGS and stack[n][0] != "p":
+                    break  # an inline end tag closes nothing outside its block
+            continue
+        if tag in VOID_TAGS:
+            continue
+        if tag in BLOCK_TAGS:
+            for n in range(len(stack) - 1, -1, -1):  # a new block ends an open paragraph, a new item an open item
+                if stack[n][0] == "p" or (tag == stack[n][0] and tag in ("li", "dt", "dd", "tr", "td", "th", "option")):
+                    pop_to(n)
+                    break
+                if stack[n][0] in BLOCK_TAGS:
+                    break
+        inner = stack[-1] if stack else ("", False, 0)
+        if tag in MAIN_TAGS and not inner[2]:
+            mains += 1
+            inner = (inner[0], inner[1], mains)
+        stack.append((tag, inner[1] or _left_out(tag, m[3]), inner[2]))
+        links += tag == "a"
+    add(page[at:])
+    close()
+    return out
+
+
+def first_pass(block: Block) -> str:
+    words = _WORD.findall(block.text.lower())
+    stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    chars = len(block.text.replace(" ", ""))
+    if block.linked > LINKED * chars or (not block.main and "©" in block.text):
+        return "bad"
+    if len(block.text) < SHORT:
+        return "short"
+    if stops >= DENSE or block.main:
+        return "good" if len(block.text) > LONG else "near"
+    return "near" if stops >= SPARSE else "bad"
+
+
+def second_pass(found: list[Block]) -> None:
+    """Settle short and near-good blocks by the nearest decided ones; within a main element only those of it count."""
+    n = len(found)
+    decided = [b.label if b.label in ("good", "bad") else "" for b in found]
+    before, after = [""] * n, [""] * n
+    for i in range(1, n):
+        if found[i].main == found[i - 1].main:
+            before[i] = decided[i - 1] or before[i - 1]
+    for i in range(n - 2, -1, -1):
+        if found[i].main == found[i + 1].main:
+            after[i] = decided[i + 1] or after[i + 1]
+    for i, block in enumerate(found):
+        if not decided[i]:
+            sides = {before[i], after[i]} - {""}
+            if block.main:
+                block.label = "bad" if sides == {"bad"} and block.label == "short" else "good"
+            elif block.label == "near":
+                block.label = "bad" if before[i] == after[i] == "bad" else "good"
+            else:
+                block.label = "good" if sides == {"good"} else "bad"
+
+
+def main_text(page: str | None) -> str:
+    found = blocks(page or "")
+    for block in found:
+        block.label = first_pass(block)
+    second_pass(found)
+    return "\n".join(b.text for b in found if b.label == "good")
+
+
+@F.pandas_udf(StringType())
+def _main_texts(pages: pd.Series) -> pd.Series:
+    return pages.map(main_text, na_action=None)
+
+
+def extract_main_text(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
+    """The input with the main text of each page. One pass without a shuffle; only the html goes to Python."""
+    done = pages.withColumn("_main", _main_texts(F.col(html)))
+    return with_columns(done, {out: F.col("_main")}).drop("_main")
+
+
+@query("op9_html_text")
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page and its length."""
+    found = extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
