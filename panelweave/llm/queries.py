@@ -1,6 +1,6 @@
 """All queries of this package. Importing this module fills the registry."""
 
-from panelweave.llm import chat, html, mixing, pii, quality, secrets, urls  # noqa: F401
+from panelweave.llm import chat, decontam, html, mixing, pii, quality, secrets, urls  # noqa: F401
 from panelweave.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
