@@ -210,19 +210,21 @@ def item_blocks(benchmark: DataFrame, item: str, text: str, block_chars: int) ->
         yield sorted(((r[0], r[1]) for r in block.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
 
 
+def _search(index: WindowIndex, kind: str):
+    @F.pandas_udf(kind)
+    def search(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: leaks_of(t, index), na_action=None)
+
+    return search
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
                block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The input with ``leaks``: array of (item, start, end, edits), empty for a clean document."""
     kind = f"array<struct<item:{dict(benchmark.dtypes)[item]},start:int,end:int,edits:int>>"
     columns = []
     for block in item_blocks(benchmark, item, item_text, block_chars):
-        index = WindowIndex.of(block)
-
-        @F.pandas_udf(kind)
-        def search(texts: pd.Series, index=index) -> pd.Series:
-            return texts.map(lambda t: leaks_of(t, index), na_action=None)
-
-        columns.append(search(F.col(text)))
+        columns.append(_search(WindowIndex.of(block), kind)(F.col(text)))
     done = docs.withColumn("_leaks", F.concat(*columns) if columns else F.array().cast(kind))
     return with_columns(done, {"leaks": F.col("_leaks")}).drop("_leaks")
 
