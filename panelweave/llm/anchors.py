@@ -1,0 +1,77 @@
+"""Anchors: positions of a byte string chosen by its content, so that equal strings choose alike.
+
+Of every ``length`` consecutive bytes one position is chosen, that of the least hash among the
+``GRAM``-byte pieces inside (the first, if several are least). Two equal strings of that length
+choose the same piece. So whatever is repeated can be found at equal anchors, and each string
+belongs to one anchor. Neighbouring strings mostly choose the same anchor; the strings of an
+anchor are consecutive, and their bytes are its context.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+from panelweave.llm.shingles import _BYTE, _INVERSE, _STEP, mix, powers
+
+GRAM = 16
+PIECE = 1 << 20  # strings looked at together
+
+
+def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first string, last string) of every anchor of the bytes, strings named by their start."""
+    found = [_anchors(data[at:at + PIECE + length - 1], length, at) for at in range(0, max(len(data) - length + 1, 0), PIECE)]
+    if not found:
+        empty = np.empty(0, dtype=np.int64)
+        return empty.astype(np.uint64), empty, empty
+    if len(found) == 1:
+        return found[0][:3]
+    place = np.concatenate([f[3] for f in found])
+    hashes, first, last = (np.concatenate([f[i] for f in found]) for i in range(3))
+    fresh = np.concatenate(([True], place[1:] != place[:-1]))  # an anchor whose strings two pieces share
+    ends = np.append(np.flatnonzero(fresh)[1:] - 1, len(place) - 1)
+    return hashes[fresh], first[fresh], last[ends]
+
+
+def _anchors(data: np.ndarray, length: int, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    n = len(data)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * powers(_STEP, n)[:n], out=sums[1:])
+    hashes = mix((sums[GRAM:] - sums[:-GRAM]) * powers(_INVERSE, n)[:n - GRAM + 1])
+    width = length - GRAM + 1
+    least, span = hashes, 1
+    while span * 2 <= width:  # minima of windows of 2, 4, ... pieces, then of the width from two that overlap
+        least, span = np.minimum(least[:-span], least[span:]), span * 2
+    if span < width:
+        least = np.minimum(least[:len(hashes) - width + 1], least[width - span:width - span + len(hashes) - width + 1])
+    # a string chooses the piece its left neighbour chose, until that leaves it or a smaller one comes; equal pieces: the first
+    where = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+    runs = np.append(where, len(least))
+    first, place = [], []
+    single = np.diff(runs) <= width
+    for start, end in zip(runs[:-1][~single], runs[1:][~single]):  # longer than a window: equal pieces follow one another
+        s = start
+        while s < end:
+            p = s + int(np.argmax(hashes[s:s + width] == least[s]))
+            first.append(s)
+            place.append(p)
+            s = min(p + 1, end)
+    starts = where[single]
+    offsets = _first_equal(hashes, least, starts, width)
+    first = np.concatenate([starts, np.array(first, dtype=np.int64)])
+    place = np.concatenate([starts + offsets, np.array(place, dtype=np.int64)])
+    again = np.flatnonzero(place < np.append(runs[1:][single], np.full(len(first) - len(starts), 1 << 62)) - 1)
+    del again
+    order = np.argsort(first, kind="stable")
+    first, place = first[order], place[order]
+    last = np.append(first[1:] - 1, len(least) - 1)
+    return hashes[place], first + at, last + at, place + at
+
+
+def _first_equal(hashes: np.ndarray, least: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    out = np.full(len(starts), -1, dtype=np.int64)
+    for k in range(width):
+        open_ = np.flatnonzero(out < 0)
+        if not len(open_):
+            break
+        out[open_[hashes[starts[open_] + k] == least[starts[open_]]]] = k
+    return out
