@@ -6,7 +6,7 @@ classifies the rest alone, by stop-word density, length and link density: good,
 or short. The second pass settles the ambiguous ones by the nearest decided neighbours: a short block needs good ones,
 a near-good block is refused between two bad ones. Inside an ``article`` or ``main`` element the
 markup has already said what the text is: there a block is not refused for few stop words, and a
-short one only if its decided neighbours are all bad.
+short one only between two bad ones.
 
 Character references are decoded, white space inside a block becomes one space. Null html is
 empty; pages without text have an empty one. Broken markup is read as browsers do in the main:
@@ -179,10 +179,8 @@ def second_pass(found: list[Block]) -> None:
     for i, block in enumerate(found):
         if not decided[i]:
             sides = {before[i], after[i]} - {""}
-            if block.main:
-                block.label = "bad" if sides == {"bad"} and block.label == "short" else "good"
-            elif block.label == "near":
-                block.label = "bad" if before[i] == after[i] == "bad" else "good"
+            if block.main or block.label == "near":
+                block.label = "bad" if before[i] == after[i] == "bad" and not (block.main and block.label == "near") else "good"
             else:
                 block.label = "good" if sides == {"good"} else "bad"
 

@@ -88,23 +88,27 @@ def _induce_loops(text: np.ndarray, small: np.ndarray, order: np.ndarray, letter
     own = np.full(n, -1, dtype=np.int64)  # the leftmost-smaller suffixes at the ends of their buckets
     first = ends - counts
     own[np.arange(len(order)) + np.repeat(first - (np.cumsum(counts) - counts), counts)] = by_letter
-    out, letter, is_small = own.tolist(), text.tolist(), small.tolist()
-    j = n - 1
-    out[heads[letter[j]]] = j
-    heads[letter[j]] += 1
-    for i in range(n):
-        j = out[i] - 1
-        if j >= 0 and not is_small[j]:
-            c = letter[j]
-            out[heads[c]] = j
+    out, j = own.tolist(), n - 1
+    # for each suffix, the letter of the one before it if the scan is to place that, else -1; the last entry stands for no suffix
+    before = np.full(n + 1, -1, dtype=np.int64)
+    before[1:n] = np.where(small[:-1], -1, text[:-1])
+    larger = before.tolist()
+    before[1:n] = np.where(small[:-1], text[:-1], -1)
+    smaller = before.tolist()
+    c = int(text[j])
+    out[heads[c]] = j
+    heads[c] += 1
+    for p in out:  # the scan meets what it has just placed
+        c = larger[p]
+        if c >= 0:
+            out[heads[c]] = p - 1
             heads[c] += 1
     tails = ends.tolist()
-    for i in range(n - 1, -1, -1):
-        j = out[i] - 1
-        if j >= 0 and is_small[j]:
-            c = letter[j]
+    for p in reversed(out):
+        c = smaller[p]
+        if c >= 0:
             tails[c] -= 1
-            out[tails[c]] = j
+            out[tails[c]] = p - 1
     return np.array(out, dtype=np.int64)
 
 

@@ -25,7 +25,8 @@ repeated rows are treated alike. An empty table gives an empty result; extra col
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -42,32 +43,104 @@ LENGTH = 50
 GRAM = 16
 FREQUENT = 128  # documents with a name up to which a shard takes all its contexts
 PIECE = 1 << 20  # strings named together
-DOCUMENTS = 256  # documents whose names travel together
+DOCUMENTS = 2048  # documents whose names travel together
 SEPARATOR = 0xFF  # is in no UTF-8 text
 LAST = (1 << 63) - 1
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 100 << 20
 
 
-def contexts(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(name, first string, number of strings) of every run of strings with one name."""
-    parts = [_contexts(np.frombuffer(data[at:at + PIECE + length - 1], dtype=np.uint8), length, at)
-             for at in range(0, max(len(data) - length + 1, 0), PIECE)]
-    if not parts:
-        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    return tuple(np.concatenate(x) for x in zip(*parts))
+@dataclass(frozen=True)
+class Contexts:
+    """Runs of strings with one name: text they are in, name, first string, number of strings, marks.
 
+    A string reaches at least (length - GRAM) / 2 bytes to the left or to the right of its piece.
+    The marks hold a byte for what is there on either side; two contexts with a string in common
+    agree in one of them, or one has ``UNKNOWN``.
+    """
 
-def _contexts(data: np.ndarray, length: int, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    owner: np.ndarray
+    name: np.ndarray
+    first: np.ndarray
+    strings: np.ndarray
+    marks: np.ndarray
+
+
+LEFT, RIGHT, UNKNOWN = 16, 17, 18  # bits that say which side is known
+
+
+def contexts(texts: Sequence[bytes], length: int = LENGTH, marked: bool = True) -> Contexts:
+    """The contexts of some texts. Texts are laid together, long ones in overlapping pieces, to be worked on in numpy."""
+    found, held, size = [], [], 0
+    for owner, text in enumerate(texts):
+        for at in range(0, max(len(text) - length + 1, 0), PIECE):
+            held.append((owner, at, text[at:at + PIECE + length - 1]))
+            size += len(held[-1][2])
+            if size > PIECE:
+                found.append(_contexts(held, length, marked))
+                held, size = [], 0
+    if held:
+        found.append(_contexts(held, length, marked))
+    if not found:
+        none = np.empty(0, dtype=np.int64)
+        return Contexts(none, none.astype(np.uint64), none, none, none)
+    return Contexts(*(np.concatenate(x) for x in zip(*found)))
+
+
+def _contexts(parts: list[tuple[int, int, bytes]], length: int, marked: bool) -> tuple[np.ndarray, ...]:
+    data = np.frombuffer(b"".join(p[2] for p in parts), dtype=np.uint8)
+    sizes = np.array([len(p[2]) for p in parts])
+    begins = np.cumsum(sizes) - sizes
     n, width = len(data), length - GRAM + 1
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * powers(_STEP, n)[:n], out=sums[1:])
-    least = mix((sums[GRAM:] - sums[:-GRAM]) * powers(_INVERSE, n)[:n - GRAM + 1])
+    inverse = powers(_INVERSE, n + 1)
+    least = hashes = mix((sums[GRAM:] - sums[:-GRAM]) * inverse[:n - GRAM + 1])
     strings, span = n - length + 1, 1
     while span * 2 <= width:
         least, span = np.minimum(least[:-span], least[span:]), span * 2
     least = np.minimum(least[:strings], least[width - span:width - span + strings])
-    first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    return least[first], first + at, np.diff(np.append(first, strings))
+    change = np.concatenate(([True], least[1:] != least[:-1]))
+    inside = np.ones(strings, dtype=bool)  # strings over a border between texts do not count
+    for end in (begins + sizes)[:-1]:
+        inside[max(end - length + 1, 0):end] = False
+    change[1:] |= inside[1:] != inside[:-1]
+    change[begins[begins < strings]] = True
+    first = np.flatnonzero(change)
+    ends = np.append(first[1:], strings) - 1
+    kept = inside[first]
+    first, ends = first[kept], ends[kept]
+    names = least[first]
+    part = np.searchsorted(begins, first, side="right") - 1
+    owner, base = np.array([p[0] for p in parts]), np.array([p[1] for p in parts])
+    marks = _marks(hashes, names, first, ends, width, sums, inverse, begins[part], (begins + sizes)[part], (length - GRAM) // 2) if marked else first
+    return owner[part], names, first - begins[part] + base[part], ends - first + 1, marks
+
+
+def _marks(hashes, names, first, ends, width: int, sums, inverse, begin, end, reach: int) -> np.ndarray:
+    # the piece that names a run: the last to come into its first string, the first of its last string, or else searched
+    piece = np.where(hashes[first + width - 1] == names, first + width - 1, np.where(hashes[ends] == names, ends, -1))
+    open_ = np.flatnonzero(piece < 0)
+    for k in range(width):
+        here = hashes[first[open_] + k] == names[open_]
+        piece[open_[here]] = first[open_[here]] + k
+        open_ = open_[~here]
+    # a piece that is found again within a string leaves open which one is meant
+    short, again = hashes.astype(np.uint16), np.zeros(len(hashes), dtype=bool)
+    for d in range(1, min(width, len(hashes))):
+        same = short[d:] == short[:-d]
+        again[d:] |= same
+        again[:-d] |= same
+
+    def byte(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (mix((sums[b] - sums[a]) * inverse[a]) >> np.uint64(56)).astype(np.int64)
+
+    marks = np.zeros(len(names), dtype=np.int64)
+    a = np.flatnonzero(piece - reach >= begin)
+    marks[a] |= byte(piece[a] - reach, piece[a]) << 8 | 1 << LEFT
+    a = np.flatnonzero(piece + GRAM + reach <= end)
+    marks[a] |= byte(piece[a] + GRAM, piece[a] + GRAM + reach) | 1 << RIGHT
+    marks[again[piece] | (ends - first >= width)] = 1 << UNKNOWN
+    return marks
 
 
 def short_names(names: np.ndarray, buckets: int) -> np.ndarray:
@@ -75,6 +148,20 @@ def short_names(names: np.ndarray, buckets: int) -> np.ndarray:
     return ((names >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64) << 32 | (names & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
+def _of_several(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether a value occurs with more than one key."""
+    order = np.lexsort((keys, values))
+    v, k = values[order], keys[order]
+    first = np.ones(len(v), dtype=bool)
+    first[1:] = v[1:] != v[:-1]
+    run = np.cumsum(first) - 1
+    start = np.flatnonzero(first)
+    several = k[start] != k[np.append(start[1:], len(v)) - 1] if len(v) else first
+    out = np.empty(len(v), dtype=bool)
+    out[order] = several[run]
+    return out
+
+
 def repeated_names(texts: DataFrame, buckets: int, frequent: int) -> DataFrame:
     """(key, name, frequent) of every name that several keys have. ``texts``: key, text.
 
@@ -84,24 +171,31 @@ def repeated_names(texts: DataFrame, buckets: int, frequent: int) -> DataFrame:
     def named(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for at in range(0, len(frame), DOCUMENTS):
-                keys, names = [], []
-                for key, text in zip(frame["key"][at:at + DOCUMENTS], frame["text"][at:at + DOCUMENTS]):
-                    own = np.unique(short_names(contexts((text or "").encode("utf-8", "surrogatepass"))[0], buckets))
-                    names.append(own)
-                    keys.append(np.full(len(own), key, dtype=np.int64))
-                keys, names = np.concatenate(keys), np.concatenate(names)
+                part = frame.iloc[at:at + DOCUMENTS]
+                own = contexts([(t or "").encode("utf-8", "surrogatepass") for t in part["text"]])
+                keys, names, marks = part["key"].to_numpy(dtype=np.int64)[own.owner], short_names(own.name, buckets), own.marks
                 order = np.argsort(names >> 32, kind="stable")
                 bucket = names[order] >> 32
                 used, first = np.unique(bucket, return_index=True)
                 low = (names[order] & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
                 yield pd.DataFrame({"bucket": used.astype(np.int32), "names": np.split(low, first[1:]) if len(used) else [],
-                                    "keys": np.split(keys[order], first[1:]) if len(used) else []})
+                                    "keys": np.split(keys[order], first[1:]) if len(used) else [],
+                                    "marks": np.split(marks[order].astype(np.int32), first[1:]) if len(used) else []})
 
     def compared(frame: pd.DataFrame) -> pd.DataFrame:
-        names, keys = np.concatenate(frame["names"].to_list()), np.concatenate(frame["keys"].to_list())
+        names, keys, marks = (np.concatenate(frame[c].to_list()) for c in ("names", "keys", "marks"))
+        wide = names.astype(np.int64) << 9
+        met = (marks >> UNKNOWN).astype(bool)
+        for known, shift in ((LEFT, 8), (RIGHT, 0)):  # agreement to the left, to the right
+            mark = np.where((marks >> known) & 1, (marks >> shift) & 255, 256)
+            met |= _of_several(wide + mark, keys) & (mark < 256)
+        odd = np.unique(names[(marks >> UNKNOWN).astype(bool)])
+        met |= np.isin(names, odd)  # next to an unknown piece nothing is ruled out
+        names, keys = names[met], keys[met]
         order = np.lexsort((keys, names))
         names, keys = names[order], keys[order]
-        fresh = np.concatenate(([True], (names[1:] != names[:-1]) | (keys[1:] != keys[:-1])))
+        fresh = np.ones(len(names), dtype=bool)
+        fresh[1:] = (names[1:] != names[:-1]) | (keys[1:] != keys[:-1])
         names, keys = names[fresh], keys[fresh]
         _, number, counts = np.unique(names, return_inverse=True, return_counts=True)
         several = counts[number] > 1
@@ -109,7 +203,7 @@ def repeated_names(texts: DataFrame, buckets: int, frequent: int) -> DataFrame:
         return pd.DataFrame({"key": keys[several], "name": bucket | names[several].view(np.uint32).astype(np.int64),
                              "frequent": counts[number][several] > frequent})
 
-    packed = texts.mapInPandas(named, "bucket int, names array<int>, keys array<long>")
+    packed = texts.mapInPandas(named, "bucket int, names array<int>, keys array<long>, marks array<int>")
     return packed.groupBy("bucket").applyInPandas(compared, "key long, name long, frequent boolean")
 
 
@@ -122,15 +216,16 @@ def repeated_contexts(texts: DataFrame, names: DataFrame, buckets: int) -> DataF
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for at in range(0, len(frame), DOCUMENTS):
+                part = frame.iloc[at:at + DOCUMENTS]
+                data = [(t or "").encode("utf-8", "surrogatepass") for t in part["text"]]
+                own = contexts(data, marked=False)
+                short, borders = short_names(own.name, buckets), np.searchsorted(own.owner, np.arange(len(data) + 1))
                 rows = []
-                for r in frame.iloc[at:at + DOCUMENTS].itertuples(index=False):
-                    data = (r.text or "").encode("utf-8", "surrogatepass")
-                    own, first, strings = contexts(data)
-                    short = short_names(own, buckets)
-                    chosen = np.flatnonzero(np.isin(short, r.names))
+                for r, text, a, b in zip(part.itertuples(index=False), data, borders[:-1], borders[1:]):
+                    chosen = a + np.flatnonzero(np.isin(short[a:b], r.names))
                     hot = np.isin(short[chosen], r.hot)
-                    rows += [(r.key, r.print, name, is_hot, data[a:a + n + LENGTH - 1], a) for name, is_hot, a, n in zip(
-                        short[chosen].tolist(), hot.tolist(), first[chosen].tolist(), strings[chosen].tolist())]
+                    rows += [(r.key, r.print, name, is_hot, text[at_:at_ + n + LENGTH - 1], at_) for name, is_hot, at_, n in zip(
+                        short[chosen].tolist(), hot.tolist(), own.first[chosen].tolist(), own.strings[chosen].tolist())]
                 yield pd.DataFrame(rows, columns=["key", "print", "name", "frequent", "context", "first"])
 
     return found.mapInPandas(cut, "key long, print long, name long, frequent boolean, context binary, first int")
@@ -252,7 +347,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", fre
     spark = docs.sparkSession
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     texts = docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST)).alias("key"), F.xxhash64(body).alias("print"), body.alias("text"))
-    buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # a second hash keeps different texts with one print apart
     seen = pin(texts.select("key", "print", F.md5("text").alias("digest"), F.octet_length("text").alias("bytes")))
@@ -262,9 +357,11 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", fre
 
     mark = copies.select(F.col("key").alias("_key"), F.col("print").alias("_print"))
     single = texts.join(checked_broadcast(mark), (F.col("key") == F.col("_key")) & (F.col("print") == F.col("_print")), "left_anti")
-    names = repeated_names(single.select("key", "text"), buckets, frequent)
-    found = repeated_contexts(single, names, buckets)
-    cuts, hot = shards(found, scratch_path(spark, "contexts"), buckets // 4)
+    names = pin(repeated_names(single.select("key", "text"), buckets, frequent))
+    keys = names.select(F.col("key").alias("_named")).distinct()
+    named = single.join(checked_broadcast(pin(keys)), F.col("key") == F.col("_named"), "left_semi")  # texts without a name stay where they are
+    found = repeated_contexts(named, names, buckets)
+    cuts, hot = shards(found, scratch_path(spark, "contexts"), buckets)
 
     @F.pandas_udf("starts array<int>, ends array<int>")
     def merged(starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
