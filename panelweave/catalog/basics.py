@@ -97,7 +97,7 @@ def panel_roundtrip(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "panel")
     panel = t.orders.select(F.col("o_custkey").alias("stock"), day("o_orderdate").alias("date"), "o_orderkey", "o_totalprice")
     files.write_panel(panel, path)
-    return t.spark.read.parquet(path).filter((F.col("year") >= 1998) & (F.col("date") >= "1998-01-01")).drop("year")
+    return files.read_panel(t.spark, path, since="1998-01-01")
 
 
 # --- projections and filters --------------------------------------------------------
@@ -560,7 +560,12 @@ def distinct_values(t: Tables) -> DataFrame:
     )
 
 
-@query("hash_split")
+@query(
+    "hash_split",
+    """
+    SELECT o_orderkey, o_totalprice, ('0x' || substr(md5('42-' || o_orderkey::VARCHAR), 1, 8))::BIGINT % 100 < 20 AS is_test FROM orders
+    """,
+)
 def hash_split(t: Tables) -> DataFrame:
     return rel.hash_split(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"])
 

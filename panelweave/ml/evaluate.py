@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from panelweave.functions.scalars import outcome_tag
 from panelweave.operators.relational import members, share_of_total
 from panelweave.operators.stats import group_outcome_stats
-from panelweave.operators.timeline import Axis, accumulate, rolling
+from panelweave.operators.timeline import Axis, accumulate, checked_broadcast, null_safe_join, rolling
+from panelweave.session import pin
 
 SWEEP = (0.55, 0.60, 0.65, 0.70, 0.75, 0.80)  # fixed values: decision thresholds
 
@@ -56,7 +57,8 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "proba", by: Seq
     """One point per distinct score: false and true positive rate at that threshold."""
     points = _by_score(df, label, score, by, probe)
     ends = points.groupBy(*by).agg(F.max("cum_tp").alias("_tp"), F.max("cum_fp").alias("_fp"))
-    joined = points.join(ends, list(by)) if by else points.join(F.broadcast(ends))  # one row
+    # one row per group: sent to the points where it is small, so that a group is no one task's work
+    joined = null_safe_join(points, checked_broadcast(pin(ends)), list(by), "inner") if by else points.join(F.broadcast(ends))
     return joined.select(
         *by, F.col(score).alias("threshold"),
         F.try_divide(F.col("cum_fp").cast("double"), F.col("_fp").cast("double")).alias("fpr"),
@@ -125,7 +127,7 @@ def horizon_summary(df: DataFrame, label: str = "label", pred: str = "pred", sco
         horizon, F.bround(100.0 * F.col("precision"), 2).alias("precision_percent")
     )
     area = roc_auc(df, label, score, [horizon]).select(horizon, F.bround(100.0 * F.col("auc"), 2).alias("auc_percent"))
-    return precision.join(area, horizon)
+    return null_safe_join(precision, area, [horizon])
 
 
 def buy_signals(

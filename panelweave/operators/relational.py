@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.functions.scalars import outside_bounds
@@ -71,7 +71,8 @@ def duplicate_row_count(df: DataFrame) -> DataFrame:
 
 def hash_split(df: DataFrame, identity: Sequence[str], test_percent: int = 20, seed: int = 42) -> DataFrame:
     """Adds ``is_test``; the same row lands on the same side however it is partitioned."""
-    bucket = F.pmod(F.xxhash64(*identity, F.lit(seed)), F.lit(100))
+    text = F.concat_ws("-", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in identity])
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 100
     return df.withColumn("is_test", bucket < test_percent)
 
 
@@ -110,7 +111,7 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
 def share_of_total(df: DataFrame, by: Sequence[str], value: Column, out: str = "total") -> DataFrame:
     """Sum per group and its percentage of the overall sum."""
     grouped = df.groupBy(*by).agg(F.sum(value).alias(out))
-    # the window runs over one row per group, after the partial aggregation
-    return grouped.withColumn(
-        "share_percent", 100.0 * F.try_divide(F.col(out), F.sum(out).over(Window.partitionBy()))
-    )
+    overall = grouped.agg(F.sum(out).alias("_all"))  # one row
+    return grouped.join(F.broadcast(overall)).withColumn(
+        "share_percent", 100.0 * F.try_divide(F.col(out), F.col("_all"))
+    ).drop("_all")

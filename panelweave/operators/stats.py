@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.operators.timeline import Axis, accumulate, spread_join
+from panelweave.operators.timeline import Axis, accumulate, checked_broadcast, null_safe_join, spread_join
 from panelweave.session import pin
 
 
@@ -81,7 +81,7 @@ def impute_group_mean(df: DataFrame, group: str, column: str) -> tuple[DataFrame
     broadcast of their means.
     """
     lookup = df.groupBy(group).agg(F.avg(column).alias("group_mean"))
-    filled = spread_join(df, lookup, [group]).withColumn(column, F.coalesce(column, "group_mean"))
+    filled = spread_join(df, lookup, [group], null_safe=True).withColumn(column, F.coalesce(column, "group_mean"))
     return filled.select(*df.columns), lookup
 
 
@@ -123,24 +123,39 @@ def exact_quantiles(
         ]
     )
     few = lambda i: F.col(f"_n{i}") <= ALL_VALUES_BELOW
-    brackets = pin(
-        sketched.select(
+    base = df if base is None else base
+
+    def within(whole_range: bool) -> DataFrame:
+        """Values at the wanted ranks, and whether each rank lies in its bracket."""
+        ends = lambda i: F.lit(True) if whole_range else few(i)
+        brackets = sketched.select(
             *by,
             *[F.col(f"_n{i}") for i in range(len(columns))],
             *[
                 edge
                 for i in range(len(columns))
-                for j in range(len(names))
+                for j in range(len(quantiles))
                 for edge in (
-                    F.when(few(i), F.col(f"_min{i}")).otherwise(F.get(f"_s{i}", 2 * j)).alias(f"_lo{i}_{j}"),
-                    F.when(few(i), F.col(f"_max{i}")).otherwise(F.get(f"_s{i}", 2 * j + 1)).alias(f"_hi{i}_{j}"),
+                    F.when(ends(i), F.col(f"_min{i}")).otherwise(F.get(f"_s{i}", 2 * j)).alias(f"_lo{i}_{j}"),
+                    F.when(ends(i), F.col(f"_max{i}")).otherwise(F.get(f"_s{i}", 2 * j + 1)).alias(f"_hi{i}_{j}"),
                 )
             ],
         )
-    )
-    base = df if base is None else base
+        return _values_in_brackets(typed, pin(brackets), columns, quantiles, by, base)
+
+    found = pin(within(False))
+    if not found.filter(~F.col("_met")).isEmpty():  # beyond the sketch's error bound: search all values instead
+        found = within(True)
+    return found.groupBy(*by, "column").agg(*[F.max(F.when(F.col("_q") == n, F.col("_value"))).alias(n) for n in names])
+
+
+def _values_in_brackets(
+    typed: DataFrame, brackets: DataFrame, columns: Sequence[str], quantiles: Mapping[str, float], by: Sequence[str], base: DataFrame
+) -> DataFrame:
+    """(by..., column, _q, _value, _met) from the values inside the brackets; ``_met`` is false where a rank lies outside."""
+    names = list(quantiles)
     # without groups the brackets are exactly one row
-    tagged = spread_join(typed, brackets, by, "inner", probe=base) if by else typed.join(F.broadcast(brackets))
+    tagged = spread_join(typed, brackets, by, "inner", probe=base, null_safe=True) if by else typed.join(F.broadcast(brackets))
 
     cells = [(i, j) for i in range(len(columns)) for j in range(len(names))]
     name_of = lambda i, j: [F.lit(columns[i]).alias("column"), F.lit(names[j]).alias("_q")]
@@ -169,7 +184,7 @@ def exact_quantiles(
             F.array(
                 *[
                     F.struct(
-                        *name_of(i, j), F.col(f"_b{i}_{j}").alias("_below"),
+                        *name_of(i, j), F.col(f"_b{i}_{j}").alias("_below"), F.col(f"_n{i}").alias("_known"),
                         (F.lit(float(quantiles[names[j]])) * (F.col(f"_n{i}") - 1)).alias("_target"),
                     )
                     for i, j in cells
@@ -177,15 +192,14 @@ def exact_quantiles(
             )
         ),
     )
-    placed = ranked.join(offsets, group)
+    # one row per group, column and quantile: sent to the values where it is small, so that a group is no one task's work
+    placed = null_safe_join(ranked, checked_broadcast(pin(offsets)), group, "inner")
     first, end = F.col("_below") + F.col("upto") - F.col("n"), F.col("_below") + F.col("upto")
     at = lambda p: F.max(F.when((first <= p) & (p < end), F.col("value")))
     low, high = at(F.floor("_target")), at(F.ceil("_target"))
-    found = placed.groupBy(*group).agg(
-        (low + (high - low) * F.max(F.col("_target") - F.floor("_target"))).alias("_value")
-    )
-    return found.groupBy(*by, "column").agg(
-        *[F.max(F.when(F.col("_q") == n, F.col("_value"))).alias(n) for n in names]
+    return placed.filter(F.col("_known") > 0).groupBy(*group).agg(
+        (low + (high - low) * F.max(F.col("_target") - F.floor("_target"))).alias("_value"),
+        (low.isNotNull() & high.isNotNull()).alias("_met"),
     )
 
 
@@ -195,7 +209,7 @@ def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), *, b
     measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     basic = summarise(df, columns, measures, by)
     quartiles = exact_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by, base=base)
-    return basic.join(quartiles, group, "left").select(
+    return null_safe_join(basic, quartiles, group).select(
         *group, "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
@@ -204,7 +218,7 @@ def group_outcome_stats(df: DataFrame, by: Sequence[str], value: str, *, base=No
     """Mean, median, min and max of a value per outcome."""
     basic = df.groupBy(*by).agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"))
     medians = exact_quantiles(df, [value], {"median": 0.5}, by, base=base).drop("column")
-    return basic.join(medians, list(by), "left").select(*by, "mean", "median", "min", "max")
+    return null_safe_join(basic, medians, list(by)).select(*by, "mean", "median", "min", "max")
 
 
 def box_stats(df: DataFrame, by: str, value: str, *, base=None) -> DataFrame:
@@ -216,7 +230,7 @@ def box_stats(df: DataFrame, by: str, value: str, *, base=None) -> DataFrame:
     counts = df.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
     inside = F.col(value).between(F.col("_lo"), F.col("_hi"))
     return (
-        counts.join(fences, by)
+        null_safe_join(counts, checked_broadcast(pin(fences)), [by], "inner")
         .groupBy(by, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col(value))).alias("whisker_low"),
@@ -229,25 +243,27 @@ def box_stats(df: DataFrame, by: str, value: str, *, base=None) -> DataFrame:
 # --- correlation ------------------------------------------------------------------
 
 
+def _correlations(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """(column_a, column_b, r) of the pairs, over the rows complete in both, in one pass.
+
+    Each row is repeated per pair and reduced before the shuffle, so the plan has one
+    aggregate however many columns there are.
+    """
+    row = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("_v"))
+    numbered = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs]))
+    spread = row.select("_v", numbered.alias("_p"))
+    names = F.array(*[F.lit(c) for c in columns])
+    a, b = F.get("_v", F.col("_p.i")), F.get("_v", F.col("_p.j"))
+    # corr() itself fails on a column without variation in ANSI mode
+    deviation = lambda x, y: F.stddev_pop(F.when(y.isNotNull(), x))
+    r = F.try_divide(F.covar_pop(a, b), deviation(a, b) * deviation(b, a))
+    sums = spread.groupBy("_p.i", "_p.j").agg(r.alias("r"))
+    return sums.select(F.get(names, F.col("i")).alias("column_a"), F.get(names, F.col("j")).alias("column_b"), "r")
+
+
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All column pairs with their correlation over complete pairs, in one aggregation."""
-    pairs = list(combinations(columns, 2))
-    both = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull()
-    sums = df.agg(
-        *[
-            F.corr(
-                F.when(both(a, b), F.col(a).cast("double")), F.when(both(a, b), F.col(b).cast("double"))
-            ).alias(f"p{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"p{i}").alias("r"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return sums.select(F.inline(cells))
+    """All column pairs with their correlation over complete pairs."""
+    return _correlations(df, columns, list(combinations(range(len(columns)), 2)))
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str], above: float) -> DataFrame:
@@ -256,13 +272,14 @@ def corr_pairs(df: DataFrame, columns: Sequence[str], above: float) -> DataFrame
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Full square matrix in long form."""
-    half = pearson(df, columns)
-    diagonal = F.array(
-        *[F.struct(F.lit(c).alias("column_a"), F.lit(c).alias("column_b"), F.lit(1.0).alias("r")) for c in columns]
-    )
-    turned = half.select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "r")
-    return half.unionByName(turned).unionByName(half.limit(1).select(F.inline(diagonal)))
+    """Full square matrix in long form; a column without variation has no correlation, not even with itself."""
+    n = range(len(columns))
+    half = _correlations(df, columns, [(i, j) for i in n for j in n if i <= j])
+    own = F.col("column_a") == F.col("column_b")
+    known = half.withColumn("r", F.when(own & F.col("r").isNotNull() & ~F.isnan("r"), 1.0).when(~own, F.col("r")))
+    turned = F.struct(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "r")
+    both = F.array_compact(F.array(F.struct("column_a", "column_b", "r"), F.when(~own, turned)))
+    return known.select(F.inline(both))
 
 
 def _ranked_values(long: DataFrame, by: Sequence[str], base: DataFrame) -> DataFrame:

@@ -23,8 +23,9 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from panelweave.session import broadcast_row_limit, group_row_limit, pin
+from panelweave.session import broadcast_byte_limit, group_row_limit, pin
 
+FIXED_TYPES = ("boolean", "byte", "short", "integer", "long", "float", "double", "date", "timestamp", "timestamp_ntz")
 PARTITION_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 Stage = Callable[[WindowSpec], Mapping[str, Column]]
@@ -86,12 +87,18 @@ def long_series_keys(df: DataFrame, keys: Sequence[str], probe: DataFrame | None
     return None if found.isEmpty() else found
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of one row by its types: 8 for a number or date, and what Spark assumes for text and nested values."""
+    return 8 + sum(f.dataType.jsonValue() in FIXED_TYPES and 8 or 64 for f in df.schema.fields)
+
+
 def checked_broadcast(side: DataFrame) -> DataFrame:
     """Hint a broadcast only after counting the rows; otherwise leave the choice to Spark.
 
-    Give it frames that are cheap to count (pinned, written, or a small base table).
+    The limit is in bytes: rows times the width by the types. Give it frames that are cheap to
+    count (pinned, written, or a small base table).
     """
-    return F.broadcast(side) if side.count() <= broadcast_row_limit(side.sparkSession) else side
+    return F.broadcast(side) if side.count() * row_bytes(side) <= broadcast_byte_limit(side.sparkSession) else side
 
 
 def split_long_series(
@@ -116,21 +123,25 @@ def split_by_keys(df: DataFrame, found: DataFrame, keys: Sequence[str]) -> tuple
 
 
 def spread_join(
-    df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left", probe: DataFrame | None = None
+    df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left", probe: DataFrame | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join with a side that has one row per key, where some keys may be very frequent in ``df``.
 
     Rows of the frequent keys meet a broadcast of just those keys' side rows; all other
-    rows take the ordinary shuffle join. Supports left, inner, left_semi and left_anti.
+    rows take the ordinary shuffle join. A null key counts as a key like any other when it
+    is looked for, so many rows without a key do not meet in one task; it matches a null
+    key of the side only if ``null_safe``. Supports left, inner, left_semi and left_anti.
     """
     on = list(on)
+    joined = (lambda a, b, h: null_safe_join(a, b, on, h)) if null_safe else (lambda a, b, h: a.join(b, on, h))
     found = long_series_keys(df, on, probe)
     if found is None:
-        return df.join(side, on, how)
+        return joined(df, side, how)
     keys = checked_broadcast(found)
-    frequent_side = checked_broadcast(pin(side.join(keys, on, "left_semi")))
-    rest = df.join(keys, on, "left_anti").join(side, on, how)
-    frequent = df.join(keys, on, "left_semi").join(frequent_side, on, how)
+    frequent_side = checked_broadcast(pin(null_safe_join(side, keys, on, "left_semi")))
+    rest = joined(null_safe_join(df, keys, on, "left_anti"), side, how)
+    frequent = joined(null_safe_join(df, keys, on, "left_semi"), frequent_side, how)
     return rest.unionByName(frequent)
 
 
@@ -241,7 +252,7 @@ def fill(
     earlier = _up_to_row(axis.keys, ["_chunk"], forward).rowsBetween(Window.unboundedPreceding, -1)
     state = {c: F.last(c, ignorenulls=True).over(earlier) for c in carried.values()}
     inner = chunked.withColumns(filled(_up_to_row(group, ["_pos"], forward)))
-    joined = _join_null_safe(inner, ends.select(*group, *[v.alias(k) for k, v in state.items()]), group)
+    joined = null_safe_join(inner, ends.select(*group, *[v.alias(k) for k, v in state.items()]), group)
     done = joined.withColumns({out: F.coalesce(out, carried[src]) for src, out in targets.items()})
     return _both(result, done.drop("_chunk", "_pos", *carried.values()))
 
@@ -279,7 +290,7 @@ def running(
         *group, *[combine[k](f"_part_{o}").over(earlier).alias(f"_state_{o}") for o, (k, _) in named.items()]
     )
     inner = chunked.withColumns(run(_up_to_row(group, ["_pos"], forward)))
-    joined = _join_null_safe(inner, state, group)
+    joined = null_safe_join(inner, state, group)
 
     def merged(out: str, kind: str) -> Column:
         own, earlier = F.col(out), F.col(f"_state_{out}")
@@ -307,12 +318,14 @@ def accumulate(
     return running(pin(grouped), axis, totals, direction)
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join by equal columns where null equals null; the columns of the left side stay."""
     renamed = right.select(
         *[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in right.columns]
     )
     match = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
-    return left.join(renamed, match, "left").drop(*[f"_on_{c}" for c in on])
+    joined = left.join(renamed, match, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_on_{c}" for c in on])
 
 
 def full_mean(value: str, rows: int, spec: WindowSpec) -> Column:

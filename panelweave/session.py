@@ -9,15 +9,16 @@ Two settings matter to every ordered operator:
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 GROUP_ROWS = "spark.panelweave.maxGroupRows"
-BROADCAST_ROWS = "spark.panelweave.maxBroadcastRows"
+BROADCAST_BYTES = "spark.panelweave.maxBroadcastBytes"
 DEFAULT_GROUP_ROWS = 5_000_000
-DEFAULT_BROADCAST_ROWS = 500_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def local_session(name: str = "panelweave", cpus: str | int = "*", **conf: str) -> SparkSession:
@@ -42,17 +43,23 @@ def group_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(GROUP_ROWS, str(DEFAULT_GROUP_ROWS)))
 
 
-def broadcast_row_limit(spark: SparkSession) -> int:
-    return int(spark.conf.get(BROADCAST_ROWS, str(DEFAULT_BROADCAST_ROWS)))
+def broadcast_byte_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get(BROADCAST_BYTES, str(DEFAULT_BROADCAST_BYTES)))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set."""
+    """The cluster's checkpoint folder. Where none is set: a temporary one in local mode, else an error.
+
+    In local mode driver and executors are one process on one disk. Anywhere else executors
+    would write to their own disks, so the folder has to be named.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="panelweave-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
