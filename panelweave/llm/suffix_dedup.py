@@ -177,10 +177,12 @@ def repeated_names(texts: DataFrame, buckets: int, frequent: int) -> DataFrame:
                 order = np.argsort(names >> 32, kind="stable")
                 bucket = names[order] >> 32
                 used, first = np.unique(bucket, return_index=True)
+                if not len(used):
+                    continue
                 low = (names[order] & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
-                yield pd.DataFrame({"bucket": used.astype(np.int32), "names": np.split(low, first[1:]) if len(used) else [],
-                                    "keys": np.split(keys[order], first[1:]) if len(used) else [],
-                                    "marks": np.split(marks[order].astype(np.int32), first[1:]) if len(used) else []})
+                yield pd.DataFrame({"bucket": used.astype(np.int32), "names": np.split(low, first[1:]),
+                                    "keys": np.split(keys[order], first[1:]),
+                                    "marks": np.split(marks[order].astype(np.int32), first[1:])})
 
     def compared(frame: pd.DataFrame) -> pd.DataFrame:
         names, keys, marks = (np.concatenate(frame[c].to_list()) for c in ("names", "keys", "marks"))
