@@ -307,3 +307,33 @@ def test_pipeline_by_hand(spark):
     targets = {r.source: r.target for r in found.values()}
     largest = max(len(WORD.findall(t)) for t in docs.values())
     assert all(abs(sizes[s] - t) <= largest for s, t in targets.items())
+
+
+# --- whole kinds of personal data
+
+def iban(country, body):
+    number = int("".join(str(int(c, 36)) for c in body + country + "00"))
+    return f"{country}{98 - number % 97:02d}{body}"
+
+
+def test_personal_data_of_the_further_kinds_is_added(spark):
+    rng = random.Random(11)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    docs = [(i, f"order {digits(9)} of {digits(4)}, no. {digits(7)}, call +1 ({digits(3)}) {digits(3)}-{digits(4)} please") for i in range(300)]
+    good, bad = iban("DE", "370400440532013000"), iban("GB", "NWBK60161331926819")
+    bad = bad[:2] + ("10" if bad[2:4] != "10" else "11") + bad[4:]
+    rows = [(1000, f"pay to {good} today"), (1001, f"pay to {bad} today"), (1002, "write jane.doe (at) example (dot) com now"), (1003, "see [at] x.1 there")]
+    for some in (rows, docs + rows):  # without a model, and as a share of candidates too small for a threshold
+        frame = spark.createDataFrame(some, DOC)
+        found = {r.doc_id: [(s.kind, r.text[s.start:s.end]) for s in r.pii] for r in pii.find_pii(frame, carry=("doc_id", "text")).collect()}
+        assert found[1000] == [("account", good)] and found[1002] == [("email_words", "jane.doe (at) example (dot) com")]
+        assert found[1001] == [] and found[1003] == []
+
+
+def test_rare_kinds_get_a_threshold(spark):
+    rng = random.Random(12)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    docs = [(i, " ".join(f"order {digits(9)}," for _ in range(200))) for i in range(300)]  # 60,000 plain runs
+    docs += [(1000 + i, f"phone: ({digits(3)}) {digits(3)}-{digits(4)} or so") for i in range(120)]
+    found = pii.find_pii(spark.createDataFrame(docs, DOC), carry=("doc_id", "text")).collect()
+    assert all([s.kind for s in r.pii] == (["local_phone"] if r.doc_id >= 1000 else [s.kind for s in r.pii if s.kind in pii.BASE]) for r in found)
