@@ -1,6 +1,7 @@
 """Benchmark decontamination by the q-gram lemma.
 
-A benchmark item is cut into windows (the item itself where it is short). A document holds a
+A benchmark item is cut into windows of 100 characters every 20 (the item itself where it is
+short), so any verbatim passage of 119 characters holds one. A document holds a
 window within e edits only if they share at least m - q + 1 - q*e q-grams on e + 1 neighbouring
 diagonals (m: window length). So shared q-grams are counted in diagonal bands of 2(e + 1) that
 overlap by half, bands that reach the bound are kept, and banded alignment verifies them.
@@ -10,8 +11,9 @@ characters, each small enough to hand to every task, and every document meets ev
 size changes the number of blocks, not the memory. There is no shuffle and no join.
 
 Letters count in lower case and every white-space character as a blank; positions are code
-points of the original text. Items under ``min_chars`` say nothing and are not searched. Null
-text and null items count as empty, repeated rows are judged each for itself, an empty table or
+points of the original text. Items under ``min_chars`` are searched whole and without edits;
+those shorter than a q-gram by a hash of the whole, and only where no letter or digit adjoins
+them. Null text and null items count as empty, repeated rows are judged each for itself, an empty table or
 benchmark gives an empty result. Extra columns are passed through (one named like the result
 gives way).
 """
@@ -30,8 +32,9 @@ from panelweave.llm.registry import query, table, with_columns
 
 Q = 10
 EDITS = 0.08  # edits per character of a window
-WINDOW = 200  # characters; longer items are searched in windows that overlap by half
-MIN_CHARS = 60
+WINDOW = 100  # characters; longer items are searched in windows
+STRIDE = 20  # characters from one window to the next
+MIN_CHARS = 60  # shorter items are searched without edits
 BLOCK_CHARS = 1_000_000
 PIECE = 32_768  # characters of a text that are searched at a time, to bound the memory
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -84,20 +87,23 @@ class WindowIndex:
     places: np.ndarray
     seen: np.ndarray  # by the top bits of a hash, whether a key has them
     longest: int
+    tiny: dict  # items shorter than a q-gram: by length, sorted hashes and (item, codes) of each
 
     @classmethod
     def of(cls, items: Sequence[tuple], q: int = Q, rate: float = EDITS, window: int = WINDOW, min_chars: int = MIN_CHARS) -> WindowIndex:
-        names, cut = [], []
+        names, cut, tiny = [], [], {}
         for name, text in items:
             codes = codes_of((text or "").strip())
-            if len(codes) < min_chars:
+            if len(codes) < q:
+                if len(codes):
+                    tiny.setdefault(len(codes), {}).setdefault(int(gram_hashes(codes, len(codes))[0]), []).append((name, codes))
                 continue
             last = max(len(codes) - window, 0)
-            for start in sorted({*range(0, last, window // 2), last}):
+            for start in sorted({*range(0, last, STRIDE), last}):
                 names.append(name)
                 cut.append(codes[start:start + window])
         lengths = np.array([len(c) for c in cut], dtype=np.int64)
-        edits = np.floor(lengths * rate).astype(np.int64)
+        edits = np.where(lengths < min_chars, 0, np.floor(lengths * rate)).astype(np.int64)
         hashes = [gram_hashes(c, q) for c in cut]
         flat = np.concatenate(hashes) if hashes else np.empty(0, dtype=np.uint64)
         windows = np.repeat(np.arange(len(cut)), [len(h) for h in hashes]) if cut else np.empty(0, dtype=np.int64)
@@ -106,7 +112,8 @@ class WindowIndex:
         keys, first = np.unique(flat[order], return_index=True)
         seen = np.zeros(1 << 20, dtype=bool)
         seen[keys >> np.uint64(44)] = True
-        return cls(names, cut, edits, np.maximum(lengths - q + 1 - q * edits, 1), keys, np.append(first, len(flat)), windows[order], places[order], seen, int(lengths.max(initial=0)))
+        return cls(names, cut, edits, np.maximum(lengths - q + 1 - q * edits, 1), keys, np.append(first, len(flat)), windows[order], places[order], seen, int(lengths.max(initial=0)),
+                   {n: (np.array(sorted(by), dtype=np.uint64), by) for n, by in tiny.items()})
 
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in the text, window, place in the window) of every shared q-gram."""
@@ -155,12 +162,34 @@ def align(window: np.ndarray, text: np.ndarray, low: int, high: int, edits: int)
     return (cost, int(row[best] & (unit - 1)), int(starts[best]) + len(window)) if cost <= edits else None
 
 
+def _alone(codes: np.ndarray, start: int, end: int) -> bool:
+    """Whether no letter or digit adjoins the place."""
+    return not any(0 <= i < len(codes) and chr(codes[i]).isalnum() for i in (start - 1, end))
+
+
+def _tiny_leaks(codes: np.ndarray, index: WindowIndex) -> dict:
+    """The first place of every item that is shorter than a q-gram, a piece of the text at a time."""
+    found: dict = {}
+    for n, (keys, by) in index.tiny.items():
+        for piece in range(0, len(codes), PIECE):
+            hashes = gram_hashes(codes[piece:piece + PIECE + n - 1], n)
+            at = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)] == hashes)
+            for i in at:
+                start = piece + int(i)
+                for item, pattern in by[int(hashes[i])]:
+                    if item not in found and np.array_equal(codes[start:start + n], pattern) and _alone(codes, start, start + n):
+                        found[item] = (0, start, start + n)
+    return found
+
+
 def leaks_of(text: str | None, index: WindowIndex, q: int = Q) -> list[tuple]:
     """(item, start, end, edits) of every item a window of which is in the text, the best place of each."""
-    if not text or not index.items:
+    if not text or not (index.items or index.tiny):
         return []
     codes = codes_of(text)
-    found: dict = {}
+    found = _tiny_leaks(codes, index)
+    if not index.items:
+        return [(item, start, end, cost) for item, (cost, start, end) in found.items()]
     reach = 2 * index.longest  # pieces overlap by more than a window with its edits
     for piece in range(0, max(len(codes) - reach, 1), PIECE):
         part = codes[piece:piece + PIECE + reach]
