@@ -126,7 +126,7 @@ def _marks(hashes, names, first, ends, width: int, sums, inverse, begin, end, re
         open_ = open_[~here]
     # a piece that is found again within a string leaves open which one is meant
     short, again = hashes.astype(np.uint16), np.zeros(len(hashes), dtype=bool)
-    for d in range(1, min(width, len(hashes))):
+    for d in range(1, min(width + 1, len(hashes))):  # at width itself neighbouring strings of a run may hold one copy each
         same = short[d:] == short[:-d]
         again[d:] |= same
         again[:-d] |= same

@@ -26,3 +26,50 @@ def test_passages_between_windows_and_short_items():
     assert found(text) == {(2, 0)} and found(text.replace("CAPITAL", "CAPITOL")) == set()
     assert found("a foo 12") == {(3, 0)} and found("a foo 123") == set() == found("afoo 12") and found("foo 12" + " x" * 40_000) == {(3, 0)}
     assert found("y" * 40_000 + " " + short) == {(2, 0)} and found(words(rng, 300)) == set()
+
+
+# --- suffix dedup
+
+def piece_hashes(data):
+    data = np.frombuffer(data, dtype=np.uint8)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * powers(_STEP, len(data))[:len(data)], out=sums[1:])
+    return mix((sums[16:] - sums[:-16]) * powers(_INVERSE, len(data) + 1)[:len(data) - 15])
+
+
+def test_a_naming_piece_that_comes_again_at_the_width():
+    rng = random.Random(23)
+    letters = lambda n: bytes(rng.choice(b"abcdefghijklmnop") for _ in range(n))
+    pool = letters(100_000)
+    low = np.argsort(piece_hashes(pool), kind="stable")[:40]
+    pieces = [pool[i:i + 16] for i in low]  # 0 and 1 are the least, the rest name what is between them
+    filler = letters(19)
+    one = letters(60) + pieces[0] + pieces[39] + filler + pieces[39] + pieces[1] + letters(60)
+    at = 60 + 16  # first copy of the piece; strings at + 1 .. at + 16 hold the second one only
+    other = b"#" * 30 + one[at + 1:at + 66] + b"#" * 30
+    own = suffix_dedup.contexts([one, other])
+    name = piece_hashes(pieces[39])[0]
+    marks = [own.marks[(own.owner == i) & (own.name == name)] for i in (0, 1)]
+    assert len(marks[0]) == 1 and len(marks[1]) == 1
+    agree = lambda bit, shift: (marks[0] >> bit & 1) & (marks[1] >> bit & 1) & ((marks[0] ^ marks[1]) >> shift & 255 == 0)
+    assert (marks[0] | marks[1]) >> suffix_dedup.UNKNOWN & 1 or agree(suffix_dedup.LEFT, 8) or agree(suffix_dedup.RIGHT, 0)
+
+
+def test_repeats_of_records_at_the_width(spark):
+    rng = random.Random(24)
+    letters = lambda n: bytes(rng.choice(b"abcdefghijklmnop") for _ in range(n))
+    pool = letters(100_000)
+    pieces = [pool[i:i + 16] for i in np.argsort(piece_hashes(pool), kind="stable")[:40]]
+    docs = []
+    for i in range(20):
+        one = letters(60) + pieces[0] + pieces[39] + letters(19) + pieces[39] + pieces[1] + letters(60)
+        docs += [(2 * i, one.decode()), (2 * i + 1, "#" * 30 + one[77:142].decode() + "#" * 30)]
+    found = {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    seen = set()
+    for key, text in docs:
+        data, cut = text.encode(), set()
+        for i in range(len(data) - 49):
+            if data[i:i + 50] in seen:
+                cut |= set(range(i, i + 50))
+        seen |= {data[i:i + 50] for i in range(len(data) - 49)}
+        assert found[key] == bytes(c for i, c in enumerate(data) if i not in cut)
