@@ -3,7 +3,7 @@
 A page is cut into blocks at block-level tags. Blocks in menus, headers, footers, sidebars,
 forms, adverts, notices and comments (by tag, role, class or id) are left out. The first pass
 classifies the rest alone, by stop-word density, length and link density: good, near-good, bad
-or short. The second pass settles the ambiguous ones by the nearest decided neighbours: a short block needs good ones,
+or short. An element is not left out for its name or as a form if an article or main element is inside it. The second pass settles the ambiguous ones by the nearest decided neighbours: a short block needs good ones,
 a near-good block is refused between two bad ones. Inside an ``article`` or ``main`` element the
 markup has already said what the text is: there a block is not refused for few stop words, and a
 short one only between two bad ones.
@@ -34,13 +34,22 @@ BLOCK_TAGS = frozenset(
     "td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style noscript template textarea title iframe svg math object canvas select xmp noembed noframes".split())
-LEFT_OUT_TAGS = frozenset("nav header footer aside form menu dialog button label figcaption head".split())
+LEFT_OUT_TAGS = frozenset("nav header footer aside form menu dialog button label head".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 LEFT_OUT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar sidebars aside menu nav navbar navigation "
     "breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices alert popup modal overlay comment comments "
     "reply replies disqus discussion share sharing social related recommended newsletter subscribe subscription signup login search widget "
     "pagination pager toolbar disclaimer copyright".split())
+#: A name with one of these says that the page has the thing or does not, not that the element is it.
+MODIFIERS = frozenset("has have no not non with without is show shows hide hides free supports supported enabled disabled".split())
+#: Pieces behind a name that leave its meaning: ad-slot, sidebar-left, comment-list, social-links.
+PLAIN_ENDINGS = frozenset(
+    "left right top bottom inner outer upper lower primary secondary mobile desktop sticky fixed wrapper wrap container holder box block "
+    "panel section area region zone slot unit frame row col column list items item link links button buttons btn icon icons bar bars "
+    "form field input text body content message author meta title label group posts post articles stories toggle dropdown".split())
+HEADING_TAGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+HEADER_NAMES = frozenset(("header", "masthead"))
 MAIN_TAGS = frozenset(("article", "main"))
 
 #: Frequent function words of English, German, French and Spanish.
@@ -55,6 +64,7 @@ STOP_WORDS = frozenset(
     al como con de del desde el ella en entre era es esta este esto fue ha hasta la las lo los más me mi muy no nos o para pero por
     porque que se ser si sin sobre son su sus también tan todo un una uno y ya""".split())
 
+OPEN, SHUT = 1, 2
 SHORT, LONG = 40, 120  # characters
 DENSE, SPARSE, LINKED = 0.30, 0.15, 0.33  # stop-word densities of good and near-good text, link density of bad text
 
@@ -71,39 +81,62 @@ class Block:
     label: str = ""
 
 
-def _left_out(tag: str, attributes: str) -> bool:
+def _named_out(value: str, names: frozenset) -> bool:
+    """Whether one of the blank-separated names is, or ends in, a name of what is left out: 'reader-comments', not 'share-price'."""
+    for name in value.split():
+        pieces = [p for p in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if p]
+        if not MODIFIERS.isdisjoint(pieces):
+            continue
+        while len(pieces) > 1 and pieces[-1] not in names and (pieces[-1] in PLAIN_ENDINGS or len(pieces[-1]) == 1):
+            pieces.pop()
+        if pieces and pieces[-1] in names:
+            return True
+    return False
+
+
+def _left_out(tag: str, attributes: str, main: bool) -> int:
+    """0: kept, OPEN: left out unless it holds an article or main element, SHUT: left out. ``main``: inside such an element."""
     if tag in LEFT_OUT_TAGS:
-        return True
+        return OPEN if tag == "form" else SHUT
     if tag in ("html", "body", "article", "main"):
-        return False
+        return 0
+    names = LEFT_OUT_NAMES - HEADER_NAMES if main or tag in HEADING_TAGS else LEFT_OUT_NAMES
     for name, value in _NAMED.findall(attributes):
-        tokens = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value.strip("\"'")).lower())
-        if not (LEFT_OUT_ROLES if name.lower() == "role" else LEFT_OUT_NAMES).isdisjoint(tokens):
-            return True
-    return False
+        role = name.lower() == "role"
+        if not LEFT_OUT_ROLES.isdisjoint(value.strip("\"'").lower().split()) if role else _named_out(value.strip("\"'"), names):
+            return OPEN
+    return 0
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page that are not left out by tag, role, class or id."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # open elements: tag, left out, number of main element
-    pieces: list[tuple[str, bool]] = []
-    mains = links = breaks = at = 0
+    stack: list[tuple[str, tuple, int]] = []  # open elements: tag, by what it is left out (elements by number, linked lists), number of main element
+    pieces: list[tuple[str, bool, tuple]] = []
+    held: list[tuple[list, int]] = []  # pieces and main element of each block
+    holding: set[int] = set()  # elements that hold an article or main element
+    mains = links = breaks = at = elements = 0
 
     def close() -> None:
-        text = " ".join("".join(t for t, _ in pieces).split())
-        if text:
-            out.append(Block(text, sum(len("".join(t.split())) for t, inside in pieces if inside), stack[-1][2] if stack else 0))
+        if pieces:
+            held.append((pieces.copy(), stack[-1][2] if stack else 0))
         pieces.clear()
 
+    def is_out(causes: tuple) -> bool:
+        while causes:
+            number, causes = causes
+            if number not in holding:
+                return True
+        return False
+
     def pop_to(n: int) -> None:
         nonlocal links
         links -= sum(t == "a" for t, _, _ in stack[n:])
         del stack[n:]
 
     def add(raw: str) -> None:
-        if raw and not (stack and stack[-1][1]):
-            pieces.append((entities.unescape(raw), links > 0))
+        if raw:
+            pieces.append((raw, links > 0, stack[-1][1] if stack else ()))
 
     while (m := _TAG.search(page, at)) is not None:
         add(page[at:m.start()])
@@ -119,7 +152,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "br":
             breaks += 1
-            close() if breaks > 1 else pieces.append((" ", False))
+            close() if breaks > 1 else pieces.append((" ", False, ()))
             continue
         if tag in BLOCK_TAGS:
             close()
@@ -141,14 +174,28 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[n][0] in BLOCK_TAGS:
                     break
-        inner = stack[-1] if stack else ("", False, 0)
+        inner = stack[-1] if stack else ("", (), 0)
         if tag in MAIN_TAGS and not inner[2]:
             mains += 1
             inner = (inner[0], inner[1], mains)
-        stack.append((tag, inner[1] or _left_out(tag, m[3]), inner[2]))
+            if not any(name.lower() != "role" and _named_out(value.strip("\"'"), LEFT_OUT_NAMES) for name, value in _NAMED.findall(m[3])):
+                causes = inner[1]
+                while causes and causes[0] > 0:  # those of SHUT elements are negative, and come first
+                    number, causes = causes
+                    holding.add(number)
+        causes, why = inner[1], _left_out(tag, m[3], inner[2] > 0)
+        if why and not (causes and causes[0] < 0):
+            elements += 1
+            causes = (elements if why == OPEN else -elements, causes)
+        stack.append((tag, causes, inner[2]))
         links += tag == "a"
     add(page[at:])
     close()
+    for parts, main in held:
+        left = [(entities.unescape(t), inside) for t, inside, causes in parts if not is_out(causes)]
+        text = " ".join("".join(t for t, _ in left).split())
+        if text:
+            out.append(Block(text, sum(len("".join(t.split())) for t, inside in left if inside), main))
     return out
 
 

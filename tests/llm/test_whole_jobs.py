@@ -73,3 +73,30 @@ def test_repeats_of_records_at_the_width(spark):
                 cut |= set(range(i, i + 50))
         seen |= {data[i:i + 50] for i in range(len(data) - 49)}
         assert found[key] == bytes(c for i, c in enumerate(data) if i not in cut)
+
+
+# --- pages
+
+LONG = "This is the text that we want to keep, as it is long and has many of the words that are in a text of the kind that people write."
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "page-with-comments", "ad-free", "share-price"])
+def test_names_that_only_mention_what_is_left_out(name):
+    assert html_text.main_text(f"<div class='{name}'><article><p>{LONG}</p></article></div>") == LONG
+    assert html_text.main_text(f"<div class='{name}'><p>{LONG}</p></div>") == LONG
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-slot", "sidebar-left", "reader-comments", "comment-list", "social-links", "cookieNotice"])
+def test_names_of_what_is_left_out(name):
+    assert html_text.main_text(f"<div class='{name}'><p>{LONG}</p></div><p>{LONG} End.</p>") == f"{LONG} End."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div class=widget><p>{LONG} 1</p><main><p>{LONG} 2</p></main></div>", f"{LONG} 1\n{LONG} 2"),
+    (f"<form id=page><main><p>{LONG}</p></main></form>", LONG),
+    (f"<aside><article><p>{LONG} 1</p></article></aside><p>{LONG}</p>", LONG),
+    (f"<div class=comments><article class=comment><p>{LONG} 1</p></article></div><p>{LONG}</p>", LONG),
+    (f"<article><h2 class='section-header'>Heading</h2><p>{LONG}</p><figure><figcaption>{LONG} 3</figcaption></figure></article>", f"Heading\n{LONG}\n{LONG} 3"),
+])
+def test_wrappers_headings_and_captions(page, want):
+    assert html_text.main_text(page) == want
