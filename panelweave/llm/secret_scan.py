@@ -45,16 +45,21 @@ BLOB = "[A-Za-z0-9+/=]{40,}"
 ENDPOINT = r"https?://[A-Za-z0-9._:/@%?&=#~+-]+"
 
 
-def _parts(text: Column) -> dict[str, Column]:
+KEY = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,128}+={0,2}+(?![A-Za-z0-9+/=])"  # '=' ahead of it is not part of it; pads at the end only
+
+
+def _parts(text: Column, whole: bool = False) -> dict[str, Column]:
+    """Parts by kind. ``whole``: blobs are also keys of other lengths and those written right behind '='."""
     value = lambda pattern, n: lambda s: F.length(F.regexp_extract(s["text"], pattern, 2)) >= n
     assigns = text.contains("=") | text.contains(":")
     mixed = lambda s: (F.length(s["text"]) == 40) & s["text"].rlike("[A-Z]") & s["text"].rlike("[a-z]") & s["text"].rlike("[0-9]") & ~s["text"].contains("=")
+    varied = lambda s: s["text"].rlike("[A-Z]") & s["text"].rlike("[a-z]") & s["text"].rlike("[0-9]")
     return {
         "assign": F.filter(S.match_spans(text, ASSIGN, "assign", assigns), value(ASSIGN, 6)),
         "access": S.match_spans(text, ACCESS, "access", text.contains("AKIA")),
         "hex": S.match_spans(text, HEX, "hex"),
         "ident": F.filter(S.match_spans(text, IDENT, "ident", assigns), value(IDENT, 3)),
-        "blob": F.filter(S.match_spans(text, BLOB, "blob"), mixed),
+        "blob": F.filter(S.match_spans(text, KEY, "blob"), varied) if whole else F.filter(S.match_spans(text, BLOB, "blob"), mixed),
         "endpoint": S.match_spans(text, ENDPOINT, "endpoint", text.contains("://")),
     }
 
@@ -91,17 +96,20 @@ def link(parts: Column, scope: int = SCOPE) -> Column:
     return F.transform(linked, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
 
 
-def scan_secrets(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
-    """The input with ``secrets``: array of (start, end, kind), strong parts and linked weak ones."""
-    found = _parts(F.coalesce(F.col(text), F.lit("")))
+def scan_secrets(docs: DataFrame, text: str = "text", scope: int = SCOPE, whole: bool = False) -> DataFrame:
+    """The input with ``secrets``: array of (start, end, kind), strong parts and linked weak ones.
+
+    Without ``whole`` blobs are those of ``OP6_SQL``: of 40 characters, with no '=' in or next to them.
+    """
+    found = _parts(F.coalesce(F.col(text), F.lit("")), whole)
     collected = docs.withColumn("_parts", F.concat(*found.values()))
     empty = F.array().cast("array<struct<start:int,end:int,kind:string>>")
     return with_columns(collected, {"secrets": F.when(F.size("_parts") > 0, link(F.col("_parts"), scope)).otherwise(empty)}).drop("_parts")
 
 
 def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The input with every secret replaced by a mark in its text; null text stays null."""
-    scanned = scan_secrets(docs, text).withColumn(text, S.redact(F.col(text), F.col("secrets"), MARK))
+    """The input with every secret replaced by a mark in its text, keys of any usual length and style among them; null text stays null."""
+    scanned = scan_secrets(docs, text, whole=True).withColumn(text, S.redact(F.col(text), F.col("secrets"), MARK))
     return scanned.select(*docs.columns)
 
 

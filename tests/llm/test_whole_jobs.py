@@ -100,3 +100,15 @@ def test_names_of_what_is_left_out(name):
 ])
 def test_wrappers_headings_and_captions(page, want):
     assert html_text.main_text(page) == want
+
+
+# --- secrets
+
+def test_keys_behind_an_equals_sign_and_of_other_lengths_are_redacted(spark):
+    rng = random.Random(22)
+    token = lambda n: "aB3" + "".join(rng.choice("abcdefXYZ0189+/") for _ in range(n - 3))
+    key, forty, long, padded = "AKIA" + "ABCD1234" * 2, token(40), token(64), token(86) + "=="
+    rows = [(1, f"aws_access_key_id={key}\naws_secret_access_key={forty}\n"), (2, f"user: joe key {long} end"), (3, f"client_id=abc key='{padded}'"), (4, f"only {long}")]
+    out = {r.doc_id: r.text for r in secret_scan.redact_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1] == "aws_access_key_id=[secret]\naws_secret_access_key=[secret]\n"
+    assert out[2] == "[secret] key [secret] end" and out[3] == "[secret] key='[secret]'" and out[4] == f"only {long}"
