@@ -112,3 +112,18 @@ def test_keys_behind_an_equals_sign_and_of_other_lengths_are_redacted(spark):
     out = {r.doc_id: r.text for r in secret_scan.redact_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out[1] == "aws_access_key_id=[secret]\naws_secret_access_key=[secret]\n"
     assert out[2] == "[secret] key [secret] end" and out[3] == "[secret] key='[secret]'" and out[4] == f"only {long}"
+
+
+# --- near copies
+
+def test_different_texts_without_an_id_or_with_a_shared_one(spark):
+    rng = random.Random(25)
+    prose = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(60))
+    base = [prose() for _ in range(8)]
+    near = base[0] + " more"
+    docs = [(1, base[0]), (None, near), *[(None, t) for t in base[1:5]], (None, base[1] + " more"), (7, base[5]), (7, base[6]), (7, base[6]), (8, base[7]), (9, base[7]), (9, "")]
+    kept = ngram_join.drop_near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    kept = sorted((r.doc_id or 0, r.text) for r in kept)
+    assert len(kept) == 9 and kept.count((7, base[6])) == 1
+    assert {(1, base[0]), (0, base[2]), (0, base[3]), (0, base[4]), (7, base[5]), (7, base[6]), (8, base[7]), (9, "")} <= set(kept)
+    assert sum(t in (base[1], base[1] + " more") for _, t in kept) == 1
