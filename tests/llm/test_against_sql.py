@@ -27,6 +27,6 @@ def test_query_equals_sql(spark, name):
 
 def test_entry_has_one_query_for_each_operator_and_the_pipeline():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
