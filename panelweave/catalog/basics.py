@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelweave.catalog import landed
 from panelweave.catalog.registry import Tables, day, query, rounded
 from panelweave.functions import scalars as sc
 from panelweave.operators import relational as rel
@@ -500,6 +501,21 @@ def latest_snapshot_query(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "panel_snapshot",
+    """
+    SELECT l_suppkey AS stock, CAST(l_shipdate AS DATE) AS date, min(l_extendedprice) AS open, max(l_extendedprice) AS close
+    FROM lineitem WHERE CAST(l_shipdate AS DATE) = (SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem) GROUP BY 1, 2
+    """,
+)
+def panel_snapshot(t: Tables) -> DataFrame:
+    """The newest day of a written panel, read from the folder of its year."""
+    path = scratch_path(t.spark, "snapshot")
+    files.write_panel(landed.prices(t), path)
+    newest = t.lineitem.agg(F.max(day("l_shipdate"))).first()[0]  # one value, as the caller would pass it
+    return files.read_day(t.spark, path, newest).select("stock", "date", "open", "close")
+
+
 @query(
     "every_nth_row",
     """

@@ -11,6 +11,7 @@ from panelweave.catalog.landed import (
 )
 from panelweave.catalog.registry import Tables, day, query, rounded
 from panelweave.catalog.series import priority_days
+from panelweave.operators.stats import attrition_report
 from panelweave.operators.timeline import FITS, Axis
 from panelweave.operators.windows import densify, forward_returns, label_horizons
 from panelweave.plans import features as ft
@@ -215,12 +216,31 @@ def kpi_ratios(t: Tables) -> DataFrame:
     return rounded(_kpis(t).select("stock", "date", *KPI_NAMES), 8)
 
 
+EARNED_SQL = """
+          SELECT q.stock, q.date, (hi / 73) / nullif(4 * (qty / 100), 0) AS pe, 100 * (e - a) / nullif(a, 0) AS up, ln / n AS back
+          FROM q JOIN h ON q.stock = h.stock AND q.date = h.date
+"""
+PIOTROSKI_SQL = """
+    SELECT k.stock, k.date,
+      CAST((CASE WHEN k."netIncome" >= 0 THEN 1 ELSE 0 END) + (CASE WHEN k."ROA" >= 0 THEN 1 ELSE 0 END)
+      + (CASE WHEN k."totalCashFromOperatingActivities" >= 0 THEN 1 ELSE 0 END)
+      + (CASE WHEN k."totalCashFromOperatingActivities" >= k."netIncome" THEN 1 ELSE 0 END)
+      + (CASE WHEN k."longTermDebt" <= o."longTermDebt" THEN 1 ELSE 0 END)
+      + (CASE WHEN k."CR" >= c."CR" THEN 1 ELSE 0 END) + (CASE WHEN k."GM" >= g."GM" THEN 1 ELSE 0 END)
+      + (CASE WHEN k.asset_turnover >= a.asset_turnover THEN 1 ELSE 0 END)
+      + (CASE WHEN k."issuanceOfCapitalStock" > 0 THEN 0 ELSE 1 END) AS INT) AS "Piotroski_Score"
+    FROM k ASOF LEFT JOIN k o ON o.stock = k.stock AND k.date - 365 >= o.date
+    ASOF LEFT JOIN (SELECT * FROM k WHERE "CR" IS NOT NULL) c ON c.stock = k.stock AND k.date - 365 >= c.date
+    ASOF LEFT JOIN (SELECT * FROM k WHERE "GM" IS NOT NULL) g ON g.stock = k.stock AND k.date - 365 >= g.date
+    ASOF LEFT JOIN (SELECT * FROM k WHERE asset_turnover IS NOT NULL) a ON a.stock = k.stock AND k.date - 365 >= a.date
+"""
+
+
 @query(
     "earnings_ratios",
     f"""
     WITH {QUARTERS_SQL}, {HISTORY_SQL},
-    e AS (SELECT q.stock, q.date, (hi / 73) / nullif(4 * (qty / 100), 0) AS pe, 100 * (e - a) / nullif(a, 0) AS up, ln / n AS back
-          FROM q JOIN h ON q.stock = h.stock AND q.date = h.date)
+    e AS ({EARNED_SQL})
     SELECT stock, date, round(pe, 7) AS "PE", round(pe * (1 + up), 5) AS "PEG_Forward", round(pe * (1 + back), 5) AS "PEG_Backwards" FROM e
     """,
 )
@@ -239,55 +259,56 @@ def earnings_ratios(t: Tables) -> DataFrame:
     "piotroski_score",
     f"""
     WITH {QUARTERS_SQL}, {AMOUNTS_SQL}, {KPI_SQL}
-    SELECT k.stock, k.date,
-      CAST((CASE WHEN k."netIncome" >= 0 THEN 1 ELSE 0 END) + (CASE WHEN k."ROA" >= 0 THEN 1 ELSE 0 END)
-      + (CASE WHEN k."totalCashFromOperatingActivities" >= 0 THEN 1 ELSE 0 END)
-      + (CASE WHEN k."totalCashFromOperatingActivities" >= k."netIncome" THEN 1 ELSE 0 END)
-      + (CASE WHEN k."longTermDebt" <= o."longTermDebt" THEN 1 ELSE 0 END)
-      + (CASE WHEN k."CR" >= c."CR" THEN 1 ELSE 0 END) + (CASE WHEN k."GM" >= g."GM" THEN 1 ELSE 0 END)
-      + (CASE WHEN k.asset_turnover >= a.asset_turnover THEN 1 ELSE 0 END)
-      + (CASE WHEN k."issuanceOfCapitalStock" > 0 THEN 0 ELSE 1 END) AS INT) AS "Piotroski_Score"
-    FROM k ASOF LEFT JOIN k o ON o.stock = k.stock AND k.date - 365 >= o.date
-    ASOF LEFT JOIN (SELECT * FROM k WHERE "CR" IS NOT NULL) c ON c.stock = k.stock AND k.date - 365 >= c.date
-    ASOF LEFT JOIN (SELECT * FROM k WHERE "GM" IS NOT NULL) g ON g.stock = k.stock AND k.date - 365 >= g.date
-    ASOF LEFT JOIN (SELECT * FROM k WHERE asset_turnover IS NOT NULL) a ON a.stock = k.stock AND k.date - 365 >= a.date
+    {PIOTROSKI_SQL}
     """,
 )
 def piotroski_score(t: Tables) -> DataFrame:
     return ft.piotroski_score(_kpis(t), size=FITS).select("stock", "date", "Piotroski_Score")
 
 
-FILLED = ("DPR", "Acc_Rec_Pay_Ration", "DY")
+FULL_SQL = f"""
+    {QUARTERS_SQL}, {HISTORY_SQL}, {AMOUNTS_SQL}, {KPI_SQL}, e AS ({EARNED_SQL}), pi AS ({PIOTROSKI_SQL}),
+    r AS (SELECT k.*, CAST(pi."Piotroski_Score" AS DOUBLE) AS "Piotroski_Score", e.pe AS "PE", e.pe * (1 + up) AS "PEG_Forward", e.pe * (1 + back) AS "PEG_Backwards"
+          FROM k JOIN pi USING (stock, date) JOIN e USING (stock, date))
+"""
+
+
+def _all_ratios(t: Tables) -> DataFrame:
+    """Every ratio of the panel, per stock and quarter."""
+    c = F.col
+    earned = _kpis(t).withColumns({
+        "epsActual": c("qty") / 100, "YoY_Proj_Growth": c("ln") / c("n"),
+        "1Y_expect_Change": ft.percent_gap(F.when(c("opn") % 4 != 0, c("ln") / 10), F.when(c("ret") % 5 != 0, c("qty") / 100)),
+    })
+    scored = ft.piotroski_score(earned.withColumns(ft.earnings_ratios()), size=FITS)
+    return scored.withColumn("Piotroski_Score", F.col("Piotroski_Score").cast("double"))
 
 
 @query(
     "kpi_gap_fill",
-    f"WITH {QUARTERS_SQL}, {AMOUNTS_SQL}, {KPI_SQL} SELECT stock, date, "
+    f"WITH {FULL_SQL} SELECT stock, date, "
     + ", ".join(
         f'round(last_value(nullif("{c}", 0) IGNORE NULLS) OVER (PARTITION BY stock ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 5) AS "{c}"'
-        for c in FILLED
-    ) + " FROM k",
+        for c in pn.GAP_FILLED
+    ) + " FROM r",
 )
 def kpi_gap_fill(t: Tables) -> DataFrame:
-    return rounded(ft.kpi_gap_fill(_kpis(t), STOCK_DAYS, FILLED).select("stock", "date", *FILLED), 5)
-
-
-YOY = ("CR", "GM", "ROA", "LTDE")
+    return rounded(ft.kpi_gap_fill(_all_ratios(t), STOCK_DAYS, pn.GAP_FILLED).select("stock", "date", *pn.GAP_FILLED), 5)
 
 
 @query(
     "yoy_kpis",
-    f"WITH {QUARTERS_SQL}, {AMOUNTS_SQL}, {KPI_SQL} SELECT k.stock, k.date, "
-    + ", ".join(f'round(100 * (k."{c}" / nullif(o{i}."{c}", 0) - 1), 3) AS "YoY_{c}"' for i, c in enumerate(YOY))
-    + " FROM k "
+    f"WITH {FULL_SQL} SELECT r.stock, r.date, "
+    + ", ".join(f'round(100 * (r."{c}" / nullif(o{i}."{c}", 0) - 1), 3) AS "{out}"' for i, (c, out) in enumerate(ft.YOY_NAMES.items()))
+    + " FROM r "
     + " ".join(
-        f'ASOF LEFT JOIN (SELECT * FROM k WHERE "{c}" IS NOT NULL) o{i} ON o{i}.stock = k.stock AND k.date - 365 >= o{i}.date'
-        for i, c in enumerate(YOY)
+        f'ASOF LEFT JOIN (SELECT * FROM r WHERE "{c}" IS NOT NULL) o{i} ON o{i}.stock = r.stock AND r.date - 365 >= o{i}.date'
+        for i, c in enumerate(ft.YOY_NAMES)
     ),
 )
 def yoy_kpis(t: Tables) -> DataFrame:
-    changed = ft.yoy_kpis(_kpis(t), STOCK_DAYS, {c: f"YoY_{c}" for c in YOY})
-    return rounded(changed.select("stock", "date", *[f"YoY_{c}" for c in YOY]), 3)
+    changed = ft.yoy_kpis(_all_ratios(t), STOCK_DAYS)
+    return rounded(changed.select("stock", "date", *ft.YOY_NAMES.values()), 3)
 
 
 # --- macro --------------------------------------------------------------------------
@@ -430,6 +451,28 @@ def clean_panel(t: Tables) -> DataFrame:
     return pn.clean_panel(_raw_panel(t), "train", sectors={"7": ("IT", "Software")})
 
 
+def _attrition_sql(mode: str) -> str:
+    """One SELECT per step: rows and stocks that pass all needs up to it."""
+    parts, passed = [f"SELECT '{mode}' AS mode, 0 AS step_no, 'start' AS step, count(DISTINCT stock) AS n_keys, count(*) AS n_rows FROM r"], []
+    needs = [columns for kind, columns in pn.RULES[mode] if kind == "need"]
+    for i, columns in enumerate(needs, 1):
+        passed += [f'"{c}" IS NOT NULL' for c in columns]
+        parts.append(f"SELECT '{mode}', {i}, '{' & '.join(columns)}', count(DISTINCT stock), count(*) FROM r WHERE {' AND '.join(passed)}")
+    return " UNION ALL ".join(parts)
+
+
+@query(
+    "attrition_cleaning",
+    "WITH r AS (SELECT l_suppkey AS stock, " + ", ".join(f'nullif({c}, {gap}) AS "{n}"' for n, (c, gap) in RAW.items()) + " FROM lineitem) "
+    + " UNION ALL ".join(_attrition_sql(m) for m in pn.RULES),
+)
+def attrition_cleaning(t: Tables) -> DataFrame:
+    """Rows and stocks left after every step of the cleaning rules, for each mode."""
+    raw = _raw_panel(t)
+    reports = [attrition_report(raw, "stock", pn.cleaning_steps(m)).select(F.lit(m).alias("mode"), "*") for m in pn.RULES]
+    return reports[0].unionAll(reports[1]).unionAll(reports[2])
+
+
 @query(
     "threshold_labels",
     """

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.catalog.registry import Tables, day
+from panelweave.plans.features import macro_table
 from panelweave.plans.panel import Inputs
 
 QUARTERS_SQL = """
@@ -160,21 +161,22 @@ def general(t: Tables) -> DataFrame:
     )
 
 
-def inputs(t: Tables) -> Inputs:
-    from panelweave.operators.windows import densify
-    from panelweave.plans.features import macro_trend
+def macro_series(t: Tables) -> DataFrame:
+    """Three daily series in long form: the day's dearest order as index and balance, the cheapest as yield."""
+    price = F.col("o_totalprice")
+    per_day = t.orders.groupBy(day("o_orderdate").alias("date")).agg(F.max(price).alias("high"), F.min(price).alias("low"))
+    cell = lambda name, c: F.struct(F.lit(name).alias("series_id"), F.col(c).alias("value"))
+    return per_day.select("date", F.inline(F.array(cell("vix_high", "high"), cell("cb_assets", "high"), cell("bond10y", "low"))))
 
-    daily = t.orders.groupBy(F.lit("m").alias("series_id"), day("o_orderdate").alias("date")).agg(
-        F.max("o_totalprice").alias("value")
-    )
-    dense = densify(daily, keys=["series_id"], time="date", columns=["value"])
-    macro = macro_trend(dense, changes={"Fed_Balance_YoY": 360}).select(
-        "date", F.col("value").alias("VIX_high"), "Fed_Balance_YoY", F.col("m_sma50_vector").alias("Fed_SMA50_vector"),
-        F.col("m_sma200_vector").alias("Fed_SMA200_vector"), F.col("m_sma50_position").alias("Fed_SMA50_position"),
-    )
+
+def macro(t: Tables) -> DataFrame:
+    return t.once("landed_macro", lambda: macro_table(macro_series(t)))
+
+
+def inputs(t: Tables) -> Inputs:
     filed = statements(t)
     crises = t.orders.filter(F.col("o_totalprice") >= 499000).select(day("o_orderdate").alias("date"))
     return Inputs(
         prices=prices(t), splits=splits(t), earn_history=history(t), earn_trend=trend(t), long_trend=long_trend(t),
-        balance=filed, cashflow=filed, income=filed, general=general(t), macro=macro, event_dates=crises,
+        balance=filed, cashflow=filed, income=filed, general=general(t), macro=macro(t), event_dates=crises,
     )

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelweave.catalog import landed
 from panelweave.catalog.registry import Tables, day, query, rounded
-from panelweave.catalog.series import STOCK_DAYS, supplier_days
+from panelweave.functions.scalars import numeric_columns
 from panelweave.ml import evaluate as ev
 from panelweave.ml import model as ml
-from panelweave.operators.splits import holdout_newest, purge_gap
+from panelweave.operators.relational import keep_first_per
+from panelweave.operators.splits import FOLD_SHAPE, Fold, chain_shape, fold_ranges, fold_report, holdout_newest, purge_gap, with_positions
 from panelweave.operators.timeline import Axis
-from panelweave.operators.windows import forward_returns, pct_change, sma_trend
-from panelweave.session import pin
+from panelweave.plans import panel as pn
+from panelweave.session import scratch_path, stored
+from panelweave.sources import files
 
 # --- encoders -----------------------------------------------------------------------
 
@@ -64,96 +67,168 @@ def standardize(t: Tables) -> DataFrame:
 
 # --- models -------------------------------------------------------------------------
 
-NUMBERS = ("change_1", "change_5", "p_sma5_position", "p_sma20_position", "volume")
+AS_OF = "2001-06-30"
+HORIZONS = tuple(pn.THRESHOLDS)
+TARGET = {h: f"future_{h}dprice_change" for h in HORIZONS}
+LABEL = {h: f"future_{h}dprice_change_label" for h in HORIZONS}
+NOT_FEATURES = ("stock", "open", "close", "days_after_crisis", "position", *TARGET.values(), *LABEL.values())
 
 
-def training_panel(t: Tables) -> DataFrame:
-    """Price features per supplier and day, the sector, and two forward-return horizons."""
-    trend = sma_trend(supplier_days(t), STOCK_DAYS, "close", (5, 20), prefix="p")
-    moved = pct_change(trend, STOCK_DAYS, {"change_1": ("close", 1), "change_5": ("close", 5)})
-    returns = forward_returns(moved, STOCK_DAYS, {"ret_15": 11, "ret_30": 22})
-    sectors = t.supplier.select(F.col("s_suppkey").alias("stock"), F.concat(F.lit("N"), F.col("s_nationkey")).alias("sector"))
-    labelled = returns.join(sectors, "stock").withColumns(
-        {
-            "label_15": (F.col("ret_15") >= 4.112).cast("int"),
-            "label_30": (F.col("ret_30") >= 6.18).cast("int"),
-        }
-    )
-    return pin(labelled)  # read by every stage of every fit
+def labelled_panel(t: Tables, mode: str = "train") -> DataFrame:
+    """The built panel, cleaned and labelled, stored once."""
+    built = t.once("built_panel", lambda: stored(pn.build_panel(landed.inputs(t), as_of=F.lit(AS_OF).cast("date"), start="1995-06-30"), "panel"))
+    cleaned = pn.clean_panel(built, mode)
+    return stored(pn.threshold_labels(cleaned, pn.horizon_thresholds()) if mode == "train" else cleaned, f"panel-{mode}")
+
+
+def features_of(panel: DataFrame) -> list[str]:
+    return [c for c in numeric_columns(panel) if c not in NOT_FEATURES]
+
+
+def model_rows(t: Tables, categories: tuple[str, ...] = ("sector",)) -> tuple[PipelineModel, DataFrame]:
+    """(fitted preparation, stored rows with keys, returns, labels and the assembled features)."""
+    panel = labelled_panel(t)
+    prepared = ml.preparation(features_of(panel), categories).fit(panel)
+    return prepared, ml.feature_matrix(prepared, panel, ["stock", "date", *TARGET.values(), *LABEL.values()])
+
+
+def _split(rows: DataFrame, horizon: int) -> tuple[DataFrame, DataFrame]:
+    """All but the newest 5 percent with a return, less a gap of the horizon, and those 5 percent."""
+    train, test = holdout_newest(rows, time="date", target=TARGET[horizon], percent=5.0, tie=["stock"])
+    return purge_gap(train, time="date", days=horizon), test
+
+
+def _per_horizon(fit_and_score) -> DataFrame:
+    """The six horizons, several at a time, as one frame."""
+    parts = ml.at_once([lambda h=h: fit_and_score(h).withColumn("horizon", F.lit(h)) for h in HORIZONS])
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
 
+def _classified(t: Tables, kind: str, **params) -> DataFrame:
+    _, rows = model_rows(t)
 
-def _split(panel: DataFrame, target: str, days: int) -> tuple[DataFrame, DataFrame]:
-    train, test = holdout_newest(panel, time="date", target=target, percent=5.0, tie=["stock"])
-    return pin(purge_gap(train, time="date", days=days)), test
+    def one(h: int) -> DataFrame:
+        train, test = _split(rows, h)
+        return ml.predict(ml.fit_matrix(train, LABEL[h], kind, **params), test, ["stock", "date", F.col(LABEL[h]).alias("label")])
+
+    return _per_horizon(one)
 
 
 @query("gbt_classify")
 def gbt_classify(t: Tables) -> DataFrame:
-    """Two horizons, each trained on all but the newest 5 percent and scored on those."""
-    panel = training_panel(t)
-    results = None
-    for horizon in (15, 30):
-        train, test = _split(panel, f"ret_{horizon}", horizon)
-        model = ml.fit(train, NUMBERS, ["sector"], f"label_{horizon}", "boosted", maxIter=5, maxDepth=4)
-        scored = ml.predict(model, test, ["stock", "date", F.col(f"label_{horizon}").alias("label")])
-        tagged = scored.withColumn("horizon", F.lit(horizon))
-        results = tagged if results is None else results.unionByName(tagged)
-    return results
+    """Six horizons of 50 boosted trees, each trained on all but the newest 5 percent and scored on those."""
+    return _classified(t, "boosted")
+
+
+@query("forest_classify")
+def forest_classify(t: Tables) -> DataFrame:
+    """The same rows scored by the second ensemble, 50 trees grown apart."""
+    return _classified(t, "forest", maxDepth=8)
 
 
 @query("gbt_regress")
 def gbt_regress(t: Tables) -> DataFrame:
-    train, test = _split(training_panel(t), "ret_30", 30)
-    model = ml.fit(train, NUMBERS, ["sector"], "ret_30", "regressor", maxIter=5, maxDepth=4)
-    scored = ml.predict(model, test, ["stock", "date", "ret_30"], classifier=False)
-    return scored.select("stock", "date", "ret_30", "pred")
+    """Returns of six horizons by 50 boosted trees, with the industry in place of the sector."""
+    _, rows = model_rows(t, ("industry",))
+
+    def one(h: int) -> DataFrame:
+        train, test = _split(rows, h)
+        actual = F.col(TARGET[h]).alias("actual")
+        return ml.predict(ml.fit_matrix(train, TARGET[h], "regressor"), test, ["stock", "date", actual], classifier=False)
+
+    return _per_horizon(one)
 
 
 @query("linear_svc")
 def linear_svc(t: Tables) -> DataFrame:
-    train, test = _split(training_panel(t), "ret_30", 30)
-    weighted = ml.balanced_weights(train.filter(F.col("label_30").isNotNull()), "label_30")
-    model = ml.fit(weighted, NUMBERS, ["sector"], "label_30", "svc", maxIter=10, weightCol="weight")
-    return ml.predict(model, test, ["stock", "date", "label_30"])
+    """A linear machine with class weights, trained on all but the newest 5 percent and scored on those."""
+    panel = labelled_panel(t)
+    train, test = _split(panel, 30)
+    weighted = ml.balanced_weights(train.filter(F.col(LABEL[30]).isNotNull()), LABEL[30])
+    model = ml.fit(weighted, features_of(panel), ["sector"], LABEL[30], "svc", weightCol="weight")
+    return ml.predict(model, test, ["stock", "date", F.col(LABEL[30]).alias("label")])
+
+
+def _chained(rows: DataFrame, label: str, shape: tuple[int, int, int]) -> tuple[DataFrame, list[Fold]]:
+    """The rows with a label and their position in time, stored, and the folds over them."""
+    placed = stored(with_positions(rows.filter(F.col(label).isNotNull()), time="date", tie=["stock"]), "positions")
+    total = placed.count()
+    return placed, fold_ranges(total, **chain_shape(total, shape))
+
+
+@query("kernel_svm")
+def kernel_svm(t: Tables) -> DataFrame:
+    """Forward folds of the machine with a Gaussian kernel, by random Fourier features, classes weighted."""
+    rows, folds = _chained(labelled_panel(t), LABEL[30], (3, 22_000, 11_050))
+    numbers = features_of(rows)
+
+    def fitted(train: DataFrame) -> PipelineModel:
+        return ml.fit(ml.balanced_weights(train, LABEL[30]), numbers, ["sector"], LABEL[30], "kernel", weightCol="weight", dimensions=256)
+
+    return ml.forward_cv(rows, folds, LABEL[30], fitted).drop("auc", "mean_auc")
 
 
 @query("grid_search")
 def grid_search(t: Tables) -> DataFrame:
-    train, _ = _split(training_panel(t), "ret_30", 30)
-    row = F.concat_ws(" ", "stock", "date")
-    _, scores = ml.grid_search(
-        train, NUMBERS, ["sector"], "ret_30", {"maxDepth": (2, 3), "maxIter": (2,)}, fold_id=row, folds=2
-    )
+    """Depth and step size of 50 boosted trees for the 30-day return, each point on every forward fold."""
+    _, rows = model_rows(t)
+    placed, folds = _chained(rows, TARGET[30], FOLD_SHAPE)
+    _, scores = ml.grid_search(placed, folds, TARGET[30], {"maxDepth": (3, 5), "stepSize": (0.03, 0.1)})
     return scores
 
 
 @query("forward_cv")
 def forward_cv(t: Tables) -> DataFrame:
-    """Three folds of a tenth of the rows each, with a gap of about one horizon."""
-    panel = training_panel(t).filter(F.col("label_30").isNotNull())
-    size = panel.count() // 10
-    return ml.forward_cv(
-        panel, NUMBERS, ["sector"], "label_30", time="date", tie=["stock"], n_splits=3, test_size=size,
-        gap=size // 5, maxIter=3, maxDepth=3,
-    )
+    """Five forward folds of 50 boosted trees for the 30-day label, with running means."""
+    _, rows = model_rows(t)
+    placed, folds = _chained(rows, LABEL[30], FOLD_SHAPE)
+    return ml.forward_cv(placed, folds, LABEL[30], lambda train: ml.fit_matrix(train, LABEL[30], "boosted"))
 
 
 @query("score_screen")
 def score_screen(t: Tables) -> DataFrame:
-    """Train once, then screen every supplier's newest day."""
-    panel = training_panel(t)
-    model = ml.fit(panel, NUMBERS, ["sector"], "label_30", "boosted", maxIter=5, maxDepth=4)
-    newest = panel.groupBy("stock").agg(F.max("date").alias("date"))
-    return ml.screen(model, panel.join(newest, ["stock", "date"]), 30, ["stock", "date"])
+    """Models of all six periods, refitted on all rows, saved and loaded, screen the newest row of every stock."""
+    prepared, rows = model_rows(t)
+    newest = keep_first_per(labelled_panel(t, "score"), ["stock"], [F.datediff(F.lit("9999-12-31").cast("date"), F.col("date"))])
+
+    def one(h: int) -> DataFrame:
+        path = scratch_path(t.spark, f"model-{h}")
+        files.save_model(ml.whole_model(prepared, ml.fit_matrix(rows, LABEL[h], "boosted")), path)
+        return ml.screen(files.load_model(path), newest, h, ["stock", "date"])
+
+    return _per_horizon(one).drop("horizon")
 
 
 @query("feature_importance")
 def feature_importance(t: Tables) -> DataFrame:
-    panel = training_panel(t)
-    models = {
-        h: ml.fit(panel, NUMBERS, ["sector"], f"label_{h}", "forest", numTrees=5, maxDepth=4) for h in (15, 30)
-    }
-    return ml.importance_by_horizon(models, t.spark)
+    """Rank of every feature in the models of the six horizons, refitted on all rows."""
+    prepared, rows = model_rows(t)
+    models = ml.at_once([lambda h=h: ml.whole_model(prepared, ml.fit_matrix(rows, LABEL[h], "boosted")) for h in HORIZONS])
+    return ml.importance_by_horizon(dict(zip(HORIZONS, models)), t.spark)
+
+
+@query(
+    "fold_balance",
+    """
+    WITH o AS (SELECT row_number() OVER (ORDER BY CAST(o_orderdate AS DATE), o_orderkey) - 1 AS pos, CAST(o_orderdate AS DATE) AS date,
+                      CASE WHEN o_totalprice >= 300000 THEN 1 ELSE 0 END AS label, count(*) OVER () AS total FROM orders),
+    s AS (SELECT DISTINCT total, total // 10 AS size, 11050 * (total // 10) // 30000 AS gap FROM o),
+    f AS (SELECT CAST(i AS INT) AS fold, total - (5 - i) * size AS start, size, gap FROM s, range(5) r(i)),
+    p AS (SELECT fold, 'train' AS part, 0 AS low, start - gap AS high FROM f UNION ALL SELECT fold, 'test', start, start + size FROM f)
+    SELECT fold, part, count(*) AS n_rows, round(avg(label), 8) AS share_of_ones, min(date) AS first, max(date) AS last
+    FROM p JOIN o ON pos >= low AND pos < high GROUP BY 1, 2
+    """,
+)
+def fold_balance(t: Tables) -> DataFrame:
+    """Sizes, days and class balance of the forward folds over the orders."""
+    rows = t.orders.select("o_orderkey", day("o_orderdate").alias("date"), (F.col("o_totalprice") >= 300000).cast("int").alias("label"))
+    placed = with_positions(rows, time="date", tie=["o_orderkey"])
+    total = t.orders.count()
+    folds = fold_ranges(total, **chain_shape(total))
+    return rounded(fold_report(placed, folds, "label", time="date"), 8, ("share_of_ones",))
 
 
 # --- evaluation ---------------------------------------------------------------------
@@ -298,6 +373,29 @@ def horizon_summary(t: Tables) -> DataFrame:
     return ev.horizon_summary(scored(t))
 
 
+SIX_SQL = SCORED_SQL.replace("o_orderstatus AS horizon", "CAST(30 * (o_orderkey % 6) + CASE WHEN o_orderkey % 6 = 0 THEN 15 ELSE 0 END AS INT) AS horizon")
+
+
+@query(
+    "horizon_table",
+    f"""
+    WITH {SIX_SQL}, {CONFUSION_SQL}, {AUC_SQL},
+    e AS (SELECT horizon, avg(abs(actual_return - 20 * proba)) AS mae, avg(CASE WHEN actual_return * (proba - 0.5) > 0 THEN 1.0 ELSE 0.0 END) AS up FROM s GROUP BY 1)
+    SELECT horizon, round_even(100.0 * tp / nullif(tp + fp, 0), 2) AS precision_percent, round_even(100 * auc, 2) AS auc_percent,
+           round_even(100 * mae, 2) AS mae_percent, round_even(100 * up, 2) AS direction_percent
+    FROM m JOIN auc USING (horizon) JOIN e USING (horizon)
+    """,
+)
+def horizon_table(t: Tables) -> DataFrame:
+    """Classifier and regression measures side by side for the six horizons."""
+    sixth = F.col("row_id") % 6
+    rows = scored(t).withColumn("horizon", (30 * sixth + F.when(sixth == 0, 15).otherwise(0)).cast("int"))
+    away = rows.withColumns({"estimate": 20 * F.col("proba"), "turn": F.col("proba") - 0.5})
+    errors = ev.regression_summary(away, "actual_return", "estimate").select("horizon", "mae_percent")
+    turns = ev.regression_summary(away, "actual_return", "turn").select("horizon", "direction_percent")
+    return ev.horizon_summary(rows).join(errors, "horizon").join(turns, "horizon")
+
+
 @query(
     "buy_signal_series",
     f"""

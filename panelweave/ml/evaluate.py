@@ -130,6 +130,14 @@ def horizon_summary(df: DataFrame, label: str = "label", pred: str = "pred", sco
     return null_safe_join(precision, area, [horizon])
 
 
+def regression_summary(df: DataFrame, actual: str, pred: str, horizon: str = "horizon") -> DataFrame:
+    """Mean absolute error times 100 and share of right directions in percent, one row per horizon."""
+    right = (F.col(actual) * F.col(pred) > 0).cast("double")
+    known = df.filter(F.col(actual).isNotNull() & F.col(pred).isNotNull())
+    return known.groupBy(horizon).agg(
+        F.bround(100.0 * F.avg(F.abs(F.col(actual) - F.col(pred))), 2).alias("mae_percent"), F.bround(100.0 * F.avg(right), 2).alias("direction_percent"))
+
+
 def buy_signals(
     df: DataFrame, axis: Axis, *, price: str, score: str = "proba", threshold: float = 0.55, ahead: int = 22
 ) -> DataFrame:

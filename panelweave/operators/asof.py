@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.operators.timeline import LONG, UNKNOWN, Axis, fill, split_long_series
@@ -194,12 +194,13 @@ def value_days_ago(
         return df.join(past, [*keys, time], "left")
     axis = Axis.of(keys, time, size=size)
     short, long = split_long_series(df, axis)
-    span = Window.partitionBy(*keys).orderBy(F.unix_date(time)).rangeBetween(
-        Window.unboundedPreceding, -days
-    )
+    quoted = lambda names: ", ".join(f"`{c}`" for c in names)
+    # a range of days on the date itself keeps the order that other windows of the series share; only SQL text can state it
+    clock = f"`{time}`" if dict(df.dtypes)[time] == "date" else f"unix_date(CAST(`{time}` AS DATE))"
+    span = f"PARTITION BY {quoted(keys)} ORDER BY {clock} RANGE BETWEEN UNBOUNDED PRECEDING AND {int(days)} PRECEDING"
     result = None
     if short is not None:
-        result = short.withColumns({o: F.last(s, ignorenulls=True).over(span) for s, o in columns.items()})
+        result = short.withColumns({o: F.expr(f"last(`{s}`, true) OVER ({span})") for s, o in columns.items()})
     if long is None:
         return result
     past = long.select(*keys, F.date_add(time, days).alias("_past"), *[F.col(s).alias(o) for s, o in columns.items()])

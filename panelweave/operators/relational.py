@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.functions.scalars import outside_bounds
-from panelweave.operators.timeline import Axis, running, spread_join
+from panelweave.operators.timeline import UNKNOWN, Axis, running, spread_join
 
 
 def members(df: DataFrame, keys: DataFrame, on: Sequence[str], negate: bool = False) -> DataFrame:
@@ -53,10 +53,10 @@ def dedup_statements(df: DataFrame, keys: Sequence[str], known_date: str, period
 
 
 def shift_repeated_dates(
-    df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[str], probe: DataFrame | None = None
+    df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[str], probe: DataFrame | None = None, size: str = UNKNOWN
 ) -> DataFrame:
     """Second and later rows of the same key and date move one day on."""
-    counted = running(df, Axis.of([*keys, time], tie), {"_nth": ("count", F.lit(1))}, probe=probe)
+    counted = running(df, Axis.of([*keys, time], tie, size), {"_nth": ("count", F.lit(1))}, probe=probe)
     moved = F.when(F.col("_nth") > 1, F.date_add(F.col(time), 1)).otherwise(F.col(time))
     return counted.withColumn(time, F.when(F.col(time).isNotNull(), moved)).drop("_nth").select(*df.columns)
 

@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,127 +102,84 @@ def exact_quantiles(
     by: Sequence[str] = (),
     *,
     base: DataFrame | None = None,
+    measures: Mapping[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
-    """Exact interpolated quantiles per (by..., column).
-
-    A mergeable sketch brackets each quantile between two values with well under one
-    percent of the rows between them. A second pass counts the rows below the bracket and
-    the distinct values inside it; the running sum over these few values finds the exact
-    ranks. So neither all values are sorted, nor does a popular value or a large group end
-    up in one task, unlike with the built-in ``percentile``. ``base`` may be a frame that
-    is cheaper to count and has at least as many rows as ``df``.
+    """Exact interpolated quantiles per (by..., column), with further ``measures`` of the columns, in two scans.
+
+    The first scan takes the measures and a mergeable sketch that brackets each quantile between
+    two values with well under one percent of the rows between them. The second counts every value
+    inside a bracket, and the rows between two brackets together, under the number of the bracket:
+    the running sum over these few counts finds the exact ranks. So neither all values are sorted,
+    nor does a popular value or a large group end up in one task, unlike with the built-in
+    ``percentile``. ``base`` may be a frame that is cheaper to count and has at least as many rows
+    as ``df``. Columns without values have measures and null quantiles if measures are asked for,
+    else no row.
     """
     margin = 2.0 / SKETCH
-    names = list(quantiles)
     probabilities = [p for q in quantiles.values() for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
     typed = df.select(*by, *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)])
-    sketched = typed.groupBy(*by).agg(
-        *[
-            m
-            for i in range(len(columns))
-            for m in (
-                F.count(f"_c{i}").alias(f"_n{i}"), F.min(f"_c{i}").alias(f"_min{i}"), F.max(f"_c{i}").alias(f"_max{i}"),
-                F.percentile_approx(f"_c{i}", probabilities, SKETCH).alias(f"_s{i}"),
-            )
-        ]
-    )
-    few = lambda i: F.col(f"_n{i}") <= ALL_VALUES_BELOW
+    taken = {"_n": F.count, "_min": F.min, "_max": F.max, "_s": lambda v: F.percentile_approx(v, probabilities, SKETCH), **(measures or {})}
+    sketched = pin(typed.groupBy(*by).agg(*[f(F.col(f"_c{i}")).alias(f"{m}{i}") for i in range(len(columns)) for m, f in taken.items()]))
     base = df if base is None else base
 
-    def within(whole_range: bool) -> DataFrame:
-        """Values at the wanted ranks, and whether each rank lies in its bracket."""
-        ends = lambda i: F.lit(True) if whole_range else few(i)
-        brackets = sketched.select(
-            *by,
-            *[F.col(f"_n{i}") for i in range(len(columns))],
-            *[
-                edge
-                for i in range(len(columns))
-                for j in range(len(quantiles))
-                for edge in (
-                    F.when(ends(i), F.col(f"_min{i}")).otherwise(F.get(f"_s{i}", 2 * j)).alias(f"_lo{i}_{j}"),
-                    F.when(ends(i), F.col(f"_max{i}")).otherwise(F.get(f"_s{i}", 2 * j + 1)).alias(f"_hi{i}_{j}"),
-                )
-            ],
-        )
-        return _values_in_brackets(typed, pin(brackets), columns, quantiles, by, base)
-
-    found = pin(within(False))
-    if not found.filter(~F.col("_met")).isEmpty():  # beyond the sketch's error bound: search all values instead
-        found = within(True)
-    return found.groupBy(*by, "column").agg(*[F.max(F.when(F.col("_q") == n, F.col("_value"))).alias(n) for n in names])
+    found = pin(_values_at(typed, sketched, columns, quantiles, by, base, False))
+    if not found.filter("NOT _met").isEmpty():  # beyond the sketch's error bound: search all values instead
+        found = _values_at(typed, sketched, columns, quantiles, by, base, True)
+    found = found.drop("_met")
+    if not measures:
+        return found
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{m}{i}").alias(m) for m in measures]) for i, c in enumerate(columns)])
+    return null_safe_join(sketched.select(*by, F.inline(cells)), found, [*by, "column"])
 
 
-def _values_in_brackets(
-    typed: DataFrame, brackets: DataFrame, columns: Sequence[str], quantiles: Mapping[str, float], by: Sequence[str], base: DataFrame
+def _values_at(
+    typed: DataFrame, sketched: DataFrame, columns: Sequence[str], quantiles: Mapping[str, float], by: Sequence[str], base: DataFrame, whole_range: bool
 ) -> DataFrame:
-    """(by..., column, _q, _value, _met) from the values inside the brackets; ``_met`` is false where a rank lies outside."""
-    names = list(quantiles)
+    """(by..., column, a column per quantile, _met): ``_met`` is false where a rank lies outside its bracket."""
+    names, places = list(quantiles), range(len(columns))
+    all_of = lambda i: F.lit(True) if whole_range else F.col(f"_n{i}") <= ALL_VALUES_BELOW
+    edge = lambda i, j, side: F.when(all_of(i), F.col(("_min", "_max")[side] + str(i))).otherwise(F.get(f"_s{i}", 2 * j + side))
+    brackets = sketched.select(*by, *[edge(i, j, side).alias(f"{('_lo', '_hi')[side]}{i}_{j}") for i in places for j in range(len(names)) for side in (0, 1)])
     # without groups the brackets are exactly one row
     tagged = spread_join(typed, brackets, by, "inner", probe=base, null_safe=True) if by else typed.join(F.broadcast(brackets))
 
-    cells = [(i, j) for i in range(len(columns)) for j in range(len(names))]
-    name_of = lambda i, j: [F.lit(columns[i]).alias("column"), F.lit(names[j]).alias("_q")]
-    inside = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(f"_c{i}").between(F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}")),
-                    F.struct(*name_of(i, j), F.col(f"_c{i}").alias("value")),
-                )
-                for i, j in cells
-            ]
-        )
-    )
-    group = [*by, "column", "_q"]
-    counts = tagged.select(*by, F.inline(inside)).groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = accumulate(counts, Axis.of(group, "value"), {"upto": ("sum", "n")}, base)
-
-    below = tagged.groupBy(*by).agg(
-        *[F.count_if(F.col(f"_c{i}") < F.col(f"_lo{i}_{j}")).alias(f"_b{i}_{j}") for i, j in cells],
-        *[F.first(f"_n{i}").alias(f"_n{i}") for i in range(len(columns))],
-    )
-    offsets = below.select(
-        *by,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        *name_of(i, j), F.col(f"_b{i}_{j}").alias("_below"), F.col(f"_n{i}").alias("_known"),
-                        (F.lit(float(quantiles[names[j]])) * (F.col(f"_n{i}") - 1)).alias("_target"),
-                    )
-                    for i, j in cells
-                ]
-            )
-        ),
-    )
-    # one row per group, column and quantile: sent to the values where it is small, so that a group is no one task's work
-    placed = null_safe_join(ranked, checked_broadcast(pin(offsets)), group, "inner")
-    first, end = F.col("_below") + F.col("upto") - F.col("n"), F.col("_below") + F.col("upto")
+    def cell(i: int) -> Column:
+        v, inside, passed = F.col(f"_c{i}"), F.lit(False), F.lit(0)
+        for j in range(len(names)):
+            inside = inside | v.between(F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}"))
+            passed = passed + (v > F.col(f"_hi{i}_{j}")).cast("int")
+        return F.when(v.isNotNull(), F.struct(F.lit(i).alias("_i"), passed.alias("_bracket"), F.when(inside, v).alias("value"), v.alias("_v")))
+
+    cells = tagged.select(*by, F.inline(F.array_compact(F.array(*[cell(i) for i in places]))))
+    counts = cells.groupBy(*by, "_i", "_bracket", "value").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_at"))
+    ranked = accumulate(counts, Axis.of([*by, "_i"], "_at"), {"upto": ("sum", "n")}, base).filter("value IS NOT NULL")
+
+    sizes = sketched.select(*by, F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(f"_n{i}").alias("_n")) for i in places])))
+    # one row per group and column: sent to the values where it is small, so that a group is no one task's work
+    placed = null_safe_join(ranked, checked_broadcast(sizes), [*by, "_i"], "inner")
+    first, end = F.col("upto") - F.col("n"), F.col("upto")
     at = lambda p: F.max(F.when((first <= p) & (p < end), F.col("value")))
-    low, high = at(F.floor("_target")), at(F.ceil("_target"))
-    return placed.filter(F.col("_known") > 0).groupBy(*group).agg(
-        (low + (high - low) * F.max(F.col("_target") - F.floor("_target"))).alias("_value"),
-        (low.isNotNull() & high.isNotNull()).alias("_met"),
-    )
+    values, met = [], F.lit(True)
+    for name in names:
+        target = F.lit(float(quantiles[name])) * (F.col("_n") - 1)
+        low, high = at(F.floor(target)), at(F.ceil(target))
+        values.append((low + (high - low) * F.max(target - F.floor(target))).alias(name))
+        met = met & low.isNotNull() & high.isNotNull()
+    named = F.get(F.array(*[F.lit(c) for c in columns]), F.col("_i")).alias("column")
+    return placed.groupBy(*by, "_i").agg(*values, met.alias("_met")).select(*by, named, *names, "_met")
 
 
 def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), *, base=None) -> DataFrame:
     """count, mean, std, min, quartiles and max per column."""
-    group = [*by, "column"]
     measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    basic = summarise(df, columns, measures, by)
-    quartiles = exact_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by, base=base)
-    return null_safe_join(basic, quartiles, group).select(
-        *group, "count", "mean", "std", "min", "q25", "q50", "q75", "max"
-    )
+    found = exact_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by, base=base, measures=measures)
+    return found.select(*by, "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def group_outcome_stats(df: DataFrame, by: Sequence[str], value: str, *, base=None) -> DataFrame:
     """Mean, median, min and max of a value per outcome."""
-    basic = df.groupBy(*by).agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"))
-    medians = exact_quantiles(df, [value], {"median": 0.5}, by, base=base).drop("column")
-    return null_safe_join(basic, medians, list(by)).select(*by, "mean", "median", "min", "max")
+    found = exact_quantiles(df, [value], {"median": 0.5}, by, base=base, measures={"mean": F.avg, "min": F.min, "max": F.max})
+    return found.select(*by, "mean", "median", "min", "max")
 
 
 def box_stats(df: DataFrame, by: str, value: str, *, base=None) -> DataFrame:
@@ -242,28 +203,46 @@ def box_stats(df: DataFrame, by: str, value: str, *, base=None) -> DataFrame:
 
 # --- correlation ------------------------------------------------------------------
 
+FLAT = 1e-12  # a variance below this part of the mean square is rounding
+
 
-def _correlations(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    """(column_a, column_b, r) of the pairs, over the rows complete in both, in one pass.
+def pair_sums(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For all column pairs, over the rows complete in both: n[i, j], sum of i, sum of squares of i, sum of products.
 
-    Each row is repeated per pair and reduced before the shuffle, so the plan has one
-    aggregate however many columns there are.
+    One aggregate in one scan: each row becomes the vector (known, value, square) of its columns,
+    with 0 for what is missing, and the products of these vectors are added up as one matrix. So a
+    row is neither repeated per pair nor do the pairs become expressions. Values are shifted by a
+    value of the column beforehand, which changes no variance and keeps digits. The result has the
+    size of the columns squared and belongs to the driver. NaN counts as missing.
     """
-    row = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("_v"))
-    numbered = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs]))
-    spread = row.select("_v", numbered.alias("_p"))
-    names = F.array(*[F.lit(c) for c in columns])
-    a, b = F.get("_v", F.col("_p.i")), F.get("_v", F.col("_p.j"))
-    # corr() itself fails on a column without variation in ANSI mode
-    deviation = lambda x, y: F.stddev_pop(F.when(y.isNotNull(), x))
-    r = F.try_divide(F.covar_pop(a, b), deviation(a, b) * deviation(b, a))
-    sums = spread.groupBy("_p.i", "_p.j").agg(r.alias("r"))
-    return sums.select(F.get(names, F.col("i")).alias("column_a"), F.get(names, F.col("j")).alias("column_b"), "r")
+    k = len(columns)
+    cells = [F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns]
+    peek = df.select(*[c.alias(f"_{i}") for i, c in enumerate(cells)]).limit(1000).agg(*[F.max(f"_{i}") for i in range(k)]).first()
+    shifted = [c - F.lit(float(peek[i] or 0.0)) for i, c in enumerate(cells)]
+    parts = [*[c.isNotNull().cast("double") for c in cells], *[F.coalesce(c, F.lit(0.0)) for c in shifted], *[F.coalesce(c * c, F.lit(0.0)) for c in shifted]]
+    rows = MLUtils.convertVectorColumnsFromML(df.select(array_to_vector(F.array(*parts)).alias("_v")), "_v")
+    gram = RowMatrix(rows, numCols=3 * k).computeGramianMatrix().toArray()
+    return gram[:k, :k], gram[k:2 * k, :k], gram[2 * k:, :k], gram[k:2 * k, k:2 * k]
+
+
+def _coefficients(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """The correlation matrix; NaN where a column has no variation over the rows complete in both."""
+    n, total, squares, products = pair_sums(df, columns)
+    with np.errstate(all="ignore"):
+        variance = squares - total * total / n  # of column i over the rows that have j too
+        variance = np.where(variance > FLAT * squares, variance, np.nan)
+        return np.clip((products - total * total.T / n) / np.sqrt(variance * variance.T), -1.0, 1.0)
+
+
+def _table(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    r = _coefficients(df, columns)
+    rows = [(columns[i], columns[j], None if np.isnan(r[i, j]) else float(r[i, j])) for i, j in pairs]
+    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, r double")
 
 
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All column pairs with their correlation over complete pairs."""
-    return _correlations(df, columns, list(combinations(range(len(columns)), 2)))
+    return _table(df, columns, list(combinations(range(len(columns)), 2)))
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str], above: float) -> DataFrame:
@@ -274,12 +253,8 @@ def corr_pairs(df: DataFrame, columns: Sequence[str], above: float) -> DataFrame
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Full square matrix in long form; a column without variation has no correlation, not even with itself."""
     n = range(len(columns))
-    half = _correlations(df, columns, [(i, j) for i in n for j in n if i <= j])
     own = F.col("column_a") == F.col("column_b")
-    known = half.withColumn("r", F.when(own & F.col("r").isNotNull() & ~F.isnan("r"), 1.0).when(~own, F.col("r")))
-    turned = F.struct(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "r")
-    both = F.array_compact(F.array(F.struct("column_a", "column_b", "r"), F.when(~own, turned)))
-    return known.select(F.inline(both))
+    return _table(df, columns, [(i, j) for i in n for j in n]).withColumn("r", F.when(own & F.col("r").isNotNull(), 1.0).otherwise(F.col("r")))
 
 
 def _ranked_values(long: DataFrame, by: Sequence[str], base: DataFrame) -> DataFrame:
@@ -288,22 +263,21 @@ def _ranked_values(long: DataFrame, by: Sequence[str], base: DataFrame) -> DataF
     return accumulate(counts, Axis.of(by, "value"), {"upto": ("sum", "n")}, base)
 
 
-def average_ranks(df: DataFrame, column: str, *, base=None) -> DataFrame:
-    """(value, rank): ties share the mean of their positions."""
-    long = df.select(F.lit(column).alias("column"), F.col(column).cast("double").alias("value"))
-    ranked = _ranked_values(long, ["column"], df if base is None else base)
-    return ranked.select(
-        F.col("value").alias(column), (F.col("upto") - (F.col("n") - 1) / 2.0).alias(f"{column}_rank")
-    )
-
-
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rank correlation with average ranks, over rows complete in all columns."""
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    ranked = complete
-    for c in columns:
-        ranked = spread_join(ranked, average_ranks(complete, c), [c], "inner", probe=complete)
-    return pearson(ranked.select(*[F.col(f"{c}_rank").alias(c) for c in columns]), columns)
+    """Rank correlation with average ranks, over rows complete in all columns.
+
+    All columns are ranked together: the values of one long frame are counted per column, ranked by
+    running sums within each column, joined to the cells, and the ranks put back into rows. Two scans
+    and three shuffles whatever the number of columns; popular values are counted before they move.
+    """
+    row = pin(df.select(F.array(*[F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns]).alias("_v")).filter(
+        ~F.exists("_v", lambda v: v.isNull())).withColumn("_row", F.monotonically_increasing_id()))
+    cells = row.select("_row", F.posexplode("_v").alias("column", "value"))
+    ranked = _ranked_values(cells, ["column"], cells)
+    ranks = ranked.select("column", "value", (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank"))
+    placed = spread_join(cells, ranks, ["column", "value"], "inner")
+    wide = placed.groupBy("_row").agg(*[F.max(F.when(F.col("column") == i, F.col("rank"))).alias(c) for i, c in enumerate(columns)])
+    return pearson(wide.drop("_row"), columns)
 
 
 # --- shape ------------------------------------------------------------------------

@@ -31,7 +31,7 @@ from panelweave.operators.relational import (
     shift_repeated_dates,
 )
 from panelweave.operators.timeline import FITS, UNKNOWN, Axis, checked_broadcast, fill, rolling
-from panelweave.operators.windows import change_points, cumulative_product, pct_change, sma_trend
+from panelweave.operators.windows import change_points, cumulative_product, densify, pct_change, sma_trend
 
 # Days before the report at which an estimate was taken, and its column.
 ESTIMATE_AGES = {
@@ -61,6 +61,7 @@ YOY_NAMES = {
     "DY": "YoY_DY",
 }
 
+FIRST_DAY = "0001-01-01"  # before any price
 STOCK_DAYS = Axis.of("stock", "date", size=FITS)  # only for frames aggregated to stock and day
 STOCK_ROWS = Axis.of("stock", "date")
 
@@ -79,6 +80,17 @@ def split_factors(splits: DataFrame) -> DataFrame:
     return cumulative_product(per_day, STOCK_DAYS, "coef", out="factor").drop("coef")
 
 
+def known_factors(factors: DataFrame) -> DataFrame:
+    """(stock, date, factor) as events that hold from their day on: on a split's day the product of the strictly later splits.
+
+    The first event of a stock, with all its splits, lies before any price. So a fill from the
+    past serves prices and everything else that is aligned with them.
+    """
+    ahead = F.coalesce(F.lead("factor", 1).over(STOCK_DAYS.window), F.lit(1.0))
+    later = factors.select("stock", "date", ahead.alias("factor"))
+    return later.unionAll(factors.groupBy("stock").agg(F.lit(FIRST_DAY).cast("date").alias("date"), F.min_by("factor", "date").alias("factor")))
+
+
 def split_factor_on(
     rows: DataFrame, factors: DataFrame, time: str = "date", out: str = "factor", size: str = UNKNOWN
 ) -> DataFrame:
@@ -119,7 +131,7 @@ def eps_surprise(history: DataFrame, size: str = UNKNOWN) -> DataFrame:
         to_number("epsActual").alias("epsActual"),
         to_number("epsEstimate").alias("epsEstimate"),
     )
-    moved = shift_repeated_dates(typed, ["stock"], "reportDate", ["date"], probe=history.select("stock", F.col("reportDate")))
+    moved = shift_repeated_dates(typed, ["stock"], "reportDate", ["date"], probe=history.select("stock", F.col("reportDate")), size=size)
     both = moved.withColumns(
         {
             "epsActual": F.coalesce("epsActual", "epsEstimate"),
@@ -155,7 +167,7 @@ def forecast_growth(trend: DataFrame, history: DataFrame, factors: DataFrame) ->
     long = known.select("stock", "date", "year_ago", "reportDate", F.inline(cells)).withColumn(
         "seen", F.date_sub("reportDate", F.col("age"))
     )
-    on_basis = split_factor_on(long, factors, time="seen")
+    on_basis = split_factor_on(long, factors, time="seen", size=FITS)  # a handful of rows per stock and quarter
     wide = on_basis.groupBy("stock", "date").agg(
         F.max(F.when(F.col("age") == 0, F.col("year_ago") * F.col("factor"))).alias("_year_ago"),
         *[F.max(F.when(F.col("age") == a, F.col("estimate") * F.col("factor"))).alias(f"_e{a}") for a in ESTIMATE_AGES],
@@ -170,26 +182,27 @@ def dated_estimates(
 ) -> DataFrame:
     """(stock, date, value): each estimate placed the given days before its anchor date.
 
-    Where several fall on one day the one made longest before its report wins. Nothing
-    after ``as_of`` is known.
+    Where several fall on one day the one made longest before its report wins; of equally old
+    ones that for the later report, then the larger. Nothing after ``as_of`` is known.
     """
     cells = F.array(*[F.struct(F.lit(a).alias("age"), F.col(c).alias("value")) for a, c in values.items()])
     long = rows.select("stock", F.col(anchor).alias("_anchor"), F.inline(cells))
     placed = long.withColumn("date", F.date_sub("_anchor", F.col("age"))).filter(
         F.col("value").isNotNull() & (F.col("date") <= as_of)
     )
-    return placed.groupBy("stock", "date").agg(F.max_by("value", "age").alias(out))
+    return placed.groupBy("stock", "date").agg(F.max(F.struct("age", "_anchor", "value"))["value"].alias(out))
 
 
-def forecast_timeline(history: DataFrame, growth: DataFrame, as_of: Column) -> DataFrame:
+def forecast_timeline(history: DataFrame, growth: DataFrame, as_of: Column, oldest: int = 90) -> DataFrame:
     """Days on which the growth forecast changed, with the step from the forecast before.
 
     Sparse: one row per change. Align it with a panel to get daily values. Steps without
-    a predecessor are left out.
+    a predecessor are left out. ``oldest`` is where the 90-day-old estimate is placed.
     """
     reports = history.select("stock", "date", "reportDate")
     joined = reports.join(growth, ["stock", "date"])
-    events = dated_estimates(joined, {a: f"PG_{a}" for a in ESTIMATE_AGES}, "reportDate", as_of, "YoY_Proj_Growth")
+    places = {oldest if a == 90 else a: f"PG_{a}" for a in ESTIMATE_AGES}
+    events = dated_estimates(joined, places, "reportDate", as_of, "YoY_Proj_Growth")
     step = lambda w: {
         "forecasts_diff": F.col("YoY_Proj_Growth") - F.lag("YoY_Proj_Growth", 1).over(w)
     }
@@ -219,7 +232,7 @@ def real_eps_events(trend: DataFrame, history: DataFrame, factors: DataFrame) ->
     )
     reports = history.select("stock", to_day("date").alias("date"), to_day("reportDate").alias("reportDate"))
     dated = yearly.join(reports, ["stock", "date"]).withColumn("_basis_day", shift_years("reportDate", 1))
-    on_basis = split_factor_on(dated.drop("date"), factors, time="_basis_day")
+    on_basis = split_factor_on(dated.drop("date"), factors, time="_basis_day", size=FITS)  # a row per stock and year
     return (
         on_basis.withColumn("real_EPS", F.col("raw") * F.col("factor"))
         .filter(F.col("real_EPS").isNotNull())
@@ -374,6 +387,47 @@ def macro_trend(
     return sma_trend(changed, axis, value, lengths, prefix="m", against=against, scale=scale)
 
 
+# Names of the macro columns of the panel, by what they are made from.
+VIX_NAMES = {"value": "VIX_high"}
+ASSET_NAMES = {
+    "Fed_Balance_YoY": "Fed_Balance_YoY",
+    "m_sma50_vector": "Fed_SMA50_vector",
+    "m_sma200_vector": "Fed_SMA200_vector",
+    "m_sma50_position": "Fed_SMA50_position",
+    "m_sma200_position": "Fed_SMA200_position",
+    "m_sma50_to_200": "Fed_SMA50_to_200_position",
+}
+BOND_NAMES = {
+    "value": "10YBond",
+    "10YB_MoM": "10YB_MoM",
+    "10YB_YoY": "10YB_YoY",
+    "m_sma30_vector": "10YB_30MA_Vector",
+    "m_sma200_vector": "10YB_200MA_Vector",
+    "m_sma30_position": "10Y_Val_to_30MA",
+    "m_sma200_position": "10Y_Val_to_200MA",
+}
+
+
+def macro_table(series: DataFrame, vix: str = "vix_high", assets: str = "cb_assets", bond: str = "bond10y") -> DataFrame:
+    """One row per day with the volatility index, the central bank's balance and the bond yield with their trends.
+
+    ``series`` is the long table (series_id, date, value), a row per series and day at most. Balance and
+    yield are known on every day since their first, by their last value; the index on its own days only.
+    """
+    one = lambda name: series.filter(F.col("series_id") == name).select("series_id", "date", "value")
+    last = series.agg(F.max("date").alias("date"))
+
+    def daily(name: str) -> DataFrame:
+        """Every day from the series' first to the last of any series."""
+        known = one(name).unionAll(last.select(F.lit(name), "date", F.lit(None).cast("double")))
+        return densify(known.groupBy("series_id", "date").agg(F.max("value").alias("value")), keys=["series_id"], time="date", columns=["value"])
+
+    named = lambda df, names: df.select("date", *[F.col(c).alias(n) for c, n in names.items()])
+    balance = macro_trend(daily(assets), changes={"Fed_Balance_YoY": 360})
+    rates = macro_trend(daily(bond), changes={"10YB_MoM": 30, "10YB_YoY": 365}, lengths=(30, 200), against="average", scale=100.0)
+    return named(one(vix), VIX_NAMES).join(named(balance, ASSET_NAMES), "date", "full").join(named(rates, BOND_NAMES), "date", "full")
+
+
 def crisis_clock(days: DataFrame, event_days: DataFrame, time: str = "date") -> DataFrame:
     """Days since the last date of a list; null before the first.
 
@@ -389,7 +443,7 @@ def crisis_clock(days: DataFrame, event_days: DataFrame, time: str = "date") ->
         F.explode(F.sequence("_event", F.date_sub("_next", 1))).alias(time), F.col("_event")
     )
     last = listed.agg(F.max("_event").alias("_last"))
-    found = days.join(checked_broadcast(lookup), time, "left").join(F.broadcast(last))  # one row
+    found = days.join(F.broadcast(lookup), time, "left").join(F.broadcast(last))  # a row per calendar day, and one row
     since = F.when(F.col(time) >= F.col("_last"), F.col("_last")).otherwise(F.col("_event"))
     return found.withColumn("days_after_crisis", F.datediff(F.col(time), since)).drop("_event", "_last").select(
         *days.columns, "days_after_crisis"

@@ -41,6 +41,13 @@ PANEL_NAMES = {
     "1Y_expect_Change": "EPS_1Y_exp_Change",
 }
 
+# Columns of the panel beside the keys, before changes and outside series are added.
+KEPT_COLUMNS = (
+    "days_after_earnings_report", "open", "close", "sector", "industry", "ROE", "LTDE", "DE", "CR", "GM", "ROA", "DPR",
+    "Acc_Rec_Pay_Ration", "ES", "DY", "Piotroski_Score", "PE", "PB", "PEG_Forward", "PEG_Backwards", "EPS_surprise",
+    "EPS_YoY_Growth", "EPS_QoQ_frcst_diff", "EPS_1Y_exp_Change",
+)
+
 TARGETS = tuple(label_horizons())
 
 
@@ -61,56 +68,71 @@ class Inputs:
     event_dates: DataFrame
 
 
-def build_panel(inputs: Inputs, *, as_of: Column, start: str = "2000-01-01", vix: str | None = "VIX_high") -> DataFrame:
+@dataclass(frozen=True)
+class Choices:
+    """Where definitions differ: return on equity by all assets, zero ratios taken as missing, yearly changes
+    by ``days`` or by ``rows``, and the days before a report at which its 90-day-old estimate is placed."""
+
+    roe_on_assets: bool = False
+    zero_is_missing: bool = True
+    yearly_by: str = "days"
+    oldest_estimate: int = 90
+
+
+def build_panel(
+    inputs: Inputs, *, as_of: Column, start: str = "2000-01-01", vix: str | None = "VIX_high",
+    keep: Sequence[str] | None = KEPT_COLUMNS, choices: Choices = Choices(),
+) -> DataFrame:
     """All features and forward returns for all stocks, as one job.
 
     Splits, earnings, forecasts and the three statements are aligned with the prices in
-    one pass, so the panel is shuffled by stock once; all later windows reuse that
-    partitioning. Sector, macro series and event dates come in by broadcast. Stocks whose
-    series are too long for one task are found once and built apart.
+    one pass, all by the last value known, so the panel is shuffled and sorted by stock and
+    day once; all later windows share that order. Sector, macro series and event dates come in
+    by broadcast. Stocks without any balance sheet or any estimate are left out. Stocks whose
+    series are too long for one task are found once and built apart. ``keep`` are the columns
+    that stay beside the keys before changes and outside series are added; None keeps all.
     """
     prices = inputs.prices
     found = long_series_keys(prices.select("stock"), ["stock"])
-    shared = _shared_tables(inputs, as_of)
+    shared = _shared_tables(inputs, as_of, choices)
+    built = lambda rows, size: _panel_of(rows, inputs, shared, size, start, vix, keep, choices)
     if found is None:
-        return _panel_of(prices, inputs, shared, FITS, start, vix)
+        return built(prices, FITS)
     short, long = split_by_keys(prices, found, ["stock"])
-    return _panel_of(short, inputs, shared, FITS, start, vix).unionByName(
-        _panel_of(long, inputs, shared, LONG, start, vix)
-    )
+    return built(short, FITS).unionByName(built(long, LONG))
 
 
-def _shared_tables(inputs: Inputs, as_of: Column) -> list[Source]:
+def _shared_tables(inputs: Inputs, as_of: Column, choices: Choices) -> list[Source]:
     """Everything dated that the prices are aligned with. A few rows per stock each."""
-    # read several times below, so stored once
-    factors = pin(ft.split_factors(inputs.splits))
-    reports = pin(ft.eps_surprise(inputs.earn_history))
+    factors = pin(ft.split_factors(inputs.splits))  # read several times below, so stored once
+    reports = ft.eps_surprise(inputs.earn_history, size=FITS)
     growth = ft.forecast_growth(inputs.earn_trend, inputs.earn_history, factors)
-    statements = [
-        ft.statement_source(inputs.cashflow, CASHFLOW_COLUMNS, "cashflow"),
-        ft.statement_source(inputs.income, INCOME_COLUMNS, "income"),
-        ft.statement_source(inputs.balance, BALANCE_COLUMNS, "balance"),
-    ]
+    present = lambda frame, name: Source(
+        frame.select("stock").distinct().withColumns({"date": F.lit(ft.FIRST_DAY).cast("date"), name: F.lit(True)}), "date", (name,))
     return [
-        Source(factors, "date", ("factor",), when="later"),
+        Source(ft.known_factors(factors), "date", ("factor",)),
         Source(reports, "reportDate", ("surprisePercent", "epsActual"), stamp="_reported"),
         Source(
-            ft.forecast_timeline(reports, growth, as_of), "date", ("YoY_Proj_Growth", "forecasts_diff"), stamp="_forecast"
+            ft.forecast_timeline(reports, growth, as_of, choices.oldest_estimate), "date", ("YoY_Proj_Growth", "forecasts_diff"), stamp="_forecast"
         ),
         Source(ft.long_forecast_events(inputs.long_trend, factors, as_of), "date", ("frcst_1y",)),
         Source(ft.real_eps_events(inputs.earn_trend, inputs.earn_history, factors), "date", ("real_EPS",)),
-        *statements,
+        ft.statement_source(inputs.cashflow, CASHFLOW_COLUMNS, "cashflow"),
+        ft.statement_source(inputs.income, INCOME_COLUMNS, "income"),
+        ft.statement_source(inputs.balance, BALANCE_COLUMNS, "balance"),
+        present(inputs.balance, "_has_balance"),
+        present(inputs.earn_trend, "_has_estimates"),
     ]
 
 
 def _panel_of(
-    prices: DataFrame, inputs: Inputs, shared: list[Source], size: str, start: str, vix: str | None
+    prices: DataFrame, inputs: Inputs, shared: list[Source], size: str, start: str, vix: str | None, keep: Sequence[str] | None, choices: Choices
 ) -> DataFrame:
     axis = Axis.of("stock", "date", size)
     stocks = prices.select("stock").distinct()
     mine = shared if size == FITS else [replace(s, frame=s.frame.join(stocks, "stock", "left_semi")) for s in shared]
     statements = [s for s in mine if (s.stamp or "").startswith("filing_date_")]
-    known = align(prices, mine, keys=["stock"], time="date", size=size)
+    known = align(prices, mine, keys=["stock"], time="date", size=size).filter("_has_balance AND _has_estimates")
     adjusted = ft.adjust_ohlc(known.fillna(1.0, subset=["factor"])).drop("factor")
     settled = ft.settle_statements(adjusted, statements, "filing_date_cashflow").withColumns(
         {
@@ -118,17 +140,19 @@ def _panel_of(
             "days_after_forecast_changed": F.datediff("date", "_forecast"),
         }
     )
-    ratios = ft.expected_change(settled).withColumns(ft.kpi_ratios()).withColumns(ft.earnings_ratios())
-    scored = ft.piotroski_score(ratios, size=size)
-    filled = ft.kpi_gap_fill(scored, axis, GAP_FILLED)
-    yearly = ft.yoy_kpis(filled, axis).withColumnsRenamed(PANEL_NAMES)
+    ratios = ft.expected_change(settled).withColumns(ft.kpi_ratios(choices.roe_on_assets)).withColumns(ft.earnings_ratios())
+    scored = ft.piotroski_score(ratios, size=size).withColumnsRenamed(PANEL_NAMES)
+    if keep is not None:
+        scored = scored.select("stock", "date", *[c for c in keep if c not in ("sector", "industry")])
+    filled = ft.kpi_gap_fill(scored, axis, GAP_FILLED, choices.zero_is_missing)
+    yearly = ft.yoy_kpis(filled, axis, unit=choices.yearly_by)
     recent = yearly.filter(F.col("date") > F.lit(start).cast("date"))
     steps = carry_last_change(recent, axis, "EPS_1Y_exp_Change", out="EPS_1Y_exp_Change_QoQ")
     traded = steps.filter(F.col("PE").isNotNull() & (F.col("close") != 0))
     labelled = forward_returns(traded, axis, label_horizons())
 
-    # the macro table has one row per calendar day, the sector table one per stock
-    widened = labelled.join(checked_broadcast(inputs.macro), "date", "left").join(
+    # the macro table has one row per calendar day, which history bounds; the sector table has one per stock
+    widened = labelled.join(F.broadcast(inputs.macro), "date", "left").join(
         checked_broadcast(inputs.general.select("stock", "sector", "industry")), "stock", "left"
     )
     clocked = ft.crisis_clock(widened, inputs.event_dates)
@@ -141,7 +165,7 @@ def _panel_of(
 
 # --- cleaning -----------------------------------------------------------------------
 
-# One rule per step: ('need', columns) drops rows with a null in them, ('zero', columns)
+# One rule per step: ('need', columns) drops rows with a null in them, ('zero', columns)
 # replaces nulls by 0, ('finite', ()) turns infinities into null everywhere.
 _COMMON_HEAD = (
     ("need", ("EPS_surprise",)),
@@ -163,6 +187,7 @@ RULES = {
     "score": (*_COMMON_HEAD, ("need", ("PEG_Forward", "PEG_Backwards")), *_COMMON_TAIL, ("need", ("Fed_Balance_YoY",))),
     "validate": (*_COMMON_HEAD, ("need", ("PEG_Backwards",)), *_COMMON_TAIL),
 }
+# Columns that a mode leaves out in the end.
 DROPPED = {
     "train": (),
     "score": ("close", "open", "industry", "days_after_crisis", *TARGETS),
@@ -201,7 +226,7 @@ def clean_panel(
             df = df.withColumns({c: ft.blank_non_finite(c) for c in numbers})
         elif kind == "sector":
             for stock, (sector, industry) in sectors.items():
-                hit = F.col(key) == stock
+                hit = F.col(key).cast("string") == stock
                 df = df.withColumns(
                     {
                         "sector": F.when(hit, sector).otherwise(F.col("sector")),
@@ -214,13 +239,22 @@ def clean_panel(
 
 
 def cleaning_steps(mode: str = "train") -> list[tuple[str, Column]]:
-    """The row filters of a mode as (name, condition), for ``stats.attrition_report``."""
-    steps = []
+    """The row filters of a mode as (name, condition), for ``stats.attrition_report``.
+
+    Each condition holds for the rows that its step keeps: nulls that an earlier step replaced
+    are none, and behind the step that blanks infinities those count as missing.
+    """
+    steps, replaced, blanked = [], set(), False
     for kind, columns in RULES[mode]:
-        if kind == "need":
+        if kind == "zero":
+            replaced |= set(columns)
+        elif kind == "finite":
+            blanked = True
+        elif kind == "need":
             condition = F.lit(True)
             for c in columns:
-                condition = condition & F.col(c).isNotNull()
+                value = ft.blank_non_finite(c) if blanked else F.col(c)
+                condition = condition & (F.lit(True) if c in replaced and not blanked else value.isNotNull())
             steps.append((" & ".join(columns), condition))
     return steps
 
@@ -240,6 +274,6 @@ def horizon_thresholds(values: Mapping[int, float] = THRESHOLDS) -> dict[str, fl
 
 
 def latest_snapshot(df: DataFrame, as_of: Column, time: str = "date") -> DataFrame:
-    """Rows of the as-of day; the filter reaches the Parquet scan."""
+    """Rows of the as-of day of any frame. Of a written panel ``sources.files.read_day`` reads one year's folder only."""
     return df.filter(F.col(time) == as_of)
 

@@ -76,3 +76,14 @@ def pin(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Written to the shared folder as Parquet and read back.
+
+    Like ``pin`` this cuts lineage; readers also prune columns and push filters, and the size is that of
+    the files, where a checkpoint keeps the estimate of the plan it cut, which grows with every join.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

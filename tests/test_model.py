@@ -1,11 +1,16 @@
+import os
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from panelweave.ml import evaluate as ev
+from panelweave.ml.kernel import RandomFourierFeatures
+from panelweave.operators.splits import fold_ranges, with_positions
 from panelweave.ml import model as ml
 from panelweave.sources.files import load_model, save_model
 
@@ -88,3 +93,99 @@ def test_svc_with_weights(spark, learnable):
     model = ml.fit(weighted, ["x"], ["sector"], "y", "svc", maxIter=5, weightCol="weight")
     right = ml.predict(model, learnable, ["y"]).filter("y = pred").count()
     assert right > 450
+
+
+# --- kernel map, folds and grid
+
+def test_fourier_features_stand_for_the_gaussian_kernel(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(40, 5))
+    df = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(x)], ["id", "x"]).repartition(3)
+    mapped = RandomFourierFeatures(inputCol="x", outputCol="z", dimensions=4096, gamma=0.3).transform(df)
+    z = np.array([r["z"].toArray() for r in mapped.orderBy("id").collect()])
+    exact = np.exp(-0.3 * ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+    error = np.abs(z @ z.T - exact)
+    assert error.max() < 5 / np.sqrt(4096) and error.mean() < 1 / np.sqrt(4096)
+    again = np.array([r["z"].toArray() for r in RandomFourierFeatures(inputCol="x", outputCol="z", dimensions=4096, gamma=0.3).transform(df.repartition(1)).orderBy("id").collect()])
+    assert (again == z).all()
+
+
+def test_kernel_machine_separates_what_a_line_cannot_and_is_saved(spark, tmp_path):
+    rng = random.Random(2)
+    points = [(rng.gauss(0, 1), rng.gauss(0, 1), rng.choice("ab")) for _ in range(800)]
+    df = spark.createDataFrame([(i, a, b, s, int(a * a + b * b < 1.2)) for i, (a, b, s) in enumerate(points)], "id int, a double, b double, s string, y int")
+    right = lambda model: ml.predict(model, df, ["y"]).filter("y = pred").count() / 800
+    line = ml.fit(df, ["a", "b"], ["s"], "y", "svc")
+    curve = ml.fit(df, ["a", "b"], ["s"], "y", "kernel", dimensions=64, gamma=0.5)
+    assert right(curve) > 0.93 > right(line) + 0.2
+    save_model(curve, str(tmp_path / "kernel"))
+    assert rows(ml.predict(load_model(str(tmp_path / "kernel")), df, ["id"]), "id") == rows(ml.predict(curve, df, ["id"]), "id")
+
+
+@pytest.fixture(scope="module")
+def placed(spark):
+    rng = random.Random(12)
+    data = []
+    for i in range(500):
+        x, s = rng.gauss(0, 1), rng.choice(["Tech", "Energy", "Health"])
+        data.append((i, f"2020-{1 + i // 50:02d}-{1 + i % 28:02d}", None if i % 40 == 0 else x, s, int(x + (s == "Tech") > 0.5), 3 * x + rng.gauss(0, 0.1)))
+    df = spark.createDataFrame(data, "id int, d string, x double, sector string, y int, r double").withColumn("d", F.col("d").cast("date"))
+    at = with_positions(df, time="d", tie=["id"])
+    prepared = ml.preparation(["x"], ["sector"]).fit(at)
+    return prepared, ml.feature_matrix(prepared, at, ["id", "position", "y", "r"])
+
+
+def test_forward_folds_equal_single_fits_and_have_running_means(spark, placed):
+    _, rows_ = placed
+    folds = fold_ranges(500, n_splits=3, test_size=80, gap=20)
+    fitted = lambda train: ml.fit_matrix(train, "y", "boosted", maxIter=4, maxDepth=3)
+    table = ml.forward_cv(rows_, folds, "y", fitted).orderBy("fold").collect()
+    assert [r["fold"] for r in table] == [0, 1, 2]
+    one = ml.predict(fitted(rows_.filter(F.col("position") < folds[1].train_end)), rows_.filter(F.col("position").between(folds[1].start, folds[1].end - 1)), ["y"])
+    single = ev.classification_metrics(one, "y", "pred").first()
+    assert (table[1]["precision"], table[1]["accuracy"], table[1]["f1"]) == pytest.approx(tuple(single))
+    assert table[1]["auc"] == pytest.approx(ev.roc_auc(one, "y").first()["auc"])
+    for m in ("auc", "precision", "accuracy", "f1"):
+        for i in range(3):
+            assert table[i][f"mean_{m}"] == pytest.approx(np.mean([r[m] for r in table[:i + 1]]))
+
+
+def test_grid_points_equal_single_fits(spark, placed):
+    _, rows_ = placed
+    folds = fold_ranges(500, n_splits=2, test_size=100, gap=10)
+    model, table = ml.grid_search(rows_, folds, "r", {"maxDepth": (1, 4), "maxIter": (3,)})
+    scores = {(r["params"], r["fold"]): r["mse"] for r in table.collect()}
+    assert len(scores) == 4
+    fitted = ml.fit_matrix(folds[1].train(rows_), "r", "regressor", maxDepth=4, maxIter=3)
+    single = ev.regression_errors(ml.predict(fitted, folds[1].test(rows_), ["r"], classifier=False), "r", "pred").first()["mse"]
+    assert scores["maxDepth=4, maxIter=3", 1] == pytest.approx(single)
+    assert table.filter("best").select("params").distinct().first()[0] == "maxDepth=4, maxIter=3" and model.getMaxDepth() == 4
+
+
+def test_whole_model_scores_raw_rows(spark, placed):
+    prepared, rows_ = placed
+    model = ml.whole_model(prepared, ml.fit_matrix(rows_, "y", "boosted", maxIter=3, maxDepth=3))
+    raw = spark.createDataFrame([(1, None, "Tech"), (2, 3.0, "Energy"), (3, -3.0, "Health")], "id int, x double, sector string")
+    assert {r["id"]: r["pred"] for r in ml.predict(model, raw, ["id"]).collect()}.keys() == {1, 2, 3}
+    assert {r["feature"] for r in ml.feature_importance(model, spark).collect()} == {"x", "sector"}
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables are not here")
+@pytest.mark.parametrize("name", ["gbt_classify", "forest_classify", "gbt_regress", "linear_svc", "kernel_svm", "grid_search", "forward_cv", "score_screen", "feature_importance"])
+def test_model_queries_on_the_cleaned_panel(spark, name):
+    from panelweave.catalog import QUERIES
+
+    found = QUERIES[name](spark, SMALL)
+    got = found.collect()
+    assert got
+    if "horizon" in found.columns:
+        assert {r["horizon"] for r in got} == {15, 30, 60, 90, 120, 150}
+    if name == "feature_importance":
+        assert found.columns == ["feature", "15", "30", "60", "90", "120", "150"] and len(got) > 30
+    if name == "forward_cv":
+        assert [r["fold"] for r in sorted(got)] == [0, 1, 2, 3, 4]
+    if name == "score_screen":
+        assert all(r["predicted_proba"] >= 0.5 for r in got) and {r["period"] for r in got} <= {15, 30, 60, 90, 120, 150}

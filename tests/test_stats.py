@@ -56,6 +56,65 @@ def test_correlations_equal_pandas(skewed):
     assert stats.spearman(df, ["x", "y"]).first()["r"] == pytest.approx(ranked)
 
 
+def test_sixty_columns_are_one_matrix(spark):
+    rng = np.random.default_rng(4)
+    values = rng.normal(size=(300, 60)) @ rng.normal(size=(60, 60)) + 1e6 * np.arange(60)
+    values[rng.random(values.shape) < 0.1] = np.nan
+    values[:, 7] = 12345.678  # no variation
+    frame = pd.DataFrame(values, columns=[f"c{i}" for i in range(60)])
+    df = spark.createDataFrame([[None if np.isnan(v) else float(v) for v in row] for row in values], frame.columns.tolist()).repartition(5)
+    got = {(r["column_a"], r["column_b"]): r["r"] for r in stats.corr_matrix(df, frame.columns.tolist()).collect()}
+    want = frame.corr()
+    assert len(got) == 3600
+    for (a, b), r in got.items():
+        if "c7" in (a, b):
+            assert r is None
+        else:
+            assert r == pytest.approx(want.loc[a, b], abs=1e-9)
+
+
+def test_all_columns_are_ranked_together(spark):
+    rng = np.random.default_rng(6)
+    frame = pd.DataFrame(rng.integers(0, 6, size=(500, 5)).astype(float), columns=list("abcde"))
+    frame.loc[:180, "a"] = 3.0  # one value holds a third of the rows
+    df = spark.createDataFrame(frame).repartition(4)
+    want = frame.corr(method="spearman")
+    for r in stats.spearman(df, list("abcde")).collect():
+        assert r["r"] == pytest.approx(want.loc[r["column_a"], r["column_b"]])
+    plans = stats.spearman(df, list("abcde"))
+    assert plans.count() == 10
+
+
+def test_quantiles_come_with_measures_also_for_groups_without_values(skewed):
+    _, df = skewed
+    found = stats.exact_quantiles(df, ["x", "y"], {"m": 0.5}, ["g"], measures={"n": F.count, "top": F.max})
+    lonely = {r["column"]: r for r in found.filter("g = 'lonely'").collect()}
+    assert (lonely["x"]["n"], lonely["x"]["m"], lonely["x"]["top"]) == (1, 5.0, 5.0)
+    assert (lonely["y"]["n"], lonely["y"]["m"], lonely["y"]["top"]) == (0, None, None)
+
+
+def test_folds_are_ranges_of_positions(spark):
+    rng = random.Random(8)
+    data = [(i, f"2020-01-{rng.randint(1, 28):02d}", rng.randrange(2)) for i in range(200)]
+    df = spark.createDataFrame(data, "id int, d string, y int").select("id", F.col("d").cast("date").alias("d"), "y").repartition(7)
+    placed = sp.with_positions(df, time="d", tie=["id"])
+    order = sorted(data, key=lambda r: (r[1], r[0]))
+    assert rows(placed.select("position", "id"), "position") == [(i, r[0]) for i, r in enumerate(order)]
+    folds = sp.fold_ranges(200, n_splits=3, test_size=15, gap=7)
+    repeated = sp.time_folds(df, time="d", tie=["id"], n_splits=3, test_size=15, gap=7)
+    for f in folds:
+        for part, of in (("train", f.train), ("test", f.test)):
+            want = rows(repeated.filter((F.col("fold") == f.number) & (F.col("part") == part)).select("id"), "id")
+            assert rows(of(placed).select("id"), "id") == want
+    told = {(r["fold"], r["part"]): r for r in sp.fold_report(placed, folds, "y", time="d").collect()}
+    assert told[0, "test"]["n_rows"] == 15 and told[2, "train"]["n_rows"] == 200 - 15 - 7
+    assert told[1, "train"]["share_of_ones"] == pytest.approx(np.mean([r[2] for r in order[:folds[1].train_end]]))
+    with pytest.raises(ValueError):
+        sp.fold_ranges(50, n_splits=3, test_size=15, gap=7)
+    assert sp.chain_shape(1_000_000) == {"n_splits": 5, "test_size": 30_000, "gap": 11_050}
+    assert sp.chain_shape(1000) == {"n_splits": 5, "test_size": 100, "gap": 36}
+
+
 def test_skewness_equals_pandas(skewed):
     frame, df = skewed
     got = {r["column"]: r["skewness"] for r in stats.skewness_buckets(df, ["x", "y"]).collect()}
