@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.operators.timeline import LONG, UNKNOWN, Axis, fill, split_long_series
+from panelweave.operators.timeline import LONG, UNKNOWN, Axis, fill, split_long_series, spread_join
 
 
 def asof_join(
@@ -157,7 +157,8 @@ def offset_lookup(
 
     The series (one row per key and day) is moved forward instead of the left rows
     being multiplied: each value is emitted at the dates that look back to it, the
-    offsets are gathered per key and date, and one equi-join brings all of them.
+    offsets are gathered per key and date, and one equi-join brings all of them. Where very
+    many left rows have one key and date, they meet a broadcast of just that row.
     """
     shifted = series.select(
         *keys, F.col(value).alias("_v"), F.col(series_time).alias("_t"),
@@ -166,7 +167,7 @@ def offset_lookup(
     gathered = shifted.groupBy(*keys, "_t").agg(
         *[F.max(F.when(F.col("_offset") == o, F.col("_v"))).alias(f"{prefix}{o}") for o in offsets]
     )
-    joined = left.withColumn("_t", F.col(time)).join(gathered, [*keys, "_t"], "left").drop("_t")
+    joined = spread_join(left.withColumn("_t", F.col(time)), gathered, [*keys, "_t"], "left").drop("_t")
     if default is not None:
         joined = joined.fillna(default, subset=[f"{prefix}{o}" for o in offsets])
     return joined

@@ -67,3 +67,20 @@ def test_days_ago_on_long_series(spark, tiny_groups):
     series = spark.createDataFrame([("a", D(i), float(i)) for i in range(1, 20)], "k string, d date, v double")
     got = rows(value_days_ago(series, keys=["k"], time="d", columns={"v": "old"}, days=5, mode="asof"), "d")
     assert [r[3] for r in got] == [None] * 5 + [float(i) for i in range(1, 15)]
+
+
+def test_offset_lookup_of_a_frequent_key_and_day(spark):
+    series = spark.createDataFrame([("hot", date(2020, 1, d), float(d)) for d in range(1, 20)] + [("k", date(2020, 1, 5), 50.0)], "k string, d date, v double")
+    left = [(i, "hot", date(2020, 1, 15)) for i in range(300)] + [(i, "hot", date(2020, 1, 10 + i % 7)) for i in range(300, 320)] + [(400, "k", date(2020, 1, 12)), (401, None, date(2020, 1, 12))]
+    df = spark.createDataFrame(left, "id int, k string, t date").repartition(5)
+    ask = lambda: rows(offset_lookup(df, series, keys=["k"], time="t", series_time="d", value="v", offsets=[0, 7], prefix="v").select("id", "v0", "v7"), "id")
+    want = [(i, None if k != "hot" else float(t.day), {"hot": float(t.day - 7) if t.day > 7 else None, "k": 50.0, None: None}[k]) for i, k, t in left]
+    assert ask() == want
+    spark.conf.set("spark.panelweave.maxGroupRows", "50")
+    try:
+        assert ask() == want
+        plan = offset_lookup(df, series, keys=["k"], time="t", series_time="d", value="v", offsets=[0, 7], prefix="v")
+        heavy = plan.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert heavy <= 2 * 322 / 5  # the 300 rows of one key and day stay where they were dealt
+    finally:
+        spark.conf.unset("spark.panelweave.maxGroupRows")
