@@ -130,6 +130,7 @@ class Frames:
 
 
 NAMES = ["n_units", "n_chars", "n_bytes", "frames"]
+MADE = ["form", "prefix_chars", "middle_chars", "output", "output_sha256", "restored_sha256"]
 
 
 def _frames_of(batch: pd.DataFrame) -> Iterator[Frames]:
@@ -156,25 +157,27 @@ def seeds(key: Column) -> list[Column]:
 
 
 def fill_in_middle(stored: DataFrame, key: str = "doc_id", plain_percent: int = 10, spm_percent: int = 20) -> DataFrame:
-    """The result of ``store_frames`` with form (plain, spm, psm), prefix_chars, middle_chars (null if plain) and output, in frames."""
+    """The result of ``store_frames`` with form (plain, spm, psm), prefix_chars, middle_chars (null if plain), output, in frames, and two digests.
 
-    @F.pandas_udf(f"struct<form: string, prefix_chars: bigint, middle_chars: bigint, output: {FRAMES}>")
+    ``output_sha256`` is that of the output, ``restored_sha256`` that of the text rebuilt from it, both streamed from the frames.
+    """
+
+    @F.pandas_udf(f"struct<form: string, prefix_chars: bigint, middle_chars: bigint, output: {FRAMES}, output_sha256: string, restored_sha256: string>")
     def transformed(batches: Iterator[tuple[pd.DataFrame, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
         for texts, chosen in batches:
             rows = []
             for text, h in zip(_frames_of(texts), chosen.itertuples(index=False)):
-                if h[2] % 100 >= 100 - plain_percent or not text.data or next(text.marks(), None):
-                    rows.append(("plain", None, None, dict(zip(NAMES, text.row()))))
-                    continue
-                cuts = sorted((h[0] % (text.units[-1] + 1), h[1] % (text.units[-1] + 1)))
-                (chars, first), (more, second) = map(text.place, cuts)
-                form = "spm" if h[3] % 100 < spm_percent else "psm"
-                out = Frames.of(_written(form, text, first, second))
-                rows.append((form, chars, more - chars, dict(zip(NAMES, out.row()))))
-            yield pd.DataFrame(rows, columns=["form", "prefix_chars", "middle_chars", "output"]).astype({"prefix_chars": "Int64", "middle_chars": "Int64"})
+                form, chars, middle, out = "plain", None, None, text
+                if text.data and h[2] % 100 < 100 - plain_percent and not next(text.marks(), None):
+                    form = "spm" if h[3] % 100 < spm_percent else "psm"
+                    cuts = sorted((h[0] % (text.units[-1] + 1), h[1] % (text.units[-1] + 1)))
+                    (chars, first), (more, second) = map(text.place, cuts)
+                    middle, out = more - chars, Frames.of(_written(form, text, first, second))
+                rows.append((form, chars, middle, dict(zip(NAMES, out.row())), _sha256(out.stream()), _sha256(restored(form, out))))
+            yield pd.DataFrame(rows, columns=MADE).astype({"prefix_chars": "Int64", "middle_chars": "Int64"})
 
     made = stored.withColumn("_made", transformed(F.struct(*NAMES), F.struct(*[h.alias(f"h{i}") for i, h in enumerate(seeds(F.col(f"`{key}`")), 1)])))
-    return with_columns(made, {c: F.col(f"_made.{c}") for c in ("form", "prefix_chars", "middle_chars", "output")}).drop("_made")
+    return with_columns(made, {c: F.col(f"_made.{c}") for c in MADE}).drop("_made")
 
 
 def _written(form: str, text: Frames, first: int, second: int) -> Iterator[bytes]:
@@ -199,17 +202,6 @@ def restored(form: str, output: Frames) -> Iterator[bytes]:
         yield from output.stream(start + len(MARKS[0]), ends[start])
 
 
-def output_digests(output: Column, form: Column) -> Column:
-    """Struct of output_sha256 and restored_sha256: hex digests of the frames in order, and of the text rebuilt from them."""
-
-    @F.pandas_udf("struct<output_sha256: string, restored_sha256: string>")
-    def digests(outputs: pd.DataFrame, forms: pd.Series) -> pd.DataFrame:
-        rows = [(_sha256(o.stream()), _sha256(restored(f, o))) for o, f in zip(_frames_of(outputs), forms)]
-        return pd.DataFrame(rows, columns=["output_sha256", "restored_sha256"])
-
-    return digests(output, form)
-
-
 def _sha256(pieces: Iterable[bytes]) -> str:
     digest = hashlib.sha256()
     for piece in pieces:
@@ -237,7 +229,4 @@ FROM p
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form, cuts and digests of every document's fill-in-middle example, and of the text rebuilt from it."""
     made = fill_in_middle(store_frames(table(spark, sf_dir, "documents").select("doc_id", "text")))
-    done = made.withColumn("_digests", output_digests(F.col("output"), F.col("form")))
-    return done.select(
-        "doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars",
-        F.col("_digests.output_sha256").alias("output_sha256"), F.col("_digests.restored_sha256").alias("restored_sha256"))
+    return made.select("doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")

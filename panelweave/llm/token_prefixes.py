@@ -25,15 +25,18 @@ prefixes that end inside one count it as the ordinary text that it is until then
 Null text is empty: no bytes, no tokens. Texts of any length take time in proportion to it, also
 without any white space. Rows are judged one by one, so ties, repeated rows and null keys need no
 rule; an empty table gives an empty result. Input columns named like a new one give way. What a
-task keeps is bounded: twice ``KEPT`` chunks of up to ``SHORT`` bytes, and as many beginnings of words and pairs of tokens.
+task keeps is bounded: twice ``KEPT`` chunks of up to ``SHORT`` bytes and pairs of tokens, and the words of one stretch of texts.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import filterfalse
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -43,12 +46,13 @@ from pyspark.sql import functions as F
 
 from panelweave.llm.registry import query, table, with_columns
 
-KEPT = 1 << 19
+KEPT = 1 << 18
 SHORT = 64
+STRETCH = 1 << 23  # bytes of texts whose words are counted together
 NEVER = 1 << 60
 END = "\u0100"
 INSIDE = -128  # no prefix ends behind this byte
-INDEX = "struct<n_bytes: bigint, n_tokens: bigint, prefix_tokens: binary>"
+INDEX = "struct<n_bytes: bigint, n_tokens: bigint, prefix_tokens: binary, fitting_bytes: bigint>"
 #: The contractions of the tokenizer's pattern whose first two characters are two pieces.
 SPLIT_CONTRACTIONS = ("'re", "'ve", "'ll")
 
@@ -87,9 +91,12 @@ class PrefixCounter:
             raise ValueError("a token is longer than a signed byte can count")
         stems = {t.removesuffix(END) for t in self.tokens}
         self.suffixes = {t[i:] for t in stems for i in range(len(t))}
-        self.trees: dict[str, tuple | None] = {}  # no more than tokens
-        self.pairs, self.prefixes = Kept(), Kept()
-        self.tables = Tables(self)
+        self.known = Filled(lambda stem: (self.tree(stem), self.tree(stem + END)))  # no more than suffixes
+        self.trees: dict[str, tuple | None] = {}  # and twice as many
+        self.inside = Filled(lambda pair: self._border_holds(self.trees[pair[0]], self.trees[pair[1]]), KEPT)
+        self.ending = Filled(lambda pair: self._border_holds(self.trees[pair[0]], self.trees[pair[1] + END]), KEPT)
+        self.new: dict[bytes, bytes] = {}  # chunk -> its changes
+        self.old: dict[bytes, bytes] = {}
 
     def merged(self, units: list[str]) -> list[tuple]:
         """The tokens that units merge to, the lowest rank first, from the left: (token, its right spine, its left spine, in order).
@@ -114,16 +121,14 @@ class PrefixCounter:
         return self.trees[token]
 
     def may_follow(self, left: str, right: str) -> bool:
-        """Whether two neighbours stay as they are: no merge over their border comes before the merges that complete them.
+        """Whether two neighbours stay as they are when their text is merged."""
+        return self._border_holds(self.tree(left), self.tree(right))
+
+    def _border_holds(self, left: tuple, right: tuple) -> bool:
+        """Whether no merge over the border comes before the merges that complete the two sides.
 
         As both sides grow in order of rank, the border is at each time between two parts of their spines.
         """
-        known = self.pairs.get((left, right))
-        if known is None:
-            known = self.pairs.put((left, right), self._border_holds(self.trees[left], self.trees[right]))
-        return known
-
-    def _border_holds(self, left: tuple, right: tuple) -> bool:
         if not (left[3] and right[3]):
             return [t[0] for t in self.merged(_units(left[0]) + _units(right[0]))] == [left[0], right[0]]
         ranks, ends, starts, i, j = self.ranks, left[1], right[2], 0, 0
@@ -141,49 +146,45 @@ class PrefixCounter:
 
     def word(self, piece: str) -> list[int]:
         """Token counts of the first 0, 1, 2, ... units of a piece, each taken as a whole word."""
-        return [s[2] for s in self._states(piece)]
-
-    def _states(self, piece: str) -> list[tuple]:
-        """The states of all beginnings. Words share beginnings: the walk starts behind the longest one that is known."""
-        size = len(piece)
-        if size > SHORT:
-            states = [("", 0, 0)]
-            for i in range(1, size + 1):
-                states.append(self._state(piece, i, states))
-            return states
-        new, old = self.prefixes.new, self.prefixes.old
-        for i in range(size, 0, -1):
-            beginning = piece[:i]
-            states = new.get(beginning) or old.get(beginning)  # of some word that begins so
-            if states is not None:
-                states = states[:i + 1]
-                break
-        else:
-            i, states = 0, [("", 0, 0)]
-        for i in range(i + 1, size + 1):
-            states.append(self._state(piece, i, states))
-            self.prefixes.put(piece[:i], states)
+        return [s[2] for s in self._walk(piece, [("", 0, 0)])]
+
+    def words(self, pieces: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+        """``word`` for many pieces. In sorted order, words that begin alike follow each other and go on from the same states."""
+        states, before = [("", 0, 0)], ""
+        for piece in sorted(pieces):
+            same = len(commonprefix((piece, before)))
+            del states[same + 1:]
+            self._walk(piece, states)
+            before = piece
+            yield piece, [s[2] for s in states]
+
+    def _walk(self, piece: str, states: list[tuple]) -> list[tuple]:
+        """Adds the states of the beginnings that are not there yet: (last token inside a word, tokens inside a word, tokens if the word ends here)."""
+        suffixes, known, inside, ending, longest = self.suffixes, self.known, self.inside, self.ending, self.longest
+        for i in range(len(states), len(piece) + 1):
+            at, found = i - 1, []
+            token = piece[at:i]
+            while token in suffixes:
+                found.append(token)
+                at -= 1
+                if at < 0 or i - at > longest:
+                    break
+                token = piece[at:i]
+            last, count, ended = "", 0, 0
+            for token in reversed(found):
+                plain, whole = known[token]
+                if plain is None and whole is None:
+                    continue
+                before, so_far, _ = states[i - len(token)]
+                if not last and plain is not None and (not before or inside[before, token]):
+                    last, count = token, so_far + 1
+                if not ended and whole is not None and (not before or ending[before, token]):
+                    ended = so_far + 1
+                if ended and last:
+                    break
+            states.append((last, count, ended))
         return states
 
-    def _state(self, piece: str, i: int, states: list[tuple]) -> tuple[str, int, int]:
-        """(last token inside a word, tokens inside a word, tokens if the word ends here) of the first i units, from the states before."""
-        suffixes, found = self.suffixes, []
-        for size in range(1, min(i, self.longest) + 1):
-            token = piece[i - size:i]
-            if token not in suffixes:
-                break
-            found.append(token)
-        last, count, ended = "", 0, 0
-        for token in reversed(found):
-            before, so_far, _ = states[i - len(token)]
-            if not last and self.tree(token) and (not before or self.may_follow(before, token)):
-                last, count = token, so_far + 1
-            if not ended and self.tree(token + END) and (not before or self.may_follow(before, token + END)):
-                ended = so_far + 1
-            if ended and last:
-                break
-        return last, count, ended
-
     def plain(self, text: str) -> list[int]:
         """Token counts of the first 1, 2, ... characters of a text without special tokens; INSIDE where no prefix ends."""
         groups = _normal_groups(text)
@@ -209,8 +210,6 @@ class PrefixCounter:
 
     def changes(self, chunk: str) -> bytes:
         """One signed byte for each byte of a chunk: by how much the count changes with it."""
-        if _COMMON.fullmatch(chunk) and "<|" not in chunk:
-            return self._common(chunk)
         counts: list[int] = []
         rest, before = chunk, 0
         while rest:
@@ -235,69 +234,68 @@ class PrefixCounter:
                 now = n
         return bytes(out)
 
-    def _common(self, chunk: str) -> bytes:
-        """The same for a chunk of characters that the normal form and lower case keep in place and length."""
-        out = bytearray()
-        for letters in _PIECES.findall(chunk.lower()):
-            units = letters.encode().decode("latin-1")
-            counts = self.word(units)
-            if letters in SPLIT_CONTRACTIONS:
-                counts[2] = counts[1] + self.word(letters[1])[1]
-            if len(units) == len(letters):
-                out += bytes([(b - a) & 255 for a, b in zip(counts, counts[1:])])
-                continue
-            now = 0
-            for n, following in zip(counts[1:], units[1:] + "a"):
-                if "\x80" <= following < "\xc0":
-                    out.append(128)
-                else:
-                    out.append((n - now) & 255)
-                    now = n
+    def _common(self, chunks: list[str]) -> Iterator[bytes]:
+        """The same for chunks of characters that the normal form and lower case keep in place and length."""
+        pieces = [[low] if low.isalpha() else _PIECES.findall(low) for low in map(str.lower, chunks)]
+        units = {letters.encode().decode("latin-1"): letters for parts in pieces for letters in parts}
+        made = {units[piece]: self._changes_of(units[piece], piece, counts) for piece, counts in self.words(units)}
+        for parts in pieces:
+            yield made[parts[0]] if len(parts) == 1 else b"".join([made[letters] for letters in parts])
+
+    def _changes_of(self, letters: str, units: str, counts: list[int]) -> bytes:
+        if letters in SPLIT_CONTRACTIONS:
+            counts[2] = counts[1] + self.word(letters[1])[1]
+        if len(units) == len(letters):
+            return bytes([(b - a) & 255 for a, b in zip(counts, counts[1:])])
+        out, now = bytearray(), 0
+        for n, following in zip(counts[1:], units[1:] + "a"):
+            if "\x80" <= following < "\xc0":
+                out.append(128)
+            else:
+                out.append((n - now) & 255)
+                now = n
         return bytes(out)
 
-    def prefix_changes(self, text: bytes) -> np.ndarray:
-        """One signed byte for each byte of a text; white space changes nothing."""
-        out = np.zeros(len(text), dtype=np.int8)
-        at = self.tables.kept.new.get
-        made = b"".join([at(chunk) or self.tables[chunk] for chunk in text.split()])
-        out[_SOLID[np.frombuffer(text, dtype=np.uint8)]] = np.frombuffer(made, dtype=np.int8)
-        return out
-
-
-class Kept:
-    """A dictionary of bounded size: what was not used while as many new keys came is forgotten."""
-
-    def __init__(self):
-        self.new, self.old = {}, {}
-
-    def get(self, key):
-        value = self.new.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
-        return value
-
-    def put(self, key, value):
+    def prefix_changes(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """For each text one signed byte for each of its bytes; white space changes nothing."""
         if len(self.new) >= KEPT:
-            self.new, self.old = {}, self.new
-        self.new[key] = value
+            self.new, self.old = {}, self.new  # what is not used again is forgotten
+        new, split = self.new, [text.split() for text in texts]
+        missing = set().union(*(filterfalse(new.__contains__, chunks) for chunks in split))
+        todo = []
+        for chunk in missing:
+            known = self.old.get(chunk)
+            if known is None:
+                todo.append((chunk, chunk.decode()))
+            else:
+                new[chunk] = known
+        common = [(chunk, text) for chunk, text in todo if len(chunk) <= SHORT and _COMMON.fullmatch(text) and "<|" not in text]
+        new.update(zip([chunk for chunk, _ in common], self._common([text for _, text in common])))
+        for chunk, text in todo:
+            if chunk not in new:
+                new[chunk] = self.changes(text)
+        for text, chunks in zip(texts, split):
+            out = np.zeros(len(text), dtype=np.int8)
+            out[_SOLID[np.frombuffer(text, dtype=np.uint8)]] = np.frombuffer(b"".join(map(new.__getitem__, chunks)), dtype=np.int8)
+            yield out
+        for chunk, _ in todo:
+            if len(chunk) > SHORT:
+                del new[chunk]
+
+
+class Filled(dict):
+    """A dictionary that makes a missing value by a function, and begins anew at ``most`` keys."""
+
+    def __init__(self, make, most: int = 0):
+        self.make, self.most = make, most
+
+    def __missing__(self, key):
+        if self.most and len(self) >= self.most:
+            self.clear()
+        self[key] = value = self.make(key)
         return value
 
 
-class Tables:
-    """Chunk -> its changes, made as chunks come; short ones are kept."""
-
-    def __init__(self, counter: PrefixCounter):
-        self.counter, self.kept = counter, Kept()
-
-    def __getitem__(self, chunk: bytes) -> bytes:
-        made = self.kept.get(chunk)
-        if made is None:
-            made = self.counter.changes(chunk.decode())
-            if len(chunk) <= SHORT:
-                self.kept.put(chunk, made)
-        return made
-
-
 def _units(token: str) -> list[str]:
     return [*token[:-2], token[-2:]] if token.endswith(END) else list(token)
 
@@ -317,10 +315,24 @@ def _normal_groups(text: str) -> list[str]:
     return groups
 
 
-def prefix_index(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
+def _stretches(texts: Iterable[bytes]) -> Iterator[list[bytes]]:
+    """The texts in groups of about ``STRETCH`` bytes: enough for words to share their beginnings, few enough to hold all words."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= STRETCH:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def prefix_index(docs: DataFrame, vocabulary: str, text: str = "text", limit: int | None = None) -> DataFrame:
     """The input with n_bytes (UTF-8), n_tokens and prefix_tokens: the count at every prefix, as a compressed column of changes.
 
-    ``vocabulary`` is the text of a vocabulary file; it is broadcast, and has the file's size.
+    With a ``limit`` also fitting_bytes, which ``fitting_bytes`` gives later for any other limit. ``vocabulary``
+    is the text of a vocabulary file; it is broadcast, and has the file's size.
     """
     held = docs.sparkSession.sparkContext.broadcast({"vocabulary": vocabulary})
 
@@ -328,28 +340,33 @@ def prefix_index(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFr
     def indexed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         store = held.value  # one for all tasks of a worker, so its tables are used again
         if "counter" not in store:
+            gc.collect()  # the counter of an earlier query refers to itself, so nothing else frees it
             store["counter"] = PrefixCounter(store["vocabulary"])
         counter, pack = store["counter"], zstandard.ZstdCompressor(level=1)
         for batch in batches:
             rows = []
-            for value in batch:
-                data = value.encode() if value else b""
-                changes = counter.prefix_changes(data)
-                rows.append((len(data), int(changes[changes != INSIDE].sum(dtype=np.int64)), pack.compress(changes.tobytes())))
-            yield pd.DataFrame(rows, columns=["n_bytes", "n_tokens", "prefix_tokens"])
+            for texts in _stretches(value.encode() if value else b"" for value in batch):
+                for text, changes in zip(texts, counter.prefix_changes(texts)):
+                    ends, counts = _counts(changes)
+                    fits = 0 if limit is None else int(ends[np.flatnonzero(counts <= limit)[-1]])
+                    rows.append((len(text), int(counts[-1]), pack.compress(changes.tobytes()), fits))
+            yield pd.DataFrame(rows, columns=["n_bytes", "n_tokens", "prefix_tokens", "fitting_bytes"])
 
     found = docs.withColumn("_index", indexed(F.col(f"`{text}`")))
-    new = {c: F.col(f"_index.{c}") for c in ("n_bytes", "n_tokens", "prefix_tokens")}
+    new = {c: F.col(f"_index.{c}") for c in ("n_bytes", "n_tokens", "prefix_tokens", "fitting_bytes") if c != "fitting_bytes" or limit is not None}
     return with_columns(found, new).drop("_index")
 
 
-def _counts(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _counts(changes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ends of prefixes in bytes, the empty one first; their token counts)."""
-    changes = np.frombuffer(zstandard.decompress(packed), dtype=np.int8)
     ends = np.flatnonzero(changes != INSIDE)
     return np.append(0, ends + 1), np.append(0, np.cumsum(changes[ends], dtype=np.int64))
 
 
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return _counts(np.frombuffer(zstandard.decompress(packed), dtype=np.int8))
+
+
 def tokens_in(prefix_tokens: Column, n_bytes: Column) -> Column:
     """Tokens of the prefix of ``n_bytes`` bytes (of the longest whole prefix within it); null stays null."""
 
@@ -360,7 +377,7 @@ def tokens_in(prefix_tokens: Column, n_bytes: Column) -> Column:
             if p is None or pd.isna(n):
                 out.append(None)
                 continue
-            ends, counts = _counts(p)
+            ends, counts = _unpacked(p)
             out.append(int(counts[np.searchsorted(ends, max(n, 0), side="right") - 1]))
         return pd.Series(out, dtype="Int64")
 
@@ -377,7 +394,7 @@ def fitting_bytes(prefix_tokens: Column, limit: int) -> Column:
             if p is None:
                 out.append(None)
                 continue
-            ends, counts = _counts(p)
+            ends, counts = _unpacked(p)
             out.append(int(ends[np.flatnonzero(counts <= limit)[-1]]))
         return pd.Series(out, dtype="Int64")
 
@@ -400,7 +417,5 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         vocabulary = file.read()
-    counted = prefix_index(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
-    return counted.select(
-        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"),
-        F.when(F.col("n_tokens") > LIMIT, fitting_bytes(F.col("prefix_tokens"), LIMIT)).otherwise(F.col("n_bytes")).alias("fitting_bytes"))
+    counted = prefix_index(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, limit=LIMIT)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"), "fitting_bytes")

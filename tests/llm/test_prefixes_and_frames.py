@@ -107,7 +107,7 @@ def test_every_prefix_counts_as_the_library_does(vocabulary):
             text = "".join(rng.choice(["<|endoftext|>", "<|startoftext|>", "<|", "ab", "'re", "!!", "'ll", " ", "É", "́"]) for _ in range(rng.randint(1, 8)))
         else:
             text = "".join(rng.choice(rng.choice(HARD)) for _ in range(rng.randint(1, 25)))
-        changes, now, at = counter.prefix_changes(text.encode()), 0, 0
+        changes, now, at = next(counter.prefix_changes([text.encode()])), 0, 0
         assert len(changes) == len(text.encode())
         for i, c in enumerate(text):
             at += len(c.encode())
@@ -143,6 +143,8 @@ def test_budget_questions_without_the_tokenizer(spark, vocabulary):
             if len(data) < 5000:
                 best = max(n for n in range(len(data) + 1) if not (n < len(data) and data[n] & 0xC0 == 0x80) and count(data[:n].decode()) <= k)
                 assert r[f"fit{k}"] == best
+    limited = token_prefixes.prefix_index(docs.drop("n_tokens"), vocabulary, limit=5).select("doc_id", "fitting_bytes").collect()
+    assert sorted((r.doc_id or 0, r.fitting_bytes) for r in limited) == sorted((r.doc_id or 0, r.fit5) for r in got)
     cut = {r.doc_id: r.text for r in token_prefixes.truncate(index.filter("doc_id IN (4, 5)"), 12).collect()}
     assert count(cut[4]) == count(cut[5]) == 12
     assert token_prefixes.prefix_index(docs.limit(0), vocabulary).count() == 0
@@ -187,13 +189,13 @@ def test_a_cut_touches_its_own_frame_only(monkeypatch):
 def test_fill_in_middle_on_hard_rows(spark):
     rows = [(i, f"word {i} é日 some more words here, {i * i}") for i in range(200)] + [(None, "no id"), (201, None), (202, ""), (203, "has <M> inside"), (204, "x" * 200_000), (205, "é " * 100_000), (0, "word 0 é日 some more words here, 0")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("Form", F.lit("own")).withColumn("frames", F.lit("own"))
-    made = fill_middle.fill_in_middle(fill_middle.store_frames(docs, size=1 << 10)).withColumn("d", fill_middle.output_digests(F.col("output"), F.col("form"))).collect()
+    made = fill_middle.fill_in_middle(fill_middle.store_frames(docs, size=1 << 10)).collect()
     assert len(made) == len(rows)
     texts = dict(rows)
     for r in made:
         text = texts[r.doc_id] or ""
-        assert r.d.restored_sha256 == hashlib.sha256(text.encode()).hexdigest()
-        assert (r.form == "plain") == (r.prefix_chars is None) == (r.d.output_sha256 == r.d.restored_sha256)
+        assert r.restored_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert (r.form == "plain") == (r.prefix_chars is None) == (r.output_sha256 == r.restored_sha256)
     assert {r.form for r in made} == {"plain", "psm", "spm"} and {r.form for r in made if r.doc_id in (201, 202, 203)} == {"plain"}
-    assert len({(r.form, r.d.output_sha256) for r in made if r.doc_id == 0}) == 1
+    assert len({(r.form, r.output_sha256) for r in made if r.doc_id == 0}) == 1
     assert fill_middle.fill_in_middle(fill_middle.store_frames(docs.limit(0))).count() == 0
