@@ -5,12 +5,14 @@ forms, adverts, notices and comments (by tag, role, class or id) are left out. T
 classifies the rest alone, by stop-word density, length and link density: good, near-good, bad
 or short. An element is not left out for its name or as a form if an article or main element is inside it. The second pass settles the ambiguous ones by the nearest decided neighbours: a short block needs good ones,
 a near-good block is refused between two bad ones. Inside an ``article`` or ``main`` element the
-markup has already said what the text is: there a block is not refused for few stop words, and a
-short one only between two bad ones.
+markup has already said what the text is: there no block is refused for few stop words, many links
+or its length. On a page whose long blocks hold few of the known stop words, its language is another,
+and length and link density decide alone.
 
 Character references are decoded, white space inside a block becomes one space. Null html is
 empty; pages without text have an empty one. Broken markup is read as browsers do in the main:
-unclosed paragraphs end where the next block begins, an unfinished tag at the end is dropped.
+unclosed paragraphs end where the next block begins, an unfinished tag at the end is dropped. A page
+takes time in proportion to its length, also with many tags that are never closed or never opened.
 Repeated rows are extracted each for itself, an empty table gives an empty result, extra columns
 are passed through (one named like the result gives way).
 """
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import pandas as pd
@@ -33,7 +36,7 @@ BLOCK_TAGS = frozenset(
     "frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody "
     "td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template textarea title iframe svg math object canvas select xmp noembed noframes".split())
+RAW_TAGS = frozenset("script style noscript template textarea title iframe svg select xmp noembed noframes".split())
 LEFT_OUT_TAGS = frozenset("nav header footer aside form menu dialog button label head".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 LEFT_OUT_NAMES = frozenset(
@@ -115,6 +118,10 @@ def blocks(page: str) -> list[Block]:
     pieces: list[tuple[str, bool, tuple]] = []
     held: list[tuple[list, int]] = []  # pieces and main element of each block
     holding: set[int] = set()  # elements that hold an article or main element
+    opened: Counter[str] = Counter()  # open elements by tag, so that an end tag without one is no walk
+    at_tag: defaultdict[str, list[int]] = defaultdict(list)  # places in the stack by tag; those that are gone are dropped when met
+    borders: list[int] = []  # places of open block elements other than p
+    solid: list[int] = []  # places of all open block elements
     mains = links = breaks = at = elements = 0
 
     def close() -> None:
@@ -131,7 +138,12 @@ def blocks(page: str) -> list[Block]:
 
     def pop_to(n: int) -> None:
         nonlocal links
-        links -= sum(t == "a" for t, _, _ in stack[n:])
+        for t, _, _ in stack[n:]:
+            links -= t == "a"
+            opened[t] -= 1
+        for places in (borders, solid):
+            while places and places[-1] >= n:
+                places.pop()
         del stack[n:]
 
     def add(raw: str) -> None:
@@ -158,22 +170,19 @@ def blocks(page: str) -> list[Block]:
             close()
             breaks = 0
         if m[1]:
-            for n in range(len(stack) - 1, -1, -1):
-                if stack[n][0] == tag:
-                    pop_to(n)
-                    break
-                if tag not in BLOCK_TAGS and stack[n][0] in BLOCK_TAGS and stack[n][0] != "p":
-                    break  # an inline end tag closes nothing outside its block
+            border = borders[-1] if borders and tag not in BLOCK_TAGS else -1  # an inline end tag closes nothing outside its block
+            places = at_tag[tag]
+            while places and (places[-1] >= len(stack) or stack[places[-1]][0] != tag):
+                places.pop()
+            if opened[tag] and places and places[-1] > border:
+                pop_to(places.pop())
             continue
         if tag in VOID_TAGS:
             continue
         if tag in BLOCK_TAGS:
-            for n in range(len(stack) - 1, -1, -1):  # a new block ends an open paragraph, a new item an open item
-                if stack[n][0] == "p" or (tag == stack[n][0] and tag in ("li", "dt", "dd", "tr", "td", "th", "option")):
-                    pop_to(n)
-                    break
-                if stack[n][0] in BLOCK_TAGS:
-                    break
+            # a new block ends an open paragraph, a new item an open item; both are the innermost block if anything
+            if solid and (stack[solid[-1]][0] == "p" or (tag == stack[solid[-1]][0] and tag in ("li", "dt", "dd", "tr", "td", "th", "option"))):
+                pop_to(solid[-1])
         inner = stack[-1] if stack else ("", (), 0)
         if tag in MAIN_TAGS and not inner[2]:
             mains += 1
@@ -187,7 +196,13 @@ def blocks(page: str) -> list[Block]:
         if why and not (causes and causes[0] < 0):
             elements += 1
             causes = (elements if why == OPEN else -elements, causes)
+        at_tag[tag].append(len(stack))
+        if tag in BLOCK_TAGS:
+            solid.append(len(stack))
+            if tag != "p":
+                borders.append(len(stack))
         stack.append((tag, causes, inner[2]))
+        opened[tag] += 1
         links += tag == "a"
     add(page[at:])
     close()
@@ -199,17 +214,33 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def first_pass(block: Block) -> str:
-    words = _WORD.findall(block.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-    chars = len(block.text.replace(" ", ""))
-    if block.linked > LINKED * chars or (not block.main and "©" in block.text):
+def _stops(text: str) -> tuple[int, int]:
+    """(stop words, words)."""
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def _linked(block: Block) -> bool:
+    return block.linked > LINKED * len(block.text.replace(" ", ""))
+
+
+def known_language(found: list[Block]) -> bool:
+    """Whether the stop words are those of the page: its long blocks of little link text hold enough of them, or there are none."""
+    counts = [_stops(b.text) for b in found if not b.main and len(b.text) > LONG and not _linked(b)]
+    return sum(s for s, _ in counts) >= SPARSE * sum(w for _, w in counts)
+
+
+def first_pass(block: Block, known: bool = True) -> str:
+    """good, near, short or bad. ``known``: the stop words are of the page's language; else length and links alone decide."""
+    if not block.main and (_linked(block) or "©" in block.text):
         return "bad"
     if len(block.text) < SHORT:
         return "short"
-    if stops >= DENSE or block.main:
+    stops, words = _stops(block.text)
+    density = stops / words if words else 0.0
+    if density >= DENSE or block.main or not known:
         return "good" if len(block.text) > LONG else "near"
-    return "near" if stops >= SPARSE else "bad"
+    return "near" if density >= SPARSE else "bad"
 
 
 def second_pass(found: list[Block]) -> None:
@@ -234,8 +265,9 @@ def second_pass(found: list[Block]) -> None:
 
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
+    known = known_language(found)
     for block in found:
-        block.label = first_pass(block)
+        block.label = first_pass(block, known)
     second_pass(found)
     return "\n".join(b.text for b in found if b.label == "good")
 

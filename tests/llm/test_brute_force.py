@@ -5,6 +5,7 @@ import html
 import os
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -258,17 +259,36 @@ def test_main_text_of_given_pages(spark):
 LONG = "This is the text that we want to keep, as it is long and has many of the words that are in a text of the kind that people write."
 
 
+POLISH = "Wszystkie dzieci rodzą się wolne, lecz nie każde z nich może żyć w pokoju, dlatego trzeba chronić ich prawa oraz zapewnić im naukę przez wiele lat."
+RUSSIAN = "Все люди рождаются свободными и равными в своём достоинстве и правах, они наделены разумом и совестью и должны поступать по совести."
+
+
 @pytest.mark.parametrize("page, want", [
     (None, ""), ("", ""), ("just words", ""), (f"<p>{LONG}", LONG), (f"<script>var a = '<p>{LONG}</p>'</script><p>{LONG}</p><p cla", LONG),
     (f"<nav><p>{LONG}</p></nav><main><p>{LONG}<p>Short.</main><footer>{LONG}</footer>", f"{LONG}\nShort."),
     (f"<article><p>{LONG}</p><div class='reader-comments'><p>{LONG}</p></div><form>{LONG}</form></article>", LONG),
     (f"<div id=cookieNotice>{LONG}</div><div><h1>Head</h1><p>{LONG} &amp; &lt;b&gt;</p><p>{LONG}</p></div>", f"Head\n{LONG} & <b>\n{LONG}"),
-    (f"<article><p>{LONG}</p><p><a href=x>{LONG}</a></p><p>One<br>two<br><br>three &eacute;&nbsp;x</p></article>", f"{LONG}\nOne two\nthree é x"),
+    (f"<article><p>{LONG}</p><p><a href=x>{LONG}</a></p><p>One<br>two<br><br>three &eacute;&nbsp;x</p></article>", f"{LONG}\n{LONG}\nOne two\nthree é x"),
+    (f"<article><p>{LONG}</p><p>See <a href=x>this page about things</a></p><ul><li><a href=y>One item</a></li><li><a href=z>Two</a></li></ul></article>",
+     f"{LONG}\nSee this page about things\nOne item\nTwo"),
+    (f"<article><p>{LONG} E = <math><mi>m</mi><mi>c</mi></math> holds.</p></article>", f"{LONG} E = mc holds."),
+    (f"<div>{POLISH}</div><div>{POLISH}</div><div><a href=x>{POLISH}</a></div><nav>{POLISH}</nav>", f"{POLISH}\n{POLISH}"),
+    (f"<div>{RUSSIAN}</div><div>{RUSSIAN} <b>Ещё</b></div>", f"{RUSSIAN}\n{RUSSIAN} Ещё"),
+    (f"<p><b>{LONG}<i>x</b></i></b></em></span> y</p><ul><li>{LONG}<li>{LONG}</ul>", f"{LONG}x y\n{LONG}\n{LONG}"),
 ])
 def test_main_text_of_planted_pages(page, want):
     assert html_text.main_text(page) == want
 
 
+def test_many_tags_that_match_nothing_take_no_more_than_linear_time():
+    n = 100_000
+    began = time.perf_counter()
+    assert html_text.main_text("<b>" * n + "x</i>" * n) == "x" * n  # one long block in no language that is known
+    assert html_text.main_text("<b>" * n + "<p></p>" * n + "</div>" * n) == ""
+    assert html_text.main_text(f"<div>" * n + f"<p>{LONG}</span>" + "</b>" * n) == LONG
+    assert time.perf_counter() - began < 30
+
+
 # --- mixing
 
 def test_flow_moves_overlapping_sources():
