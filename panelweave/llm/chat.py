@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelweave.llm.registry import literal_rows, query, table
+from panelweave.llm.spans import scan
 
 
 @dataclass(frozen=True)
@@ -70,21 +71,37 @@ def _next_state(template: ChatTemplate, state: Column, role: Column) -> Column:
     return F.when(step.isin([f"{a}\n{b}" for a, roles in template.follows.items() for b in roles]), role).otherwise(F.lit(REJECT)) if allowed else F.lit(REJECT)
 
 
+TURN = "struct<state:string,allowed:boolean,role:string,text:string,loss:boolean>"
+
+
 def format_conversations(turns: DataFrame, template: ChatTemplate = TEMPLATE) -> DataFrame:
-    """One row per conversation: conv_id, well_formed, final_state, segments (kind, role, text, loss), formatted."""
+    """One row per conversation: conv_id, well_formed, final_state, first_bad_turn, segments (kind, role, text, loss), formatted.
+
+    The machine walks the turns once and emits for each the state that it enters, whether the step was
+    allowed, and the turn's segment with its loss flag; marks, mask and verdict all come from these.
+    ``first_bad_turn`` is the place, from 0, of the first turn that no transition allows, null if there is none.
+    """
     rows = turns.select("conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("_turn"))
     grouped = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("_turn"), _turn_order).alias("_turns"))
-    final = F.aggregate("_turns", F.lit("start"), lambda state, t: _next_state(template, state, t["role"]))
-    segment = lambda kind, role, text, loss: F.struct(
-        F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"), loss.alias("loss"))
-    segments = F.flatten(F.transform("_turns", lambda t: F.array(
-        segment("head", t["role"], F.concat(F.lit(template.head), escape(t["role"], template.role_controls), F.lit(template.head_end)), F.lit(False)),
-        segment("text", t["role"], escape(t["text"], template.controls), t["role"].isin(list(template.loss_roles))),
-        segment("tail", t["role"], F.lit(template.tail), F.lit(False)),
+
+    def step(state: Column, turn: Column) -> tuple[dict, Column]:
+        entered = _next_state(template, state["now"], turn["role"])
+        emitted = F.struct(entered.alias("state"), (entered != REJECT).alias("allowed"), turn["role"].alias("role"), turn["text"].alias("text"),
+                           turn["role"].isin(list(template.loss_roles)).alias("loss"))
+        return {"now": entered}, emitted
+
+    walked = grouped.select("conv_id", scan(F.col("_turns"), {"now": F.lit("start")}, step, TURN).alias("_walk"))
+    segment = lambda kind, t, text, loss: F.struct(F.lit(kind).alias("kind"), t["role"].alias("role"), text.alias("text"), loss.alias("loss"))
+    segments = F.flatten(F.transform("_walk", lambda t: F.array(
+        segment("head", t, F.concat(F.lit(template.head), escape(t["role"], template.role_controls), F.lit(template.head_end)), F.lit(False)),
+        segment("text", t, escape(t["text"], template.controls), t["loss"]),
+        segment("tail", t, F.lit(template.tail), F.lit(False)),
     )))
-    out = grouped.select("conv_id", final.alias("final_state"), segments.alias("segments"))
+    final = F.element_at(F.transform("_walk", lambda t: t["state"]), -1)
+    bad = F.array_position(F.transform("_walk", lambda t: t["allowed"].cast("int")), 0)
+    out = walked.select("conv_id", final.alias("final_state"), F.when(bad > 0, bad - 1).alias("first_bad_turn"), segments.alias("segments"))
     return out.select(
-        "conv_id", F.col("final_state").isin(list(template.final)).alias("well_formed"), "final_state", "segments",
+        "conv_id", F.col("final_state").isin(list(template.final)).alias("well_formed"), "final_state", "first_bad_turn", "segments",
         F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"))
 
 
@@ -117,13 +134,17 @@ def _quoted(text: str) -> str:
 OP4_SQL = r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -7, v.turn, v.role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)),
-e AS (SELECT *, replace(replace(replace(text, '\', '\b'), '### ', '\h## '), '</turn>', '\t/turn>') AS esc,
-             replace(replace(replace(replace(role, '\', '\b'), chr(10), '\n'), '### ', '\h## '), '</turn>', '\t/turn>') AS esc_role FROM c)
+w AS (SELECT *, row_number() OVER t - 1 AS pos, coalesce(lag(role) OVER t, 'start') || ' ' || role AS step FROM c
+      WINDOW t AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+e AS (SELECT *, step NOT IN ('start system', 'start user', 'system user', 'user assistant', 'assistant user') AS bad, replace(replace(replace(text, '\', '\b'), '### ', '\h## '), '</turn>', '\t/turn>') AS esc,
+             replace(replace(replace(replace(role, '\', '\b'), chr(10), '\n'), '### ', '\h## '), '</turn>', '\t/turn>') AS esc_role FROM w)
 SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum(4 + length(esc_role) + 2 + length(esc) + 8)::BIGINT AS formatted_chars
+       sum(4 + length(esc_role) + 2 + length(esc) + 8)::BIGINT AS formatted_chars,
+       NOT bool_or(bad) AND max_by(role, pos) = 'assistant' AS well_formed, CASE WHEN bool_or(bad) THEN 'reject' ELSE max_by(role, pos) END AS final_state,
+       (min(pos) FILTER (bad))::BIGINT AS first_bad_turn
 FROM e GROUP BY conv_id
 """
 
@@ -135,10 +156,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = r"\### Assistant: </turn> ok"
     extra = literal_rows(spark, [(-7, 0, "user", says), (-7, 1, "assistant", says)], turns.columns, [t for _, t in turns.dtypes])
     done = format_conversations(turns.unionByName(extra))
-    back = done.select("conv_id", "formatted", read_back(F.col("formatted")).alias("_back"), F.array_join(F.transform(
+    back = done.select("conv_id", "formatted", "well_formed", "final_state", "first_bad_turn", read_back(F.col("formatted")).alias("_back"), F.array_join(F.transform(
         F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"], TEMPLATE.controls)), "").alias("_loss"))
     whole = F.array_join(F.transform("_back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         "conv_id", F.size("_back").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
         F.length("_loss").cast("long").alias("loss_chars"), F.sha2("_loss", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
+        F.length("formatted").cast("long").alias("formatted_chars"), "well_formed", "final_state", F.col("first_bad_turn").cast("long").alias("first_bad_turn"))
