@@ -25,7 +25,7 @@ prefixes that end inside one count it as the ordinary text that it is until then
 Null text is empty: no bytes, no tokens. Texts of any length take time in proportion to it, also
 without any white space. Rows are judged one by one, so ties, repeated rows and null keys need no
 rule; an empty table gives an empty result. Input columns named like a new one give way. What a
-task keeps is bounded: twice ``KEPT`` chunks of up to ``SHORT`` bytes and pairs of tokens, and the words of one stretch of texts.
+task keeps is bounded: twice ``KEPT`` chunks of up to ``SHORT`` bytes and as many pieces, ``PAIRS`` pairs of tokens, and the words of one stretch of texts.
 """
 
 from __future__ import annotations
@@ -36,7 +36,6 @@ import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from itertools import filterfalse
-from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -46,7 +45,8 @@ from pyspark.sql import functions as F
 
 from panelweave.llm.registry import query, table, with_columns
 
-KEPT = 1 << 18
+KEPT = 1 << 18  # of chunks, and of their pieces, the last KEPT to 2 * KEPT used are known
+PAIRS = 1 << 18
 SHORT = 64
 STRETCH = 1 << 23  # bytes of texts whose words are counted together
 NEVER = 1 << 60
@@ -91,12 +91,14 @@ class PrefixCounter:
             raise ValueError("a token is longer than a signed byte can count")
         stems = {t.removesuffix(END) for t in self.tokens}
         self.suffixes = {t[i:] for t in stems for i in range(len(t))}
-        self.known = Filled(lambda stem: (self.tree(stem), self.tree(stem + END)))  # no more than suffixes
+        self.known = Filled(lambda stem: (self.tree(stem) is not None, self.tree(stem + END) is not None))  # no more than suffixes
         self.trees: dict[str, tuple | None] = {}  # and twice as many
-        self.inside = Filled(lambda pair: self._border_holds(self.trees[pair[0]], self.trees[pair[1]]), KEPT)
-        self.ending = Filled(lambda pair: self._border_holds(self.trees[pair[0]], self.trees[pair[1] + END]), KEPT)
+        self.inside = Filled(lambda pair: self._border_holds(self.trees[pair[0]], self.trees[pair[1]]), PAIRS)
+        self.ending = Filled(lambda pair: self._border_holds(self.trees[pair[0]], self.trees[pair[1] + END]), PAIRS)
         self.new: dict[bytes, bytes] = {}  # chunk -> its changes
         self.old: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}  # piece of a chunk -> its changes
+        self.old_parts: dict[str, bytes] = {}
 
     def merged(self, units: list[str]) -> list[tuple]:
         """The tokens that units merge to, the lowest rank first, from the left: (token, its right spine, its left spine, in order).
@@ -152,8 +154,13 @@ class PrefixCounter:
         """``word`` for many pieces. In sorted order, words that begin alike follow each other and go on from the same states."""
         states, before = [("", 0, 0)], ""
         for piece in sorted(pieces):
-            same = len(commonprefix((piece, before)))
-            del states[same + 1:]
+            if not piece.startswith(before):
+                same = 0
+                for x, y in zip(piece, before):
+                    if x != y:
+                        break
+                    same += 1
+                del states[same + 1:]
             self._walk(piece, states)
             before = piece
             yield piece, [s[2] for s in states]
@@ -171,17 +178,22 @@ class PrefixCounter:
                     break
                 token = piece[at:i]
             last, count, ended = "", 0, 0
+            at = i - len(found)
             for token in reversed(found):
                 plain, whole = known[token]
-                if plain is None and whole is None:
-                    continue
-                before, so_far, _ = states[i - len(token)]
-                if not last and plain is not None and (not before or inside[before, token]):
-                    last, count = token, so_far + 1
-                if not ended and whole is not None and (not before or ending[before, token]):
-                    ended = so_far + 1
-                if ended and last:
-                    break
+                if plain and not last:
+                    before = states[at]
+                    if not at or inside[before[0], token]:
+                        last, count = token, before[1] + 1
+                        if ended:
+                            break
+                if whole and not ended:
+                    before = states[at]
+                    if not at or ending[before[0], token]:
+                        ended = before[1] + 1
+                        if last:
+                            break
+                at += 1
             states.append((last, count, ended))
         return states
 
@@ -237,8 +249,15 @@ class PrefixCounter:
     def _common(self, chunks: list[str]) -> Iterator[bytes]:
         """The same for chunks of characters that the normal form and lower case keep in place and length."""
         pieces = [[low] if low.isalpha() else _PIECES.findall(low) for low in map(str.lower, chunks)]
-        units = {letters.encode().decode("latin-1"): letters for parts in pieces for letters in parts}
-        made = {units[piece]: self._changes_of(units[piece], piece, counts) for piece, counts in self.words(units)}
+        made, units = {}, {}
+        for letters in {letters for parts in pieces for letters in parts}:
+            known = self.parts.get(letters) or self.old_parts.get(letters)
+            if known is None:
+                units[letters.encode().decode("latin-1")] = letters
+            else:
+                made[letters] = known
+        made.update((units[piece], self._changes_of(units[piece], piece, counts)) for piece, counts in self.words(units))
+        self.parts.update(made)
         for parts in pieces:
             yield made[parts[0]] if len(parts) == 1 else b"".join([made[letters] for letters in parts])
 
@@ -258,8 +277,10 @@ class PrefixCounter:
 
     def prefix_changes(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """For each text one signed byte for each of its bytes; white space changes nothing."""
-        if len(self.new) >= KEPT:
-            self.new, self.old = {}, self.new  # what is not used again is forgotten
+        if len(self.new) >= KEPT:  # what is not used again is forgotten
+            self.new, self.old = {}, self.new
+        if len(self.parts) >= KEPT:
+            self.parts, self.old_parts = {}, self.parts
         new, split = self.new, [text.split() for text in texts]
         missing = set().union(*(filterfalse(new.__contains__, chunks) for chunks in split))
         todo = []
