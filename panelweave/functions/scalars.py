@@ -141,13 +141,6 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def any_null(columns: Sequence[str]) -> Column:
-    test = F.lit(False)
-    for c in columns:
-        test = test | F.col(c).isNull()
-    return test
-
-
 def outside_bounds(bounds: Mapping[str, tuple[float | None, float | None]]) -> Column:
     """True where any column leaves its (low, high) range; a null is inside."""
     test = F.lit(False)

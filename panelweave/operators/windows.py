@@ -24,12 +24,6 @@ def calendar_spine(df: DataFrame, *, keys: Sequence[str], time: str, future_days
     return bounds.select(*keys, F.explode(days).alias(time))
 
 
-def calendar(spark, start: str, end: str) -> DataFrame:
-    """One row per day between two dates."""
-    span = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    return spark.range(1).select(F.explode(span).alias("date"))
-
-
 def densify(
     events: DataFrame, *, keys: Sequence[str], time: str, columns: Sequence[str], direction: str = "forward"
 ) -> DataFrame:
@@ -180,4 +174,3 @@ def every_nth_row(df: DataFrame, axis: Axis, n: int, probe: DataFrame | None = N
     """The newest row of each key and every n-th before it."""
     counted = running(df, axis, {"_rank": ("count", F.lit(1))}, "backward", probe)
     return counted.filter((F.col("_rank") - 1) % n == 0).drop("_rank")
-

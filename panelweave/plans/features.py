@@ -26,11 +26,10 @@ from panelweave.operators.asof import Source, align, asof_join, value_days_ago
 from panelweave.operators.relational import (
     dedup_statements,
     keep_first_per,
-    null_share_by_key,
     override_for_keys,
     shift_repeated_dates,
 )
-from panelweave.operators.timeline import FITS, UNKNOWN, Axis, checked_broadcast, fill, rolling
+from panelweave.operators.timeline import FITS, UNKNOWN, Axis, fill, rolling
 from panelweave.operators.windows import change_points, cumulative_product, densify, pct_change, sma_trend
 
 # Days before the report at which an estimate was taken, and its column.
@@ -500,9 +499,3 @@ def dividend_change(panel: DataFrame, events: DataFrame, size: str = UNKNOWN) ->
         },
     )
     return done.drop("_start")
-
-
-def stocks_without(df: DataFrame, column: str, counted: str = "close") -> DataFrame:
-    """Stocks for which the column is null in all rows."""
-    return null_share_by_key(df, ["stock"], column, counted).filter(F.col("null_percent") == 100.0).select("stock")
-

@@ -26,6 +26,8 @@ INCOME_COLUMNS = ("totalRevenue", "costOfRevenue")
 # Label thresholds in percent per horizon, and an alternative set.
 THRESHOLDS = {15: 4.112, 30: 6.18, 60: 9.25, 90: 11.53, 120: 13.77, 150: 15.95}
 THRESHOLDS_ROUND = {15: 5.0, 30: 7.0, 60: 10.0, 90: 12.0, 120: 14.0, 150: 16.0}
+# Thresholds of the older labels, on returns as fractions of close to close.
+THRESHOLDS_FRACTION = {15: 0.038, 30: 0.059, 60: 0.093, 90: 0.122, 120: 0.148, 150: 0.173}
 
 # Ratios in which zero means missing and the older value is carried on.
 GAP_FILLED = (

@@ -261,3 +261,13 @@ def test_clean_panel_modes(spark):
     row = pn.clean_panel(df, "train").filter("id = 3").first()
     assert row["DY"] == 0.0 and row["sector"] == "Information Technology"
     assert "industry" not in pn.clean_panel(df, "score").columns
+
+
+def test_three_sets_of_thresholds(spark):
+    df = spark.createDataFrame([(4.5, 0.04), (5.0, 0.03), (None, None)], "future_15dprice_change double, older double")
+    for values, want in ((pn.THRESHOLDS, [1, 1, None]), (pn.THRESHOLDS_ROUND, [0, 1, None])):
+        labelled = pn.threshold_labels(df, {"future_15dprice_change": values[15]})
+        assert [r["future_15dprice_change_label"] for r in labelled.collect()] == want
+    older = pn.threshold_labels(df, {"older": pn.THRESHOLDS_FRACTION[15]})
+    assert [r["older_label"] for r in older.collect()] == [1, 0, None]
+    assert set(pn.THRESHOLDS) == set(pn.THRESHOLDS_ROUND) == set(pn.THRESHOLDS_FRACTION)

@@ -61,3 +61,8 @@ def test_hash_split_ignores_partitioning(spark):
     one_way = {r[0] for r in hash_split(df, ["id"]).filter("is_test").collect()}
     other = {r[0] for r in hash_split(df.repartition(7), ["id"]).filter("is_test").collect()}
     assert one_way == other and 120 < len(one_way) < 280
+
+
+def test_columns_by_type(spark):
+    df = spark.createDataFrame([(1, 2.0, "a", True)], "i int, d double, s string, b boolean")
+    assert sc.numeric_columns(df) == ["i", "d"] and sc.text_columns(df) == ["s"]
