@@ -206,18 +206,23 @@ def box_stats(df: DataFrame, by: str, value: str, *, base=None) -> DataFrame:
 FLAT = 1e-12  # a variance below this part of the mean square is rounding
 
 
-def pair_sums(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def pair_sums(
+    df: DataFrame, columns: Sequence[str], centre: bool = True
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For all column pairs, over the rows complete in both: n[i, j], sum of i, sum of squares of i, sum of products.
 
     One aggregate in one scan: each row becomes the vector (known, value, square) of its columns,
     with 0 for what is missing, and the products of these vectors are added up as one matrix. So a
     row is neither repeated per pair nor do the pairs become expressions. Values are shifted by a
-    value of the column beforehand, which changes no variance and keeps digits. The result has the
-    size of the columns squared and belongs to the driver. NaN counts as missing.
+    value of the column beforehand, which changes no variance and keeps digits; ``centre=False`` leaves
+    that out, for values as wide as they are large. The result has the size of the columns squared and
+    belongs to the driver. NaN counts as missing.
     """
     k = len(columns)
     cells = [F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns]
-    peek = df.select(*[c.alias(f"_{i}") for i, c in enumerate(cells)]).limit(1000).agg(*[F.max(f"_{i}") for i in range(k)]).first()
+    peek = [0.0] * k
+    if centre:
+        peek = df.select(*[c.alias(f"_{i}") for i, c in enumerate(cells)]).limit(1000).agg(*[F.max(f"_{i}") for i in range(k)]).first()
     shifted = [c - F.lit(float(peek[i] or 0.0)) for i, c in enumerate(cells)]
     parts = [*[c.isNotNull().cast("double") for c in cells], *[F.coalesce(c, F.lit(0.0)) for c in shifted], *[F.coalesce(c * c, F.lit(0.0)) for c in shifted]]
     rows = MLUtils.convertVectorColumnsFromML(df.select(array_to_vector(F.array(*parts)).alias("_v")), "_v")
@@ -225,17 +230,17 @@ def pair_sums(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.nda
     return gram[:k, :k], gram[k:2 * k, :k], gram[2 * k:, :k], gram[k:2 * k, k:2 * k]
 
 
-def _coefficients(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+def _coefficients(df: DataFrame, columns: Sequence[str], centre: bool = True) -> np.ndarray:
     """The correlation matrix; NaN where a column has no variation over the rows complete in both."""
-    n, total, squares, products = pair_sums(df, columns)
+    n, total, squares, products = pair_sums(df, columns, centre)
     with np.errstate(all="ignore"):
         variance = squares - total * total / n  # of column i over the rows that have j too
         variance = np.where(variance > FLAT * squares, variance, np.nan)
         return np.clip((products - total * total.T / n) / np.sqrt(variance * variance.T), -1.0, 1.0)
 
 
-def _table(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    r = _coefficients(df, columns)
+def _table(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]], centre: bool = True) -> DataFrame:
+    r = _coefficients(df, columns, centre)
     rows = [(columns[i], columns[j], None if np.isnan(r[i, j]) else float(r[i, j])) for i, j in pairs]
     return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, r double")
 
@@ -277,7 +282,7 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ranks = ranked.select("column", "value", (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank"))
     placed = spread_join(cells, ranks, ["column", "value"], "inner")
     wide = placed.groupBy("_row").agg(*[F.max(F.when(F.col("column") == i, F.col("rank"))).alias(c) for i, c in enumerate(columns)])
-    return pearson(wide.drop("_row"), columns)
+    return _table(wide.drop("_row"), columns, list(combinations(range(len(columns)), 2)), centre=False)
 
 
 # --- shape ------------------------------------------------------------------------
