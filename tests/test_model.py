@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -170,6 +171,49 @@ def test_whole_model_scores_raw_rows(spark, placed):
     assert {r["feature"] for r in ml.feature_importance(model, spark).collect()} == {"x", "sector"}
 
 
+def test_fits_run_together_only_where_their_rows_have_room(spark, placed, monkeypatch):
+    _, rows_ = placed
+    assert ml.room_for_fits(rows_) == 6 and ml.room_for_fits(rows_, 3, 2048) == 3
+    monkeypatch.setattr(ml, "FITS_BYTES", 500 * (4 * 2 + ml.BINNED_ROW_BYTES) * 2)
+    assert ml.room_for_fits(rows_) == 2
+    monkeypatch.setattr(ml, "FITS_BYTES", 1)
+    assert ml.room_for_fits(rows_) == 1 and ml.room_for_fits(rows_.limit(0)) == 1
+
+
+def test_a_fit_shuffles_bins_of_a_bounded_number_of_partitions(spark, placed, monkeypatch):
+    _, rows_ = placed
+    seen = []
+
+    class Counted(GBTClassifier):
+        def fit(self, df):
+            seen.append((df.rdd.getNumPartitions(), df.count()))
+            return super().fit(df)
+
+    monkeypatch.setitem(ml.ESTIMATORS, "counted", lambda **p: Counted(maxIter=1, seed=42, **p))
+    ml.fit_matrix(rows_.repartition(50), "y", "counted")
+    assert seen == [(min(50, ml.WAVES * spark.sparkContext.defaultParallelism), 500)]
+
+
+def test_positions_are_stored_once_as_parquet(spark):
+    df = spark.range(300).select("id", F.expr("date_add(date'2020-01-01', CAST(id * 7 % 50 AS int))").alias("d")).repartition(5)
+    at = with_positions(df, time="d", tie=["id"])
+    assert all("/positions-" in f for f in at.inputFiles()) and at.inputFiles()
+    got = rows(at, "position")
+    assert [p for *_, p in got] == list(range(300)) and [r[:2] for r in got] == sorted((r[:2] for r in got), key=lambda r: (r[1], r[0]))
+
+
+def test_the_built_panel_is_stored_once(spark, monkeypatch):
+    from panelweave.catalog import modelling
+    from panelweave.catalog.registry import Tables
+
+    monkeypatch.setattr(modelling.landed, "inputs", lambda t: None)
+    monkeypatch.setattr(modelling.pn, "build_panel", lambda *a, **k: spark.range(5))
+    monkeypatch.setattr(modelling.pn, "clean_panel", lambda built, mode: built.withColumn("mode", F.lit(mode)))
+    t = Tables(spark, "/nowhere")
+    train, score = modelling.labelled_panel(t, "score"), modelling.labelled_panel(t, "score")
+    assert train.inputFiles() == score.inputFiles() and all("/panel-" in f for f in train.inputFiles()) and train.count() == 5
+
+
 SMALL = "/root/testdata/sf0.001"
 
 
