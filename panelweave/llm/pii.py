@@ -7,22 +7,21 @@ candidate that overlaps one is labelled personal data. The further kinds also ha
 their own: an account number whose check digits are right (modulo 97) and a spelled-out address
 that decodes to a well-formed one are personal data, and so are a local phone number or a digit
 run behind a cue word; a local phone number with no cue either way is not used to learn.
-Boosted trees learn format and context features from a bounded sample (``train_rows``, dealt
-evenly to kinds and labels, the smallest content hashes of each, so reruns agree); on a held-out
-part of the sample, weighted back to all candidates, a threshold per kind is calibrated to
-``precision``. Candidates of the further kinds that touch no base span are added if they are over
+Boosted trees learn format and context features from three quarters of all labelled candidates,
+chosen by a hash of their content, so reruns agree; the candidates of one kind and label weigh at
+most as much as ``CELL`` of them, so that frequent kinds do not drown rare ones. On the last
+quarter, all of it, a threshold per kind is calibrated to ``precision``. Candidates of the further kinds that touch no base span are added if they are over
 the threshold or pass the format check of their kind, the likeliest first where they overlap; a
 candidate of a base kind that fails its check is dropped, whatever its score.
 
-Only the training sample is bounded; candidate search, features and scores cover all rows, whole
-texts, with column expressions and MLlib. Null text counts as empty. Repeated rows are scanned
+Candidate search, features, training, thresholds and scores cover all rows, whole texts, with
+column expressions and MLlib. Null text counts as empty. Repeated rows are scanned
 each for itself, an empty table gives an empty result; extra columns may be carried.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -37,6 +36,7 @@ from panelweave.session import pin
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "email_words", "digits", "local_phone", "account")
 MARK = "[private]"
+CELL = 1250  # candidates of one kind and label that have full weight in training; more share it
 CONTEXT = 24  # characters before a candidate that are searched for cue words
 
 # The look-behinds and possessive quantifiers change no match; they keep the search linear on long runs.
@@ -176,31 +176,26 @@ def candidate_table(scanned: DataFrame, text: str) -> DataFrame:
         *[made[f].cast("double").alias(f) for f in FEATURES])
 
 
-def fit_model(candidates: DataFrame, train_rows: int, precision: float, seed: int, least: int = 20):
-    """Boosted trees and a threshold per kind, or None where the sample has one label only."""
-    sizes = {(r[0], r[1]): r[2] for r in candidates.filter("label IS NOT NULL").groupBy("kind", "label").count().collect()}
-    if not sizes:
-        return None
-    each = max(train_rows // (2 * len(KINDS)), 1)
-    parts = [candidates.filter((F.col("kind") == kind) & (F.col("label") == label)).orderBy("_pick", "start", "end").limit(each)
-             .withColumn("_weight", F.lit(max(n / each, 1.0))) for (kind, label), n in sorted(sizes.items())]
-    sample = pin(reduce(DataFrame.unionByName, parts))
-    held = F.pmod(F.col("_pick"), F.lit(4)) == 0
-    labels = {r[0] for r in sample.filter(~held).select("label").distinct().collect()}
-    if len(labels) < 2:
+def fit_model(candidates: DataFrame, precision: float, seed: int, least: int = 20):
+    """Boosted trees and a threshold per kind from all labelled candidates, or None where those to learn from have one label only."""
+    known, held = candidates.filter("label IS NOT NULL"), F.pmod(F.col("_pick"), F.lit(4)) == 0
+    sizes = known.groupBy("kind", "label").agg(F.count("*").alias("n"), F.count_if(~held).alias("n_train")).collect()
+    if len({r.label for r in sizes if r.n_train}) < 2:
         return None
+    shares = [F.when((F.col("kind") == r.kind) & (F.col("label") == r.label), F.lit(min(CELL / r.n, 1.0))) for r in sizes]  # a row per kind and label
+    train = known.filter(~held).select("label", F.coalesce(*shares).alias("_weight"), *FEATURES)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    learner = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=15, maxDepth=4, stepSize=0.2, seed=seed)
-    model = learner.fit(assembler.transform(sample.filter(~held)))
-    scored = score(sample.filter(held), assembler, model)
-    table_ = scored.groupBy("kind", F.floor(F.col("_score") * 100).cast("int").alias("level")).agg(
-        F.sum(F.col("label") * F.col("_weight")), F.sum("_weight"), F.count("*")).collect()
+    learner = GBTClassifier(featuresCol="_features", labelCol="label", weightCol="_weight", maxIter=15, maxDepth=4, stepSize=0.2, seed=seed)
+    # every level of every tree shuffles the bins of each partition
+    model = learner.fit(assembler.transform(train.coalesce(2 * train.sparkSession.sparkContext.defaultParallelism)))
+    scored = score(known.filter(held), assembler, model)
+    table_ = scored.groupBy("kind", F.floor(F.col("_score") * 100).cast("int").alias("level")).agg(F.sum("label"), F.count("*")).collect()
     thresholds = {}
     for kind in KINDS[len(BASE):]:
-        hits = seen = rows = 0.0
-        for _, level, good, weight, n in sorted((r for r in table_ if r[0] == kind), key=lambda r: -r[1]):
-            hits, seen, rows = hits + good, seen + weight, rows + n
-            if rows >= least and hits >= precision * seen:
+        hits = rows = 0.0
+        for _, level, good, n in sorted((r for r in table_ if r[0] == kind), key=lambda r: -r[1]):
+            hits, rows = hits + good, rows + n
+            if rows >= least and hits >= precision * rows:
                 thresholds[kind] = level / 100
     return assembler, model, thresholds
 
@@ -210,8 +205,7 @@ def score(candidates: DataFrame, assembler: VectorAssembler, model) -> DataFrame
     return done.withColumn("_score", vector_to_array("probability")[1])
 
 
-def find_pii(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",), train_rows: int = 20_000, precision: float = 0.98,
-             seed: int = 5) -> DataFrame:
+def find_pii(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",), precision: float = 0.98, seed: int = 5) -> DataFrame:
     """The carried columns and ``pii``: array of (start, end, kind), base spans and added ones.
 
     Candidates are stored once, so texts are read once. Carry the text too to redact it.
@@ -224,7 +218,7 @@ def find_pii(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_i
     trimmed = F.when(F.size("_candidates") > 0, F.col("_text"))  # the text is needed for context only
     scanned = pin(based.select("_doc", "_row", "_candidates", "_base", trimmed.alias("_text")))
     candidates = pin(candidate_table(scanned.filter(F.size("_candidates") > 0), "_text"))
-    fitted = fit_model(candidates, train_rows, precision, seed)
+    fitted = fit_model(candidates, precision, seed)
 
     base = F.transform("_base", plain)
     free = candidates.filter(~F.col("touches") & F.col("kind").isin(*KINDS[len(BASE):]))

@@ -357,3 +357,18 @@ def test_rare_kinds_get_a_threshold(spark):
     docs += [(1000 + i, f"phone: ({digits(3)}) {digits(3)}-{digits(4)} or so") for i in range(120)]
     found = pii.find_pii(spark.createDataFrame(docs, DOC), carry=("doc_id", "text")).collect()
     assert all([s.kind for s in r.pii] == (["local_phone"] if r.doc_id >= 1000 else [s.kind for s in r.pii if s.kind in pii.BASE]) for r in found)
+
+
+def test_the_model_learns_from_all_candidates(spark, monkeypatch):
+    seen = []
+
+    class Counted(pii.GBTClassifier):
+        def fit(self, df):
+            seen.append((df.count(), round(sum(r[0] for r in df.select("_weight").collect()), 6)))
+            return super().fit(df)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Counted)
+    candidates = spark.range(8000).selectExpr(
+        "'digits' AS kind", "CAST(id % 2 AS double) AS label", "id DIV 2 AS _pick", *[f"CAST({'id % 2' if f == 'cue_phone' else 0} AS double) AS {f}" for f in pii.FEATURES])
+    _, _, thresholds = pii.fit_model(candidates, 0.98, 5)
+    assert seen == [(6000, 0.75 * 2 * pii.CELL)] and set(thresholds) == {"digits"}
