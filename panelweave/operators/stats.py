@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.operators.timeline import Axis, accumulate, checked_broadcast, null_safe_join, spread_join
-from panelweave.session import pin
+from panelweave.session import pin, stored
 
 
 def to_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -271,18 +271,20 @@ def _ranked_values(long: DataFrame, by: Sequence[str], base: DataFrame) -> DataF
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation with average ranks, over rows complete in all columns.
 
-    All columns are ranked together: the values of one long frame are counted per column, ranked by
-    running sums within each column, joined to the cells, and the ranks put back into rows. Two scans
-    and three shuffles whatever the number of columns; popular values are counted before they move.
+    The values of all columns are counted, and ranked by running sums within each column, stored once. A
+    column whose ranks are few has them sent to the rows; only columns with many different values move the
+    rows, one narrow shuffle each, and popular values of those meet a broadcast. Rows stay rows throughout.
     """
-    row = pin(df.select(F.array(*[F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns]).alias("_v")).filter(
-        ~F.exists("_v", lambda v: v.isNull())).withColumn("_row", F.monotonically_increasing_id()))
-    cells = row.select("_row", F.posexplode("_v").alias("column", "value"))
+    row = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"_v{i}") for i, c in enumerate(columns)]).dropna()
+    row = stored(row, "complete")
+    cells = row.select(F.inline(F.array(*[F.struct(F.lit(i).alias("column"), F.col(f"_v{i}").alias("value")) for i in range(len(columns))])))
     ranked = _ranked_values(cells, ["column"], cells)
-    ranks = ranked.select("column", "value", (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank"))
-    placed = spread_join(cells, ranks, ["column", "value"], "inner")
-    wide = placed.groupBy("_row").agg(*[F.max(F.when(F.col("column") == i, F.col("rank"))).alias(c) for i, c in enumerate(columns)])
-    return _table(wide.drop("_row"), columns, list(combinations(range(len(columns)), 2)), centre=False)
+    ranks = stored(ranked.select("column", "value", (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank")), "ranks")
+    for i, c in enumerate(columns):
+        own = ranks.filter(F.col("column") == i).select(F.col("value").alias(f"_v{i}"), F.col("rank").alias(f"_r{i}"))
+        few = checked_broadcast(own)
+        row = (row.join(few, f"_v{i}") if few is not own else spread_join(row, own, [f"_v{i}"], "inner", probe=row)).drop(f"_v{i}")
+    return _table(row.select(*[F.col(f"_r{i}").alias(c) for i, c in enumerate(columns)]), columns, list(combinations(range(len(columns)), 2)), centre=False)
 
 
 # --- shape ------------------------------------------------------------------------

@@ -169,3 +169,24 @@ def test_attrition_counts_keys_per_step(spark):
     df = spark.createDataFrame([("a", 1, 1), ("a", None, 1), ("b", 1, None), ("c", None, None)], "k string, x int, y int")
     steps = [("x", F.col("x").isNotNull()), ("y", F.col("y").isNotNull())]
     assert rows(stats.attrition_report(df, "k", steps), "step_no") == [(0, "start", 3, 4), (1, "x", 2, 2), (2, "y", 1, 1)]
+
+
+@pytest.mark.parametrize("limit", [None, "1"])
+def test_spearman_moves_rows_only_for_columns_with_many_values(spark, monkeypatch, limit):
+    rng = np.random.default_rng(8)
+    a, b = rng.integers(0, 9, 400).astype(float), rng.normal(size=400)
+    c = np.round(a + b)
+    df = spark.createDataFrame([(None if i % 50 == 0 else float(x), float(y), float("nan") if i % 70 == 1 else float(z)) for i, (x, y, z) in enumerate(zip(a, b, c))], "a double, b double, c double")
+    whole = [i for i in range(400) if i % 50 and i % 70 != 1]
+    rank = lambda v: np.array([np.sum(v < x) + (np.sum(v == x) + 1) / 2 for x in v])
+    ranks = [rank(v[whole]) for v in (a, b, c)]
+    moved, join = [], stats.spread_join
+    monkeypatch.setattr(stats, "spread_join", lambda *args, **kw: moved.append(args[2]) or join(*args, **kw))
+    if limit:
+        spark.conf.set("spark.panelweave.maxBroadcastBytes", limit)
+    try:
+        got = {(r.column_a, r.column_b): r.r for r in stats.spearman(df, ["a", "b", "c"]).collect()}
+    finally:
+        spark.conf.unset("spark.panelweave.maxBroadcastBytes")
+    assert got == pytest.approx({(x, y): np.corrcoef(ranks[i], ranks[j])[0, 1] for i, x in enumerate("abc") for j, y in enumerate("abc") if i < j})
+    assert len(moved) == (3 if limit else 0)
