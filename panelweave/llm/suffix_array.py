@@ -1,7 +1,8 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, for one shard of text.
 
-Bytes are sorted with whole buckets at a time in numpy; the reduced strings of the recursion have
-large alphabets with small buckets, so there the two induction scans are plain loops.
+All suffixes are induced from the leftmost-smaller ones, with whole buckets at a time in numpy. Those
+are named by their substrings; where names tie, the string of names is sorted by doubling in numpy,
+as it has a large alphabet with small buckets.
 """
 
 from __future__ import annotations
@@ -77,51 +78,38 @@ def _induce(text: np.ndarray, small: np.ndarray, order: np.ndarray, letters: int
     return out
 
 
-def _induce_loops(text: np.ndarray, small: np.ndarray, order: np.ndarray, letters: int) -> np.ndarray:
-    """The same, one suffix at a time."""
-    n = len(text)
-    sizes = np.bincount(text, minlength=letters)
-    ends = np.cumsum(sizes)
-    heads = (ends - sizes).tolist()
-    by_letter = order[np.argsort(text[order], kind="stable")]
-    counts = np.bincount(text[order], minlength=letters)
-    own = np.full(n, -1, dtype=np.int64)  # the leftmost-smaller suffixes at the ends of their buckets
-    first = ends - counts
-    own[np.arange(len(order)) + np.repeat(first - (np.cumsum(counts) - counts), counts)] = by_letter
-    out, j = own.tolist(), n - 1
-    # for each suffix, the letter of the one before it if the scan is to place that, else -1; the last entry stands for no suffix
-    before = np.full(n + 1, -1, dtype=np.int64)
-    before[1:n] = np.where(small[:-1], -1, text[:-1])
-    larger = before.tolist()
-    before[1:n] = np.where(small[:-1], text[:-1], -1)
-    smaller = before.tolist()
-    c = int(text[j])
-    out[heads[c]] = j
-    heads[c] += 1
-    for p in out:  # the scan meets what it has just placed
-        c = larger[p]
-        if c >= 0:
-            out[heads[c]] = p - 1
-            heads[c] += 1
-    tails = ends.tolist()
-    for p in reversed(out):
-        c = smaller[p]
-        if c >= 0:
-            tails[c] -= 1
-            out[tails[c]] = p - 1
-    return np.array(out, dtype=np.int64)
+def _doubled(names: np.ndarray) -> np.ndarray:
+    """All suffixes of a string of numbers in order, by doubling: those that still tie are sorted by what follows the part known."""
+    n, span = len(names), 1
+    order = np.argsort(names, kind="stable")
+    sorted_names = names[order]
+    place = np.arange(n)
+    head = np.concatenate(([True], sorted_names[1:] != sorted_names[:-1]))
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.maximum.accumulate(np.where(head, place, 0))  # place of the first of those that tie
+    while not head.all():
+        tied = np.flatnonzero(~head | ~np.append(head[1:], True))
+        mine = order[tied]
+        after = np.where(mine + span < n, rank[np.minimum(mine + span, n - 1)] + 1, 0)
+        by = np.lexsort((after, rank[mine]))
+        mine, after = mine[by], after[by]
+        order[tied] = mine
+        before = rank[mine]
+        head[tied[1:]] |= (before[1:] != before[:-1]) | (after[1:] != after[:-1])
+        rank[mine] = tied[np.maximum.accumulate(np.where(head[tied], np.arange(len(tied)), 0))]
+        span *= 2
+    return order
 
 
 def suffix_array(text: np.ndarray, letters: int = 256) -> np.ndarray:
     n = len(text)
     if n < 2:
         return np.arange(n)
-    induce = _induce if letters <= 256 else _induce_loops
     small = _types(text)
     leftmost = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     if not len(leftmost):
-        return induce(text, small, leftmost, letters)
-    rough = induce(text, small, leftmost, letters)
+        return _induce(text, small, leftmost, letters)
+    rough = _induce(text, small, leftmost, letters)
     is_leftmost = np.zeros(n, dtype=bool)
     is_leftmost[leftmost] = True
     order = rough[is_leftmost[rough]]  # sorted by leftmost-smaller substring
@@ -141,8 +129,8 @@ def suffix_array(text: np.ndarray, letters: int = 256) -> np.ndarray:
     if names[-1] + 1 < len(order):
         named = np.empty(n, dtype=np.int64)
         named[order] = names
-        order = leftmost[suffix_array(named[leftmost], max(int(names[-1]) + 1, 257))]
-    return induce(text, small, order, letters)
+        order = leftmost[_doubled(named[leftmost])]
+    return _induce(text, small, order, letters)
 
 
 def common_prefixes(text: np.ndarray, suffixes: np.ndarray, left: np.ndarray) -> np.ndarray:

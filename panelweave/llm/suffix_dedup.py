@@ -8,14 +8,15 @@ first brought to where their copies are:
 2. Every string is named by the least hash among the ``GRAM``-byte pieces inside it, which is
    the same for equal strings. Neighbouring strings mostly have one name; such a run of strings
    is a context. Names that occur in one document only are dropped here: nothing there repeats.
-3. The contexts of names in up to ``FREQUENT`` documents are dealt to shards by name. A shard
+   Of equal contexts in one batch of documents only those of the smallest key travel on.
+3. The contexts of names in few documents, as measured by what a shard holds, are dealt to shards by name. A shard
    builds the suffix array of its distinct contexts by induced sorting and the permuted common
    prefixes; suffixes that share ``LENGTH`` bytes with their neighbours are one string, and all
    but those of the smallest document are cut.
 4. Names in more documents (a passage found everywhere) would make a shard as large as the
-   corpus. Their contexts are aggregated where they are: equal contexts first, then equal
-   strings of the distinct contexts, both to the smallest key, with partial sums. The result
-   is the same; nothing is capped.
+   corpus. Their contexts are dealt by content: equal contexts meet in one shard, which keeps those
+   of the smallest key, and sends their strings, each with its smallest key there, on to where
+   equal strings meet. The result is the same; nothing is capped.
 5. Cuts come together per document, which is where its text is.
 
 Null text is empty. A null key counts as the largest. Rows with one key never cut each other, so
@@ -25,6 +26,7 @@ repeated rows are treated alike. An empty table gives an empty result; extra col
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -41,7 +43,8 @@ from panelweave.session import pin, scratch_path
 
 LENGTH = 50
 GRAM = 16
-FREQUENT = 128  # documents with a name up to which a shard takes all its contexts
+FREQUENT = 128  # documents with a name up to which a shard takes all its contexts in any case
+MOST = 1 << 14  # and the same where a shard is so large that this is a small part of it
 PIECE = 1 << 20  # strings named together
 DOCUMENTS = 2048  # documents whose names travel together
 SEPARATOR = 0xFF  # is in no UTF-8 text
@@ -162,7 +165,7 @@ def _of_several(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_names(texts: DataFrame, buckets: int, frequent: int) -> DataFrame:
+def repeated_names(texts: DataFrame, buckets: int, frequent: int | None) -> DataFrame:
     """(key, name, frequent) of every name that several keys have. ``texts``: key, text.
 
     Names travel packed: a row holds those of one bucket of many documents.
@@ -201,16 +204,47 @@ def repeated_names(texts: DataFrame, buckets: int, frequent: int) -> DataFrame:
         names, keys = names[fresh], keys[fresh]
         _, number, counts = np.unique(names, return_inverse=True, return_counts=True)
         several = counts[number] > 1
+        limit = frequent
+        if limit is None:  # up to a quarter of what a shard holds under rare names
+            limit = max(FREQUENT, min(int(np.sum(several & (counts[number] <= FREQUENT))) // 4, MOST))
         bucket = np.int64(frame["bucket"].iloc[0]) << 32
         return pd.DataFrame({"key": keys[several], "name": bucket | names[several].view(np.uint32).astype(np.int64),
-                             "frequent": counts[number][several] > frequent})
+                             "frequent": counts[number][several] > limit})
 
     packed = texts.mapInPandas(named, "bucket int, names array<int>, keys array<long>, marks array<int>")
     return packed.groupBy("bucket").applyInPandas(compared, "key long, name long, frequent boolean")
 
 
+def _objects(pieces: Sequence[bytes]) -> np.ndarray:
+    out = np.empty(len(pieces), dtype=object)
+    out[:] = pieces
+    return out
+
+
+def _least(number: np.ndarray, keys: np.ndarray, size: int) -> np.ndarray:
+    out = np.full(size, LAST, dtype=np.int64)
+    np.minimum.at(out, number, keys)
+    return out
+
+
+def _split(by: np.ndarray, **columns: np.ndarray) -> pd.DataFrame:
+    """A row for each value of ``by``, with the columns' values as arrays."""
+    order = np.argsort(by, kind="stable")
+    used, first = np.unique(by[order], return_index=True)
+    if not len(used):
+        return pd.DataFrame(columns=["shard", *columns], dtype=object)
+    return pd.DataFrame({"shard": used, **{c: np.split(v[order], first[1:]) for c, v in columns.items()}})
+
+
+DEALT, HOT, CUT = 0, 1, 2  # what a packed row holds: contexts for a shard, with frequent names, or ranges that are cut
+PACKED = "shard int, kind int, names array<int>, keys array<long>, prints array<long>, firsts array<int>, sizes array<int>, data binary"
+
+
 def repeated_contexts(texts: DataFrame, names: DataFrame, buckets: int) -> DataFrame:
-    """(key, print, name, frequent, context, first) of the contexts with those names. ``texts``: key, print, text."""
+    """The contexts with those names, packed by shard (see ``PACKED``). ``texts``: key, print, text.
+
+    Of equal contexts in one batch of documents those of the smallest key travel; the others are cut there and then.
+    """
     picked = names.groupBy(F.col("key").alias("_key")).agg(
         F.collect_list("name").alias("names"), F.collect_list(F.when(F.col("frequent"), F.col("name"))).alias("hot"))
     found = texts.join(picked, F.col("key") == F.col("_key")).select("key", "print", "text", "names", "hot")
@@ -218,64 +252,88 @@ def repeated_contexts(texts: DataFrame, names: DataFrame, buckets: int) -> DataF
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for at in range(0, len(frame), DOCUMENTS):
-                part = frame.iloc[at:at + DOCUMENTS]
-                data = [(t or "").encode("utf-8", "surrogatepass") for t in part["text"]]
-                own = contexts(data, marked=False)
-                short, borders = short_names(own.name, buckets), np.searchsorted(own.owner, np.arange(len(data) + 1))
-                rows = []
-                for r, text, a, b in zip(part.itertuples(index=False), data, borders[:-1], borders[1:]):
-                    chosen = a + np.flatnonzero(np.isin(short[a:b], r.names))
-                    hot = np.isin(short[chosen], r.hot)
-                    rows += [(r.key, r.print, name, is_hot, text[at_:at_ + n + LENGTH - 1], at_) for name, is_hot, at_, n in zip(
-                        short[chosen].tolist(), hot.tolist(), own.first[chosen].tolist(), own.strings[chosen].tolist())]
-                yield pd.DataFrame(rows, columns=["key", "print", "name", "frequent", "context", "first"])
-
-    return found.mapInPandas(cut, "key long, print long, name long, frequent boolean, context binary, first int")
-
-
-def shard_cuts(rows: list[tuple[int, bytes, int]], length: int = LENGTH) -> dict[tuple[int, bytes], tuple[int, np.ndarray]]:
-    """By (name, context): the smallest key, and which strings of the context the smallest key loses to a smaller one."""
-    least: dict[tuple[int, bytes], int] = {}
-    for name, context, key in rows:
-        at = (name, context)
-        if key < least.get(at, LAST + 1):
-            least[at] = key
-    groups: dict[int, list] = {}
-    for at in least:
-        groups.setdefault(at[0], []).append(at)
-    several = [at for group in groups.values() if len(group) > 1 for at in group]  # a context alone under its name meets no other
-    out = {at: (key, np.empty(0, dtype=np.int64)) for at, key in least.items()}
-    if not several:
-        return out
+                yield packed_contexts(frame.iloc[at:at + DOCUMENTS], buckets)
+
+    return found.mapInPandas(cut, PACKED)
+
+
+def packed_contexts(part: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """``PACKED`` rows of some documents. ``part``: key, print, text, names and those of them that are frequent."""
+    data = [(t or "").encode("utf-8", "surrogatepass") for t in part["text"]]
+    own = contexts(data, marked=False)
+    short = short_names(own.name, buckets)
+    wanted = np.concatenate([np.asarray(n, dtype=np.int64) for n in part["names"]])
+    wanted_by = np.repeat(np.arange(len(part)), [len(n) for n in part["names"]])
+    used = np.unique(wanted)
+    place = np.minimum(np.searchsorted(used, short), len(used) - 1)
+    pairs = own.owner * len(used) + place
+    chosen = np.flatnonzero((used[place] == short) & np.isin(pairs, wanted_by * len(used) + np.searchsorted(used, wanted)))
+    owner, first, sizes, short = own.owner[chosen], own.first[chosen], own.strings[chosen] + LENGTH - 1, short[chosen]
+    pieces = _objects([data[d][a:a + n] for d, a, n in zip(owner.tolist(), first.tolist(), sizes.tolist())])
+    number, distinct = pd.factorize(pieces)
+    keys, prints = part["key"].to_numpy(dtype=np.int64)[owner], part["print"].to_numpy(dtype=np.int64)[owner]
+    hot = np.isin(short, np.concatenate([np.asarray(n, dtype=np.int64) for n in part["hot"]]))
+    deal = np.where(hot, np.array([zlib.crc32(c) % buckets for c in distinct], dtype=np.int64)[number], short >> 32)
+    lost = _least(number, keys, len(distinct))[number] < keys
+    kind = np.where(lost, CUT, np.where(hot, HOT, DEALT))
+    deal = np.where(lost, keys % buckets, deal)
+    rows = []
+    for k in (DEALT, HOT, CUT):
+        at = np.flatnonzero(kind == k)
+        low = (short[at] & 0xFFFFFFFF).astype(np.uint32).view(np.int32) if k == DEALT else np.zeros(len(at), dtype=np.int32)
+        out = _split(deal[at], names=low, keys=keys[at], prints=prints[at], firsts=first[at], sizes=sizes[at], data=pieces[at])
+        out["data"] = [b"" if k == CUT else b"".join(d) for d in out["data"]]
+        out.insert(1, "kind", k)
+        rows.append(out)
+    return pd.concat(rows, ignore_index=True)
+
+
+def shard_cuts(names: np.ndarray, pieces: np.ndarray, keys: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of contexts: whether a smaller key has the same one; and for the others the strings that a smaller key
+    has too, as two arrays: number of the context, place of the string in it."""
+    number, distinct = pd.factorize(pieces)
+    least = _least(number, keys, len(distinct))
+    whole = least[number] < keys
+    nothing = np.empty(0, dtype=np.int64)
+    name_of = np.empty(len(distinct), dtype=np.int64)
+    name_of[number] = names
+    _, group, counts = np.unique(name_of, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(counts[group] > 1)  # a context alone under its name meets no other
+    if not len(several):
+        return whole, nothing, nothing
     mark = bytes([SEPARATOR])
-    text = np.frombuffer(mark.join(c for _, c in several) + mark, dtype=np.uint8)
-    sizes = np.array([len(c) + 1 for _, c in several])
+    text = np.frombuffer(mark.join(distinct[several]) + mark, dtype=np.uint8)
+    sizes = np.array([len(c) + 1 for c in distinct[several]])
     begins = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(several)), sizes)
     left = np.repeat(begins + sizes - 1, sizes) - np.arange(len(text))
     suffixes = suffix_array(text)
     shared = common_prefixes(text, suffixes, left)[suffixes]
     run = np.cumsum(shared < length)  # suffixes of one run begin with one string
-    keys = np.array([least[at] for at in several], dtype=np.int64)[owner[suffixes]]
+    least_of = least[several][owner[suffixes]]
     valid = left[suffixes] >= length
-    smallest = np.full(int(run[-1]) + 1, LAST, dtype=np.int64)
-    np.minimum.at(smallest, run[valid], keys[valid])
-    lost = suffixes[valid & (smallest[run] < keys)]
-    lost = lost[np.argsort(owner[lost], kind="stable")]
-    own, first = np.unique(owner[lost], return_index=True)
-    for i, places in zip(own, np.split(lost, first[1:]) if len(own) else []):
-        out[several[i]] = (least[several[i]], np.sort(places - begins[i]))
+    smallest = _least(run[valid], least_of[valid], int(run[-1]) + 1)
+    lost = np.sort(suffixes[valid & (smallest[run] < least_of)])
+    holders = np.flatnonzero(~whole)
+    holders = holders[np.argsort(number[holders], kind="stable")]
+    of = several[owner[lost]]
+    begin = np.searchsorted(number[holders], of, side="left")
+    times = np.searchsorted(number[holders], of, side="right") - begin  # a key may hold a context more than once
+    step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return whole, holders[np.repeat(begin, times) + step], np.repeat(lost - begins[owner[lost]], times)
+
+
+def string_cuts(one: np.ndarray, two: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether a smaller key has the same string, given as 128 bits."""
+    order = np.lexsort((keys, two, one))
+    o, t, k = one[order], two[order], keys[order]
+    head = np.ones(len(o), dtype=bool)
+    head[1:] = (o[1:] != o[:-1]) | (t[1:] != t[:-1])
+    out = np.empty(len(o), dtype=bool)
+    out[order] = k[np.maximum.accumulate(np.where(head, np.arange(len(o)), 0))] < k
     return out
 
 
-def _ranges(strings: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes that the sorted strings cover, as starts and ends of runs."""
-    if not len(strings):
-        return strings, strings
-    gap = np.flatnonzero(strings[1:] - strings[:-1] > length)  # strings that touch make one run
-    return strings[np.append(0, gap + 1)], strings[np.append(gap, len(strings) - 1)] + length
-
-
 def merge_cuts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = np.concatenate([p[0] for p in parts]).astype(np.int64), np.concatenate([p[1] for p in parts]).astype(np.int64)
     order = np.argsort(starts, kind="stable")
@@ -287,64 +345,80 @@ def merge_cuts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray,
 
 
 CUTS = "key long, print long, starts array<int>, ends array<int>"
+STRINGS = "shard int, one array<long>, two array<long>, keys array<long>, prints array<long>, places array<int>"
+
+
+def cuts_by_document(keys: np.ndarray, prints: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pd.DataFrame:
+    """``CUTS`` rows: the ranges of each key and print, those that touch as one."""
+    if not len(keys):
+        return pd.DataFrame(columns=["key", "print", "starts", "ends"], dtype=object)
+    order = np.lexsort((starts, prints, keys))
+    k, p = keys[order], prints[order]
+    new = np.concatenate(([True], (k[1:] != k[:-1]) | (p[1:] != p[:-1])))
+    offset = np.cumsum(new).astype(np.int64) << 32  # documents one behind the other on one axis
+    begin, end = starts[order] + offset, np.maximum.accumulate(ends[order] + offset)
+    head = np.flatnonzero(np.concatenate(([True], begin[1:] > end[:-1])))
+    tail = np.append(head[1:], len(k)) - 1
+    first = np.flatnonzero(new[head])
+    starts, ends = (begin[head] - offset[head]).astype(np.int32), (end[tail] - offset[tail]).astype(np.int32)
+    return pd.DataFrame({"key": k[head][first], "print": p[head][first],
+                         "starts": np.split(starts, first[1:]), "ends": np.split(ends, first[1:])})
+
+
+def solve_shard(frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """Cuts among the contexts of a shard. The strings of those with frequent names that no smaller key has here go on."""
+    cuts, onward = [], pd.DataFrame(columns=["shard", "one", "two", "keys", "prints", "places"])
+    for kind, part in frame.groupby("kind"):
+        names, keys, prints, firsts, sizes = (np.concatenate(part[c].to_list()).astype(np.int64) for c in ("names", "keys", "prints", "firsts", "sizes"))
+        if kind == CUT:
+            cuts.append((keys, prints, firsts, firsts + sizes))
+            continue
+        data, ends = b"".join(part["data"]), np.cumsum(sizes)
+        pieces = _objects([data[b - n:b] for b, n in zip(ends.tolist(), sizes.tolist())])
+        if kind == DEALT:
+            whole, row, place = shard_cuts(names, pieces, keys)
+        else:
+            number, distinct = pd.factorize(pieces)
+            whole = _least(number, keys, len(distinct))[number] < keys
+            held = np.flatnonzero(~whole)
+            times = sizes[held] - LENGTH + 1
+            row = np.repeat(held, times)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+            digests = b"".join(hashlib.blake2b(c[i:i + LENGTH], digest_size=16).digest() for c in pieces[held] for i in range(len(c) - LENGTH + 1))
+            one, two = np.frombuffer(digests, dtype=np.int64).reshape(-1, 2).T
+            lost = string_cuts(one, two, keys[row])
+            on = row[~lost]
+            onward = _split(one[~lost] % buckets, one=one[~lost], two=two[~lost], keys=keys[on], prints=prints[on], places=place[~lost] + firsts[on])
+            row, place = row[lost], place[lost]
+        cuts.append((keys[whole], prints[whole], firsts[whole], (firsts + sizes)[whole]))
+        cuts.append((keys[row], prints[row], firsts[row] + place, firsts[row] + place + LENGTH))
+    done = cuts_by_document(*(np.concatenate(c) for c in zip(*cuts)))
+    rows = [(*r, *[None] * 6) for r in done.itertuples(index=False)] + [(*[None] * 4, *r) for r in onward.itertuples(index=False)]
+    return pd.DataFrame(rows, columns=[*done.columns, *onward.columns], dtype=object)  # as floats, numbers beside nulls would lose digits
 
 
 def shards(found: DataFrame, folder: str, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """(cuts of the contexts that shards hold, contexts with frequent names), written to the folder and read again."""
-
-    def solved(frame: pd.DataFrame) -> pd.DataFrame:
-        held = frame[~frame["frequent"]]
-        least = shard_cuts(list(zip(held["name"], held["context"], held["key"])))
-        cuts: dict[tuple[int, int], list] = {}
-        for r in held.itertuples(index=False):
-            key, lost = least[(r.name, r.context)]
-            if key < r.key:
-                part = np.array([r.first]), np.array([r.first + len(r.context)])
-            elif len(lost):
-                part = _ranges(lost + r.first, LENGTH)
-            else:
-                continue
-            cuts.setdefault((r.key, r.print), []).append(part)
-        rows = [(*k, *merge_cuts(v), None, None, None) for k, v in cuts.items()]
-        hot = frame[frame["frequent"]]
-        rows += [(r.key, r.print, None, None, r.name, r.context, r.first) for r in hot.itertuples(index=False)]
-        return pd.DataFrame(rows, columns=["key", "print", "starts", "ends", "name", "context", "first"])
-
-    deal = F.when(F.col("frequent"), F.xxhash64("name", "key", "first")).otherwise(F.xxhash64("name"))  # frequent names only pass through
-    dealt = found.withColumn("shard", F.pmod(deal, F.lit(buckets)).cast("int"))
-    done = dealt.groupBy("shard").applyInPandas(solved, CUTS + ", name long, context binary, first int")
+    """(cuts, strings of contexts with frequent names), written to the folder and read again."""
+    done = found.groupBy("shard").applyInPandas(lambda frame: solve_shard(frame, buckets), f"{CUTS}, {STRINGS}")
     done.write.mode("overwrite").parquet(folder)
     stored = found.sparkSession.read.schema(done.schema).parquet(folder)
-    return (stored.filter("name IS NULL").select("key", "print", "starts", "ends"),
-            stored.filter("name IS NOT NULL").select("key", "print", "name", "context", "first"))
+    return (stored.filter("shard IS NULL").select("key", "print", "starts", "ends"),
+            stored.filter("shard IS NOT NULL").select("shard", "one", "two", "keys", "prints", "places"))
 
 
-def frequent_cuts(hot: DataFrame) -> DataFrame:
-    """Cuts of contexts with frequent names, by aggregation alone."""
-    least = pin(hot.groupBy("name", "context").agg(F.min("key").alias("least")))
+def frequent_cuts(strings: DataFrame) -> DataFrame:
+    """Cuts of the strings that no key of their shard had smaller. A string comes once from each shard at most for each
+    smallest key's place, however many documents have it."""
 
-    def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), 1024):
-                rows = [(hashlib.blake2b(r.context[i:i + LENGTH], digest_size=16).digest(), r.context_id, i, r.least)
-                        for r in frame.iloc[at:at + 1024].itertuples(index=False) for i in range(len(r.context) - LENGTH + 1)]
-                yield pd.DataFrame(rows, columns=["string", "context_id", "place", "least"])
-
-    distinct = least.select(F.md5(F.concat(F.col("name").cast("string").cast("binary"), "context")).alias("context_id"), "name", "context", "least")
-    strings = pin(distinct.drop("name").mapInPandas(split, "string binary, context_id string, place int, least long"))
-    first = pin(strings.groupBy("string").agg(F.min("least").alias("smallest"), F.count("*").alias("n")).filter("n > 1").drop("n"))
-    lost = strings.join(first, "string").filter("smallest < least").groupBy("context_id").agg(F.collect_set("place").alias("lost"))
-    known = pin(distinct.join(lost, "context_id", "left")
-                .select(F.col("name").alias("_name"), F.col("context").alias("_context"), "least", "lost"))
-    met = hot.join(known, (F.col("name") == F.col("_name")) & (F.col("context") == F.col("_context")))
-    whole = F.col("least") < F.col("key")
-    places = F.array_sort(F.transform(F.coalesce("lost", F.array().cast("array<int>")), lambda p: p + F.col("first")))
-    starts = F.when(whole, F.array("first")).otherwise(places)
-    ends = F.when(whole, F.array(F.col("first") + F.length("context"))).otherwise(F.transform(places, lambda p: p + LENGTH))
-    return met.filter(whole | F.col("lost").isNotNull()).select("key", "print", starts.alias("starts"), ends.alias("ends"))
-
-
-def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", frequent: int = FREQUENT) -> DataFrame:
+    def lost(frame: pd.DataFrame) -> pd.DataFrame:
+        one, two, keys, prints, places = (np.concatenate(frame[c].to_list()).astype(np.int64) for c in ("one", "two", "keys", "prints", "places"))
+        cut = string_cuts(one, two, keys)
+        return cuts_by_document(keys[cut], prints[cut], places[cut], places[cut] + LENGTH)
+
+    return strings.groupBy("shard").applyInPandas(lost, CUTS)
+
+
+def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", frequent: int | None = None) -> DataFrame:
     """What to cut: key (null as the largest number), print of the text, whole (an exact copy), starts, ends in bytes."""
     spark = docs.sparkSession
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -363,14 +437,14 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", fre
     keys = names.select(F.col("key").alias("_named")).distinct()
     named = single.join(checked_broadcast(pin(keys)), F.col("key") == F.col("_named"), "left_semi")  # texts without a name stay where they are
     found = repeated_contexts(named, names, buckets)
-    cuts, hot = shards(found, scratch_path(spark, "contexts"), buckets)
+    cuts, strings = shards(found, scratch_path(spark, "contexts"), buckets)
 
     @F.pandas_udf("starts array<int>, ends array<int>")
     def merged(starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
         rows = [merge_cuts([(np.asarray(s), np.asarray(e))]) for s, e in zip(starts, ends)]
         return pd.DataFrame(rows, columns=["starts", "ends"])
 
-    together = cuts.unionByName(frequent_cuts(hot)).groupBy("key", "print").agg(
+    together = cuts.unionByName(frequent_cuts(strings)).groupBy("key", "print").agg(
         F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
     partly = together.select("key", "print", F.lit(False).alias("whole"), merged("starts", "ends").alias("m")).select("key", "print", "whole", "m.*")
     none = F.array().cast("array<int>")
@@ -394,7 +468,7 @@ def _cut(text: str | None, whole: bool | None, starts, ends) -> tuple[bytes, int
     return left, len(data) - len(left), len(starts)
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", frequent: int = FREQUENT) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", frequent: int | None = None) -> DataFrame:
     """The input with ``kept`` (bytes left), ``n_bytes``, ``n_removed`` and ``n_spans``."""
     cuts = repeated_spans(docs, text, key, frequent).select(F.col("key").alias("_key"), F.col("print").alias("_print"), "whole", "starts", "ends")
     size = cuts.agg(F.coalesce(F.sum(8 * F.size("starts") + 32), F.lit(0))).first()[0]

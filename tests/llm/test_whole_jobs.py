@@ -1,8 +1,10 @@
 """Cases that the operators once left out."""
 
 import random
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from panelweave.llm import decontam, html_text, ngram_join, secret_scan, suffix_dedup
@@ -127,3 +129,29 @@ def test_different_texts_without_an_id_or_with_a_shared_one(spark):
     assert len(kept) == 9 and kept.count((7, base[6])) == 1
     assert {(1, base[0]), (0, base[2]), (0, base[3]), (0, base[4]), (7, base[5]), (7, base[6]), (8, base[7]), (9, "")} <= set(kept)
     assert sum(t in (base[1], base[1] + " more") for _, t in kept) == 1
+
+
+def test_copies_of_a_context_are_cut_in_their_batch_and_travel_once():
+    rng = random.Random(31)
+    common = "".join(rng.choice("abcdefghijklmnop ") for _ in range(400))
+    texts = [f"{i:05d} " * 12 + common for i in range(300)]
+    own = suffix_dedup.contexts([t.encode() for t in texts], marked=False)
+    names = [suffix_dedup.short_names(own.name[own.owner == i], 8).tolist() for i in range(300)]
+    docs = pd.DataFrame({"key": range(300), "print": range(300), "text": texts, "names": names, "hot": names})
+    packed = suffix_dedup.packed_contexts(docs, 8)
+    sent = Counter()
+    for row in packed[packed["kind"] != suffix_dedup.CUT].itertuples():
+        ends = np.cumsum(row.sizes)
+        sent.update(row.data[b - n:b] for b, n in zip(ends.tolist(), row.sizes.tolist()))
+    inner = [c for c in sent if c in common.encode()]
+    assert inner and all(sent[c] == 1 for c in inner)
+    cut = [k for row in packed[packed["kind"] == suffix_dedup.CUT].itertuples() for k in row.keys]
+    assert sorted(set(cut)) == list(range(1, 300))  # all but the smallest key lose the passage
+    assert len(suffix_dedup.solve_shard(packed, 8).dropna(subset=["key"])) == 299
+
+
+def test_strings_of_frequent_names_are_compared_without_a_join(spark):
+    rows = [(0, [1, 2, 1], [5, 5, 5], [7, 7, 9], [70, 70, 90], [0, 1, 4]), (0, [1], [5], [8], [80], [30]), (1, [3], [5], [8], [80], [31])]
+    done = suffix_dedup.frequent_cuts(spark.createDataFrame(rows, suffix_dedup.STRINGS))
+    assert "Join" not in done._jdf.queryExecution().toString()
+    assert sorted(map(tuple, done.collect())) == [(8, 80, [30], [80]), (9, 90, [4], [54])]
