@@ -52,35 +52,42 @@ def pct_change(
     pad: str | None = None,
     scale: float = 100.0,
     probe: DataFrame | None = None,
+    known: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Percent change against the value k rows (or k calendar days) earlier.
 
     ``pad='past'`` first fills nulls from the past. With ``unit='days'`` the older value
-    is the last one known k days ago.
+    is the last one known k days ago. ``known`` may name, for a source that was filled from the past,
+    the column it was filled from: the last one known is the same in both, and reading it there leaves the
+    look back to the same window as the fill.
     """
     sources = sorted({src for src, _ in columns.values()})
     padded = {s: f"_pad_{s}" for s in sources}
     if pad == "past":
         df = fill(df, axis, padded, probe=probe)
-    else:
+    elif set(sources) & set(columns):  # a result takes the place of a source
         df = df.withColumns({p: F.col(s) for s, p in padded.items()})
+    else:
+        padded = {s: s for s in sources}
+    spare = [p for s, p in padded.items() if p != s]
     if unit == "rows":
         stage = lambda w: {
             out: relative_change(F.col(padded[s]), F.lag(padded[s], k).over(w), scale)
             for out, (s, k) in columns.items()
         }
         df = rolling(df, axis, stage, before=max(k for _, k in columns.values()), probe=probe)
-        return df.drop(*padded.values())
+        return df.drop(*spare)
+    looked_up = padded if pad == "past" else padded | {s: k for s, k in (known or {}).items() if s in padded}
     for k in sorted({k for _, k in columns.values()}):
         wanted = {out: s for out, (s, n) in columns.items() if n == k}
-        old = {padded[s]: f"_old_{s}" for s in set(wanted.values())}
+        old = {looked_up[s]: f"_old_{s}" for s in set(wanted.values())}
         df = value_days_ago(
             df, keys=axis.keys, time=axis.order[0], columns=old, days=k, mode="asof", size=axis.size
         )
         df = df.withColumns(
             {out: relative_change(F.col(padded[s]), F.col(f"_old_{s}"), scale) for out, s in wanted.items()}
         ).drop(*old.values())
-    return df.drop(*padded.values())
+    return df.drop(*spare)
 
 
 def sma_trend(
@@ -137,11 +144,17 @@ def change_points(df: DataFrame, axis: Axis, value: str, probe: DataFrame | None
     )
 
 
-def carry_last_change(df: DataFrame, axis: Axis, value: str, *, out: str, probe=None) -> DataFrame:
-    """The latest non-zero step of the value, carried until the next one."""
-    stage = lambda w: {"_step": F.col(value) - F.lag(value, 1).over(w)}
-    stepped = rolling(df, axis, stage, before=1, probe=probe)
-    marked = stepped.withColumn(out, F.when(F.col("_step") != 0, F.col("_step"))).drop("_step")
+def carry_last_change(df: DataFrame, axis: Axis, value: str, *, out: str, after: Column | None = None, probe=None) -> DataFrame:
+    """The latest non-zero step of the value, carried until the next one.
+
+    ``after``: a step counts only from a row with a later time than that, as if earlier rows were not there.
+    """
+    time = axis.order[0]
+    back = lambda w: {"_before": F.lag(value, 1).over(w), "_time_before": F.lag(time, 1).over(w)}
+    stepped = rolling(df, axis, back, before=1, probe=probe)
+    step = F.col(value) - F.col("_before")
+    counts = step != 0 if after is None else (step != 0) & (F.col("_time_before") > after)
+    marked = stepped.withColumn(out, F.when(counts, step)).drop("_before", "_time_before")
     return fill(marked, axis, [out], probe=probe)
 
 

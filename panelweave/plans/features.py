@@ -348,20 +348,33 @@ def piotroski_score(df: DataFrame, keys: Sequence[str] = ("stock",), time: str =
     return with_past.withColumn("Piotroski_Score", total).drop(*old.values())
 
 
+def known_kpis(df: DataFrame, columns: Sequence[str], zero_is_missing: bool = True) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with the usable values of the ratios beside them, and the names of these: zero and non-finite ones are missing."""
+    known = {c: f"_known_{c}" for c in columns}
+    return df.withColumns({k: blank_non_finite(c, zero_is_missing) for c, k in known.items()}), known
+
+
 def kpi_gap_fill(
-    df: DataFrame, axis: Axis, columns: Sequence[str], zero_is_missing: bool = True, probe: DataFrame | None = None
+    df: DataFrame, axis: Axis, columns: Sequence[str], zero_is_missing: bool = True, probe: DataFrame | None = None,
+    known: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Zero and non-finite ratios become missing, then the last known value is carried on."""
+    """Zero and non-finite ratios become missing, then the last known value is carried on.
+
+    ``known`` names the columns of ``known_kpis`` where the frame has them already.
+    """
+    if known is not None:
+        return fill(df, axis, {known[c]: c for c in columns}, probe=probe)
     blanked = df.withColumns({c: blank_non_finite(c, zero_is_missing) for c in columns})
     return fill(blanked, axis, columns, probe=probe)
 
 
 def yoy_kpis(
-    df: DataFrame, axis: Axis, names: Mapping[str, str] = YOY_NAMES, unit: str = "days", periods: int = 365, probe=None
+    df: DataFrame, axis: Axis, names: Mapping[str, str] = YOY_NAMES, unit: str = "days", periods: int = 365, probe=None,
+    known: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Year-over-year change in percent of every ratio, all in one window."""
+    """Year-over-year change in percent of every ratio, all in one window; ``known`` as in ``kpi_gap_fill``."""
     wanted = {out: (src, periods) for src, out in names.items()}
-    return pct_change(df, axis, wanted, unit=unit, probe=probe)
+    return pct_change(df, axis, wanted, unit=unit, probe=probe, known=known)
 
 
 # --- macro --------------------------------------------------------------------------

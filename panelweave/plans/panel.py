@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.operators.asof import Source, align
-from panelweave.operators.timeline import FITS, LONG, Axis, checked_broadcast, long_series_keys, split_by_keys
+from panelweave.operators.timeline import FITS, LONG, UNKNOWN, Axis, checked_broadcast, long_series_keys, split_by_keys
 from panelweave.operators.windows import carry_last_change, every_nth_row, forward_returns, label_horizons, pct_change
 from panelweave.plans import features as ft
 from panelweave.session import pin
@@ -83,7 +83,7 @@ class Choices:
 
 def build_panel(
     inputs: Inputs, *, as_of: Column, start: str = "2000-01-01", vix: str | None = "VIX_high",
-    keep: Sequence[str] | None = KEPT_COLUMNS, choices: Choices = Choices(),
+    keep: Sequence[str] | None = KEPT_COLUMNS, choices: Choices = Choices(), size: str = UNKNOWN,
 ) -> DataFrame:
     """All features and forward returns for all stocks, as one job.
 
@@ -91,11 +91,12 @@ def build_panel(
     one pass, all by the last value known, so the panel is shuffled and sorted by stock and
     day once; all later windows share that order. Sector, macro series and event dates come in
     by broadcast. Stocks without any balance sheet or any estimate are left out. Stocks whose
-    series are too long for one task are found once and built apart. ``keep`` are the columns
+    series are too long for one task are found once and built apart, unless ``size`` says that all fit,
+    as after an aggregation to stock and day. ``keep`` are the columns
     that stay beside the keys before changes and outside series are added; None keeps all.
     """
     prices = inputs.prices
-    found = long_series_keys(prices.select("stock"), ["stock"])
+    found = None if size == FITS else long_series_keys(prices.select("stock"), ["stock"])
     shared = _shared_tables(inputs, as_of, choices)
     built = lambda rows, size: _panel_of(rows, inputs, shared, size, start, vix, keep, choices)
     if found is None:
@@ -134,8 +135,9 @@ def _panel_of(
     stocks = prices.select("stock").distinct()
     mine = shared if size == FITS else [replace(s, frame=s.frame.join(stocks, "stock", "left_semi")) for s in shared]
     statements = [s for s in mine if (s.stamp or "").startswith("filing_date_")]
-    known = align(prices, mine, keys=["stock"], time="date", size=size).filter("_has_balance AND _has_estimates")
-    adjusted = ft.adjust_ohlc(known.fillna(1.0, subset=["factor"])).drop("factor")
+    clocked = ft.crisis_clock(prices, inputs.event_dates)  # of the day alone, so looked up while rows are narrow
+    aligned = align(clocked, mine, keys=["stock"], time="date", size=size).filter("_has_balance AND _has_estimates")
+    adjusted = ft.adjust_ohlc(aligned.fillna(1.0, subset=["factor"])).drop("factor")
     settled = ft.settle_statements(adjusted, statements, "filing_date_cashflow").withColumns(
         {
             "days_after_earnings_report": F.datediff("date", "_reported"),
@@ -143,26 +145,35 @@ def _panel_of(
         }
     )
     ratios = ft.expected_change(settled).withColumns(ft.kpi_ratios(choices.roe_on_assets)).withColumns(ft.earnings_ratios())
-    scored = ft.piotroski_score(ratios, size=size).withColumnsRenamed(PANEL_NAMES)
-    if keep is not None:
-        scored = scored.select("stock", "date", *[c for c in keep if c not in ("sector", "industry")])
-    filled = ft.kpi_gap_fill(scored, axis, GAP_FILLED, choices.zero_is_missing)
-    yearly = ft.yoy_kpis(filled, axis, unit=choices.yearly_by)
-    recent = yearly.filter(F.col("date") > F.lit(start).cast("date"))
-    steps = carry_last_change(recent, axis, "EPS_1Y_exp_Change", out="EPS_1Y_exp_Change_QoQ")
-    traded = steps.filter(F.col("PE").isNotNull() & (F.col("close") != 0))
+
+    # steps that wait for no other's window stand next to each other, so that they share one pass: first all but the score's ...
+    score = "Piotroski_Score"
+    seen, known = ft.known_kpis(ratios.withColumnsRenamed(PANEL_NAMES), [c for c in GAP_FILLED if c != score], choices.zero_is_missing)
+    scored = ft.piotroski_score(seen, size=size)
+    late = ("sector", "industry", "days_after_crisis")
+    names = [c for c in (scored.columns if keep is None else ("stock", "date", *keep)) if c not in late]
+    scored = scored.select(*names, "days_after_crisis", *[c for c in known.values() if c not in names])
+    filled = ft.kpi_gap_fill(scored, axis, list(known), choices.zero_is_missing, known=known)
+    yoy = lambda df, columns, values: ft.yoy_kpis(
+        df, axis, {c: out for c, out in ft.YOY_NAMES.items() if c in columns}, choices.yearly_by, known=values)
+    yearly, last = ft.known_kpis(yoy(filled, known, known), [score], choices.zero_is_missing)
+    # ... then the score's and the step carried on
+    begin = F.lit(start).cast("date")
+    steps = carry_last_change(yearly, axis, "EPS_1Y_exp_Change", out="EPS_1Y_exp_Change_QoQ", after=begin)
+    rated = yoy(ft.kpi_gap_fill(steps, axis, [score], choices.zero_is_missing, known=last), [score], last)
+    traded = rated.filter((F.col("date") > begin) & F.col("PE").isNotNull() & (F.col("close") != 0)).drop(*known.values(), *last.values())
+
     labelled = forward_returns(traded, axis, label_horizons())
 
     # the macro table has one row per calendar day, which history bounds; the sector table has one per stock
     widened = labelled.join(F.broadcast(inputs.macro), "date", "left").join(
         checked_broadcast(inputs.general.select("stock", "sector", "industry")), "stock", "left"
     )
-    clocked = ft.crisis_clock(widened, inputs.event_dates)
-    if vix:
-        moves = {"VIX_DoD": (vix, 1), "VIX_WoW": (vix, 5), "VIX_MoM": (vix, 22)}
-        clocked = pct_change(clocked, axis, moves)
-    helper = [c for c in clocked.columns if c.startswith("_") or c.startswith("filing_date_")]
-    return clocked.drop(*helper)
+    moves = {"VIX_DoD": (vix, 1), "VIX_WoW": (vix, 5), "VIX_MoM": (vix, 22)} if vix else {}
+    moved = pct_change(widened, axis, moves) if vix else widened
+    outside = [c for c in inputs.macro.columns if c != "date"]
+    columns = [*names, *ft.YOY_NAMES.values(), "EPS_1Y_exp_Change_QoQ", *label_horizons(), *outside, *late, *moves]
+    return moved.select(*[c for c in columns if not c.startswith("_") and not c.startswith("filing_date_")])
 
 
 # --- cleaning -----------------------------------------------------------------------

@@ -11,8 +11,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from panelweave.operators.timeline import FITS, Axis
+from panelweave.operators.windows import carry_last_change
 from panelweave.plans import features as ft
 from panelweave.plans import panel as pn
+from panelweave.session import DEFAULT_GROUP_ROWS, GROUP_ROWS
 
 
 def day(text):
@@ -197,6 +200,47 @@ def test_panel_sorts_once_and_starts_few_jobs(spark):
     assert sum("date ASC NULLS FIRST, _side ASC" in line for line in sorts) == 1
 
 
+def test_panel_steps_share_their_windows(spark):
+    told = io.StringIO()
+    with contextlib.redirect_stdout(told):
+        pn.build_panel(finance(spark), as_of=day("2020-06-30")).explain()
+    lines = told.getvalue().splitlines()
+    stacked = next(i for i, line in enumerate(lines) if re.search(r"Sort \[stock.*_side#\d+ ASC", line))
+    # alignment, ratios with the step of the forecast, score with the carried step, returns, moves of the index; eight before
+    assert sum("Window [" in line for line in lines[:stacked]) == 5
+
+
+def test_panel_of_known_length_is_not_searched_for_long_series(spark, panel, monkeypatch):
+    import pandas as pd
+
+    def search(*args, **kwargs):
+        raise AssertionError("prices were counted")
+
+    monkeypatch.setattr(pn, "long_series_keys", search)
+    built = pn.build_panel(finance(spark), as_of=day("2020-06-30"), size=FITS).toPandas().sort_values(["stock", "date"])
+    pd.testing.assert_frame_equal(built.reset_index(drop=True)[list(panel.columns)], panel.reset_index(drop=True), check_dtype=False)
+
+
+@pytest.mark.parametrize("limit", ["3", "1000"])
+def test_steps_and_changes_without_waiting_for_filters_and_fills(spark, limit):
+    start = date(2020, 1, 1)
+    values = [None, 1.0, 1.0, 0.0, 4.0, None, 8.0, 8.0, 2.0, None]
+    df = spark.createDataFrame([(k, start + timedelta(days=i), v, v) for k in "AB" for i, v in enumerate(values)], "stock string, date date, ratio double, level double")
+    axis, begin = Axis.of("stock", "date"), F.lit(start + timedelta(days=3))
+    spark.conf.set(GROUP_ROWS, limit)
+    try:
+        late = F.col("date") > begin
+        was = rows(carry_last_change(df.filter(late), axis, "level", out="step"), "stock", "date")
+        assert rows(carry_last_change(df, axis, "level", out="step", after=begin).filter(late), "stock", "date") == was
+        assert [r[4] for r in was[:6]] == [None, None, None, None, -6.0, -6.0]
+        plain = ft.yoy_kpis(ft.kpi_gap_fill(df, axis, ["ratio"]), axis, {"ratio": "change"}, periods=2)
+        seen, known = ft.known_kpis(df, ["ratio"])
+        beside = ft.yoy_kpis(ft.kpi_gap_fill(seen, axis, ["ratio"], known=known), axis, {"ratio": "change"}, periods=2, known=known)
+        assert rows(beside.select(plain.columns), "stock", "date") == rows(plain, "stock", "date")
+    finally:
+        spark.conf.set(GROUP_ROWS, str(DEFAULT_GROUP_ROWS))
+
+
 def test_kept_columns_and_choices(spark, panel):
     outside = {"VIX_high", "VIX_DoD", "VIX_WoW", "VIX_MoM", "days_after_crisis", "EPS_1Y_exp_Change_QoQ"}
     assert set(panel.columns) == {"stock", "date", *pn.KEPT_COLUMNS, *ft.YOY_NAMES.values(), *pn.TARGETS, *outside}
