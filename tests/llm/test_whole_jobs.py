@@ -131,6 +131,39 @@ def test_different_texts_without_an_id_or_with_a_shared_one(spark):
     assert sum(t in (base[1], base[1] + " more") for _, t in kept) == 1
 
 
+def test_prefixes_travel_by_class_and_slice_and_a_small_cluster_is_shipped_once(spark, monkeypatch):
+    rng = random.Random(41)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    base = prose(60)
+    near = [f"{base} {prose(2)}" for _ in range(150)]
+    docs = [*near, *near[:40], *[prose(40) for _ in range(30)]]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    kept, shipped, tokens, verify, prefix_tokens = [], [], [], ngram_join.verify, ngram_join.prefix_tokens
+
+    def counted(units, order, percent):
+        shipped.append(units.count())
+        return verify(units, order, percent)
+
+    def seen(rows, classes, percent):
+        found = prefix_tokens(rows, classes, percent)
+        tokens.append((found.count(), rows.join(classes.selectExpr("node AS row"), "row", "left_semi").selectExpr("sum(size(prefix))").first()[0]))
+        return found
+
+    monkeypatch.setattr(ngram_join, "verify", counted)
+    monkeypatch.setattr(ngram_join, "prefix_tokens", seen)
+    for size, limit in ((ngram_join.SLICE, None), (20, None), (20, "1")):
+        monkeypatch.setattr(ngram_join, "SLICE", size)
+        if limit:
+            spark.conf.set("spark.panelweave.maxBroadcastBytes", limit)
+        try:
+            kept.append(sorted(map(tuple, ngram_join.similarity_classes(frame).collect())))
+        finally:
+            spark.conf.unset("spark.panelweave.maxBroadcastBytes")
+    assert kept[0] == kept[1] == kept[2] and [r[2] for r in kept[0][:190]] == [0] * 190 and kept[0][0][3] == 149
+    assert shipped == [150] * 3  # 150 short texts are one block
+    assert all(a == b for a, b in tokens)
+
+
 def test_copies_of_a_context_are_cut_in_their_batch_and_travel_once():
     rng = random.Random(31)
     common = "".join(rng.choice("abcdefghijklmnop ") for _ in range(400))
