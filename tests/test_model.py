@@ -9,6 +9,8 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from pyspark.ml.classification import LinearSVC
+
 from panelweave.ml import evaluate as ev
 from panelweave.ml.kernel import RandomFourierFeatures
 from panelweave.operators.splits import fold_ranges, with_positions
@@ -123,6 +125,31 @@ def test_kernel_machine_separates_what_a_line_cannot_and_is_saved(spark, tmp_pat
     assert rows(ml.predict(load_model(str(tmp_path / "kernel")), df, ["id"]), "id") == rows(ml.predict(curve, df, ["id"]), "id")
 
 
+@pytest.mark.parametrize("kind, shape", [("svc", {"maxIter": 12}), ("svc", {"maxIter": 4, "fitIntercept": False}), ("kernel", {"maxIter": 12, "dimensions": 32, "gamma": 0.4})])
+def test_machines_fitted_by_scans_equal_those_that_keep_their_rows(spark, tmp_path, monkeypatch, kind, shape):
+    rng = random.Random(7)
+    data = []
+    for i in range(600):
+        a, b, c, s = rng.gauss(0, 1), rng.gauss(50, 9), rng.randrange(5), rng.choice(["Tech", "Energy", "Health"])
+        data.append((i, None if i % 37 == 0 else a, float("nan") if i % 41 == 0 else b, None if i % 29 == 0 else c, 3.0, s, None if i % 50 == 0 else int(a + 0.3 * c + (s == "Tech") + rng.gauss(0, 1) > 1), rng.random()))
+    df = spark.createDataFrame(data, "id int, a double, b double, c int, same double, s string, y int, w double").repartition(3)
+    kept = ml.fit(df, ["a", "b", "c", "same"], ["s"], "y", kind, weightCol="w", **shape)
+    monkeypatch.setattr(ml, "KEPT_BYTES", 0)
+    monkeypatch.setattr(LinearSVC, "_fit", None)  # would keep them
+    scanned = ml.fit(df, ["a", "b", "c", "same"], ["s"], "y", kind, weightCol="w", **shape)
+    one, two = kept.stages[-1], scanned.stages[-1]
+    assert two.coefficients.toArray() == pytest.approx(one.coefficients.toArray(), abs=1e-9) and two.intercept == pytest.approx(one.intercept, abs=1e-9)
+    save_model(scanned, str(tmp_path / "scanned"))
+    assert rows(ml.predict(load_model(str(tmp_path / "scanned")), df, ["id"]), "id") == rows(ml.predict(kept, df, ["id"]), "id")
+
+
+def test_scans_refuse_what_the_machine_refuses(spark, monkeypatch):
+    monkeypatch.setattr(ml, "KEPT_BYTES", 0)
+    df = spark.createDataFrame([(1.0, "a", 2), (2.0, "b", 0), (3.0, "a", 1)], "x double, s string, y int")
+    with pytest.raises(Exception, match="labels have to be 0 or 1"):
+        ml.fit(df, ["x"], ["s"], "y", "svc")
+
+
 @pytest.fixture(scope="module")
 def placed(spark):
     rng = random.Random(12)
